@@ -1,0 +1,166 @@
+"""Exact nearest station for station tables too large to broadcast.
+
+Grid levels: level ``L`` cuts latitude into ``2^L`` rows and longitude into
+``2^(L+1)`` columns, so every cell is ``180 / 2^L`` degrees on both axes and
+columns wrap around the antimeridian.
+
+1. Stations are de-duplicated by exact coordinates (the smallest ``prec``
+   wins, which is what the tie rule would pick anyway).
+2. The start level ``L0`` is the coarsest level whose fullest cell holds at
+   most ``max_per_cell`` stations (one small aggregation over the stations).
+3. Round ``k`` works at level ``L0 - k``: each station is copied into the 3x3
+   cells around its own, each unsettled point is left-joined to the copies in
+   its cell (an equi-join on the cell key, so AQE can split a hot cell), and
+   the point keeps its best candidate ``(distance, prec)``.
+4. A point is settled when that distance is smaller than a lower bound on the
+   distance to anything outside its 3x3 block:
+   ``R * min(dlat, asin(cos(lat) * sin(min(dlon, 90 deg))))`` where ``dlat``
+   and ``dlon`` are the distances in degrees to the block's edges (an edge at
+   a pole, or a block covering all longitudes, does not bound). The test has
+   a small safety margin, so floating error can only postpone a point.
+5. Unsettled points go to the next, twice as coarse, level. Level 0 covers
+   the globe, so every point with any station is settled by then.
+
+Every round is written with ``checkpoint()`` (reliable, in the session's
+checkpoint folder), so lineage stays one round deep and a lost executor
+recomputes at most one round.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from precinct.functions.geo import EARTH_RADIUS_KM, haversine_km
+from precinct.session import checkpoint_root
+
+MAX_LEVEL = 30          # cell of ~1.7e-7 degrees (~2 cm)
+COVERS_ALL_KM = 1.0e6   # larger than any great-circle distance
+SAFETY_REL, SAFETY_ABS_KM = 1e-9, 1e-9
+
+
+def _cells(lat: Column, lon: Column, level: int) -> tuple[Column, Column]:
+    g = 180.0 / (1 << level)
+    rows = 1 << level
+    cy = F.least(F.floor((lat + F.lit(90.0)) / F.lit(g)), F.lit(rows - 1)).cast("long")
+    cx = F.floor(F.pmod(lon + F.lit(180.0), F.lit(360.0)) / F.lit(g)).cast("long")
+    return cy, cx
+
+
+def start_level(stations: DataFrame, max_per_cell: int) -> int:
+    """Coarsest level whose fullest cell holds <= ``max_per_cell`` stations."""
+    levels = F.explode(F.sequence(F.lit(0), F.lit(MAX_LEVEL))).alias("level")
+    exploded = stations.select("y", "x", levels)
+    g = F.lit(180.0) / F.pow(F.lit(2.0), F.col("level"))
+    cy = F.floor((F.col("y") + F.lit(90.0)) / g)
+    cx = F.floor(F.pmod(F.col("x") + F.lit(180.0), F.lit(360.0)) / g)
+    occ = (
+        exploded.groupBy("level", cy.alias("cy"), cx.alias("cx")).count()
+        .groupBy("level").agg(F.max("count").alias("m"))
+        .where(F.col("m") <= max_per_cell)
+        .agg(F.min("level").alias("level"))
+    )
+    row = occ.collect()[0]  # one row
+    return MAX_LEVEL if row["level"] is None else int(row["level"])
+
+
+def _bound_km(lat: Column, lon: Column, cy: Column, level: int) -> Column:
+    g = 180.0 / (1 << level)
+    rows, cols = 1 << level, 1 << (level + 1)
+    south = F.when(cy - 1 <= 0, F.lit(1.0e9)).otherwise(lat - ((cy - 1) * g - 90.0))
+    north = F.when(cy + 1 >= rows - 1, F.lit(1.0e9)).otherwise(((cy + 2) * g - 90.0) - lat)
+    lat_rad = F.radians(F.least(south, north))
+    if cols <= 3:
+        lon_rad = F.lit(1.0e9)
+    else:
+        xx = F.pmod(lon + F.lit(180.0), F.lit(360.0))
+        cxu = F.floor(xx / F.lit(g))
+        dlon = F.least(xx - (cxu - 1) * g, (cxu + 2) * g - xx)
+        lon_rad = F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(F.least(dlon, F.lit(90.0)))))
+    return F.least(F.lit(EARTH_RADIUS_KM) * F.least(lat_rad, lon_rad), F.lit(COVERS_ALL_KM))
+
+
+def _station_copies(stations: DataFrame, level: int) -> DataFrame:
+    rows, cols = 1 << level, 1 << (level + 1)
+    cy, cx = _cells(F.col("y"), F.col("x"), level)
+    base = stations.select("y", "x", "prec", "division", cy.alias("_scy"), cx.alias("_scx"))
+    offsets = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
+    cells = F.array_distinct(
+        F.array(*[
+            F.struct((F.col("_scy") + dy).alias("cy"), F.pmod(F.col("_scx") + dx, F.lit(cols)).alias("cx"))
+            for dy, dx in offsets
+        ])
+    )
+    out = base.select("y", "x", "prec", "division", F.explode(cells).alias("c"))
+    return out.where((F.col("c.cy") >= 0) & (F.col("c.cy") < rows)).select(
+        F.col("c.cy").alias("_cy"), F.col("c.cx").alias("_cx"),
+        F.col("y").alias("_s_y"), F.col("x").alias("_s_x"),
+        F.col("prec").alias("_s_prec"), F.col("division").alias("_s_division"),
+    )
+
+
+def nearest_grid(
+    points: DataFrame,
+    stations: DataFrame,
+    lat: str = "lat",
+    lon: str = "lon",
+    grid_degrees: float | None = None,
+    max_per_cell: int = 64,
+) -> DataFrame:
+    """Nearest station per (distinct) point row; see the module docstring.
+
+    ``grid_degrees`` fixes the start cell size instead of deriving it.
+    """
+    spark = points.sparkSession
+    checkpoint_root(spark)
+    st = stations.groupBy("y", "x").agg(F.min(F.struct("prec", "division")).alias("s")).select(
+        "y", "x", F.col("s.prec").alias("prec"), F.col("s.division").alias("division")
+    )
+    if grid_degrees is not None:
+        level0 = max(0, min(MAX_LEVEL, int(math.floor(math.log2(180.0 / grid_degrees)))))
+    else:
+        level0 = start_level(st, max_per_cell)
+
+    point_cols = points.columns
+    todo = points
+    settled: list[DataFrame] = []
+    for level in range(level0, -1, -1):
+        cy, cx = _cells(F.col(lat), F.col(lon), level)
+        keyed = todo.select(*point_cols, cy.alias("_cy"), cx.alias("_cx"))
+        pairs = keyed.join(_station_copies(st, level), ["_cy", "_cx"], "left")
+        cand = F.when(
+            F.col("_s_prec").isNotNull(),
+            F.struct(
+                haversine_km(lat, lon, "_s_y", "_s_x").alias("d"),
+                F.col("_s_prec").alias("prec"),
+                F.col("_s_division").alias("division"),
+                F.col("_s_y").alias("y"),
+                F.col("_s_x").alias("x"),
+            ),
+        )
+        best = pairs.groupBy(*point_cols, "_cy").agg(F.min(cand).alias("_best"))
+        bound = _bound_km(F.col(lat), F.col(lon), F.col("_cy"), level)
+        done = F.col("_best").isNotNull() & (
+            F.col("_best.d") < bound * (1.0 - SAFETY_REL) - SAFETY_ABS_KM
+        )
+        if level == 0:
+            done = F.col("_best").isNotNull()
+        rnd = best.select(*point_cols, "_best", done.alias("_done")).checkpoint()
+        settled.append(rnd.where("_done").drop("_done"))
+        if level == 0:
+            break
+        todo = rnd.where(~F.col("_done")).select(*point_cols)
+        if todo.isEmpty():
+            break
+
+    out = settled[0]
+    for part in settled[1:]:
+        out = out.unionByName(part)
+    b = F.col("_best")
+    return out.select(
+        *point_cols,
+        b["prec"].alias("near_prec"), b["division"].alias("near_division"),
+        b["y"].alias("near_y"), b["x"].alias("near_x"), b["d"].alias("near_km"),
+    )

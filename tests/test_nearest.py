@@ -1,0 +1,118 @@
+"""Nearest station: every strategy against brute force on small fixtures."""
+
+import math
+import random
+
+import pytest
+
+from precinct.operators.nearest import nearest_station
+from precinct.operators.nearest_grid import nearest_grid, start_level
+
+ST_SCHEMA = "y double, x double, prec int, division string"
+PT_SCHEMA = "pid long, lat double, lon double"
+
+
+def _hav(lat1, lon1, lat2, lon2):
+    p1, l1, p2, l2 = map(math.radians, (lat1, lon1, lat2, lon2))
+    a = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin((l2 - l1) / 2) ** 2
+    return 6371.0 * 2 * math.atan2(math.sqrt(a), math.sqrt(max(0.0, 1 - a)))
+
+
+def brute(points, stations):
+    out = {}
+    for pid, la, lo in points:
+        if la is None or lo is None:
+            continue
+        cands = [(_hav(la, lo, y, x), p) for y, x, p, _ in stations if y is not None and x is not None]
+        if cands:
+            out[pid] = min(cands)
+    return out
+
+
+def run(spark, points, stations, strategy, **kw):
+    p = spark.createDataFrame(points, PT_SCHEMA)
+    s = spark.createDataFrame(stations, ST_SCHEMA)
+    if strategy == "grid_direct":
+        df = nearest_grid(p, s, **kw)
+    else:
+        df = nearest_station(p, s, strategy=strategy, **kw)
+    return {r["pid"]: (r["near_km"], r["near_prec"]) for r in df.collect()}
+
+
+def check(got, want):
+    assert set(got) == set(want)
+    for pid, (d, prec) in want.items():
+        gd, gp = got[pid]
+        assert gp == prec, (pid, got[pid], want[pid])
+        assert gd == pytest.approx(d, rel=1e-9, abs=1e-9)
+
+
+def _world(seed, n_points, n_stations):
+    rng = random.Random(seed)
+    pts = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(n_points)]
+    pts += [(n_points, 89.999, 10.0), (n_points + 1, -89.5, -170.0), (n_points + 2, 0.0, 179.99),
+            (n_points + 3, 0.0, -179.99), (n_points + 4, 12.0, 180.0)]
+    sts = [(rng.uniform(-90, 90), rng.uniform(-180, 180), i, f"D{i}") for i in range(n_stations)]
+    sts += [(89.9, -170.0, n_stations, "N"), (0.0, -179.999, n_stations + 1, "W")]
+    return pts, sts
+
+
+@pytest.mark.parametrize("strategy", ["array", "min_by", "grid"])
+def test_strategies_match_brute_force_on_the_globe(spark, strategy):
+    pts, sts = _world(1, 400, 60)
+    check(run(spark, pts, sts, strategy), brute(pts, sts))
+
+
+@pytest.mark.parametrize("max_per_cell", [1, 4, 64])
+def test_grid_exact_for_any_start_level(spark, max_per_cell):
+    pts, sts = _world(2, 300, 120)
+    check(run(spark, pts, sts, "grid_direct", max_per_cell=max_per_cell), brute(pts, sts))
+
+
+def test_grid_dense_city(spark):
+    rng = random.Random(3)
+    sts = [(34.0 + rng.uniform(-0.2, 0.2), -118.3 + rng.uniform(-0.2, 0.2), i, f"S{i}") for i in range(300)]
+    pts = [(i, 34.0 + rng.uniform(-0.5, 0.5), -118.3 + rng.uniform(-0.5, 0.5)) for i in range(500)]
+    check(run(spark, pts, sts, "grid_direct", max_per_cell=8), brute(pts, sts))
+
+
+def test_ties_go_to_smallest_prec(spark):
+    sts = [(34.0, -118.1, 7, "East"), (34.0, -118.3, 3, "West"), (34.0, -118.1, 9, "EastDup")]
+    pts = [(1, 34.0, -118.2)]  # equidistant from x=-118.1 and x=-118.3
+    for strategy in ["array", "min_by", "grid"]:
+        got = run(spark, pts, sts, strategy)
+        assert got[1][1] == 3, strategy
+
+
+def test_duplicate_coordinates_keep_smallest_prec(spark):
+    sts = [(34.0, -118.1, 9, "B"), (34.0, -118.1, 2, "A")]
+    pts = [(1, 34.5, -118.0)]
+    for strategy in ["array", "min_by", "grid"]:
+        assert run(spark, pts, sts, strategy)[1][1] == 2, strategy
+
+
+def test_no_stations_gives_no_rows(spark):
+    pts = [(1, 34.0, -118.0)]
+    for strategy in ["array", "min_by", "grid"]:
+        assert run(spark, pts, [], strategy) == {}, strategy
+
+
+def test_null_coordinates(spark):
+    sts = [(None, -118.0, 1, "Null"), (34.1, -118.1, 2, "Real")]
+    pts = [(1, 34.0, -118.0), (2, None, -118.0)]
+    for strategy in ["array", "min_by", "grid"]:
+        got = run(spark, pts, sts, strategy)
+        assert set(got) == {1} and got[1][1] == 2, strategy
+
+
+def test_auto_uses_grid_beyond_broadcast_bound(spark):
+    pts, sts = _world(4, 100, 40)
+    got = run(spark, pts, sts, "auto", max_broadcast_rows=10)
+    check(got, brute(pts, sts))
+
+
+def test_start_level_respects_cell_bound(spark):
+    sts = spark.createDataFrame([(34.0 + i * 1e-3, -118.0, i, "x") for i in range(50)], ST_SCHEMA)
+    lvl = start_level(sts, 5)
+    assert 0 < lvl <= 30
+    assert start_level(sts, 1000) == 0
