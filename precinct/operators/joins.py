@@ -25,13 +25,19 @@ JOIN_HINTS = ("broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def bounded_count(df: DataFrame, max_rows: int) -> int | None:
+    """Row count of ``df`` if it is at most ``max_rows``, else ``None``.
 
     Runs ``limit(max_rows + 1).count()``: each task stops after that many rows,
     so the check costs at most ``max_rows + 1`` rows per partition.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    n = df.limit(max_rows + 1).count()
+    return n if n <= max_rows else None
+
+
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (see :func:`bounded_count`)."""
+    return bounded_count(df, max_rows) is not None
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

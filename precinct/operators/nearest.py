@@ -11,8 +11,10 @@ Strategies
     takes ``array_min`` over ``(distance, prec, ...)`` structs. Fully map-side:
     no shuffle, no key needed, one pass over the points.
 ``min_by``
-    Broadcast cross join, then ``min_by`` per point key. Same answer; costs a
-    shuffle of one row per point (after map-side partial aggregation).
+    Broadcast cross join, then the smallest ``(distance, prec, ...)`` struct
+    per point. Same answer; the struct minimum runs as a sort-based aggregate
+    (a sort of points x stations rows) and needs a shuffle by point unless
+    the points are already partitioned by their columns.
 ``grid``   (used when the stations do not fit the broadcast bound)
     Exact search on a lat/lon grid that coarsens round by round: a point is
     settled once its best candidate is no farther than the nearest edge of the
@@ -22,15 +24,12 @@ Strategies
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precinct.functions.geo import EARTH_RADIUS_KM, haversine_km
-from precinct.operators.joins import DEFAULT_BROADCAST_ROWS, fits
+from precinct.functions.geo import haversine_km
+from precinct.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_count
 
-STATION_FIELDS = ("prec", "division", "y", "x")
 OUT_COLS = ("near_prec", "near_division", "near_y", "near_x", "near_km")
 
 
@@ -104,8 +103,12 @@ def nearest_station(
     """
     pts = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     st = _clean_stations(stations)
-    if strategy == "auto":
-        strategy = "array" if fits(st, max_broadcast_rows) else "grid"
+    if strategy in ("auto", "array", "min_by"):
+        fits = bounded_count(st, max_broadcast_rows) is not None
+        if strategy == "auto":
+            strategy = "array" if fits else "grid"
+        elif not fits:
+            raise ValueError("stations exceed max_broadcast_rows; use strategy='grid'")
     if strategy == "array":
         return _nearest_array(pts, st, lat, lon)
     if strategy == "min_by":
@@ -115,7 +118,3 @@ def nearest_station(
 
         return nearest_grid(pts, st, lat, lon, grid_degrees)
     raise ValueError(f"unknown strategy {strategy!r}")
-
-
-# Angular helpers shared with the grid search.
-KM_PER_DEGREE = EARTH_RADIUS_KM * math.pi / 180.0

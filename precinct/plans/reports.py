@@ -21,7 +21,7 @@ from precinct.functions.geo import haversine_km_f32
 from precinct.functions.temporal import DAY_PART_LABELS, day_part, day_part_py
 from precinct.functions.text import format_fixed, zip5
 from precinct.operators.filters import filter_equals, filter_not_null, filter_year, firearm_incidents
-from precinct.operators.joins import hinted, join_area_station
+from precinct.operators.joins import DEFAULT_BROADCAST_ROWS, fits, hinted, join_area_station
 from precinct.operators.nearest import nearest_station
 from precinct.operators.ranking import extremes, top_k_per_group
 
@@ -187,35 +187,41 @@ def distance_stats(df: DataFrame, group_col, dist: str = "distance_km", weight:
 
 def distance_to_responsible(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast") -> DataFrame:
     """Firearm incidents joined to their area's station, with the 32-bit
-    float distance ``distance_km`` between them."""
+    float distance ``distance_km`` between them (one row per incident)."""
     j = join_area_station(firearm_incidents(incidents), stations, hint)
     return j.withColumn("distance_km", haversine_km_f32("lat", "lon", "y", "x"))
 
 
-def distance_by_year_area(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast") -> DataFrame:
+def _responsible_stats(incidents: DataFrame, stations: DataFrame, by: str, hint: str | None,
+                       max_broadcast_rows: int) -> DataFrame:
+    """Q4-1 core. Stations within the broadcast bound: per-incident distance
+    after a map-side broadcast join. Otherwise (or with a shuffle hint) the
+    fact is first pre-aggregated to distinct (key, area, lat, lon) with a
+    count, so the shuffle join carries one row per distinct point."""
+    fire = firearm_incidents(incidents)
+    if by == "year":
+        fire = fire.withColumn("year", F.year("occ_date"))
+    if hint == "broadcast" and fits(stations, max_broadcast_rows):
+        j = fire.join(F.broadcast(stations), fire["area"] == stations["prec"], "inner")
+        return distance_stats(j.withColumn("distance_km", haversine_km_f32("lat", "lon", "y", "x")), by)
+    keys = (["year"] if by == "year" else []) + ["area", "lat", "lon"]
+    pts = fire.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    s = hinted(stations, None if hint == "broadcast" else hint)
+    j = pts.join(s, pts["area"] == s["prec"], "inner")
+    return distance_stats(j.withColumn("distance_km", haversine_km_f32("lat", "lon", "y", "x")), by, weight="n")
+
+
+def distance_by_year_area(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast",
+                          max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Q4-1a: mean distance to the responsible station, per year."""
-    d = distance_to_responsible(incidents, stations, hint).withColumn("year", F.year("occ_date"))
-    return distance_stats(d, "year").orderBy("year")
+    return _responsible_stats(incidents, stations, "year", hint, max_broadcast_rows).orderBy("year")
 
 
-def distance_by_division_area(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast") -> DataFrame:
+def distance_by_division_area(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast",
+                              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Q4-1b: mean distance to the responsible station, per division."""
-    d = distance_to_responsible(incidents, stations, hint)
-    return distance_stats(d, "division").orderBy(F.desc("crime_count"), "division")
-
-
-def nearest_points(incidents: DataFrame, stations: DataFrame, by: str, strategy: str = "auto") -> DataFrame:
-    """Firearm incidents pre-aggregated to (by, lat, lon) with a count ``n``,
-    each with its nearest station and 32-bit distance ``distance_km``.
-
-    The nearest station depends only on the coordinates, so it is computed
-    once per distinct point instead of once per incident.
-    """
-    fire = firearm_incidents(incidents)
-    key = F.year("occ_date").alias("year") if by == "year" else F.col(by)
-    pts = fire.groupBy(key, "lat", "lon").agg(F.count(F.lit(1)).alias("n"))
-    near = nearest_station(pts, stations, strategy=strategy)
-    return near.withColumn("distance_km", F.col("near_km").cast("float"))
+    stats = _responsible_stats(incidents, stations, "division", hint, max_broadcast_rows)
+    return stats.orderBy(F.desc("crime_count"), "division")
 
 
 def distance_by_year_nearest(incidents: DataFrame, stations: DataFrame, strategy: str = "auto") -> DataFrame:

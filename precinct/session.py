@@ -44,13 +44,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is read, never
-    replaced. Only when it is unset (local tests) a fresh folder is created
-    and registered with the session and the SparkContext.
+    replaced; if it is missing there, this fails rather than fall back to a
+    machine-local folder. Only in local mode (tests, bench) is a fresh folder
+    created when the setting is unset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         root = tempfile.mkdtemp(prefix="precinct-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     jsc = spark.sparkContext._jsc

@@ -140,3 +140,13 @@ def test_empty_station_table(spark, tables):
     empty = spark.createDataFrame([], "y double, x double, division string, prec int")
     assert rp.distance_by_year_nearest(inc, empty).count() == 0
     assert rp.distance_by_year_area(inc, empty).count() == 0
+
+
+@pytest.mark.parametrize("hint,bound", [("broadcast", 5), ("merge", 2_000_000), ("shuffle_hash", 2_000_000),
+                                        (None, 2_000_000)])
+def test_responsible_fallback_preaggregates_and_agrees(spark, tables, hint, bound):
+    inc, _, _, st = tables
+    want_year = rows(rp.distance_by_year_area(inc, st))
+    want_div = rows(rp.distance_by_division_area(inc, st))
+    assert rows(rp.distance_by_year_area(inc, st, hint=hint, max_broadcast_rows=bound)) == want_year
+    assert rows(rp.distance_by_division_area(inc, st, hint=hint, max_broadcast_rows=bound)) == want_div
