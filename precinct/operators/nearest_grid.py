@@ -59,10 +59,14 @@ def start_level(stations: DataFrame, max_per_cell: int) -> int:
     occ = (
         exploded.groupBy("level", cy.alias("cy"), cx.alias("cx")).count()
         .groupBy("level").agg(F.max("count").alias("m"))
-        .where(F.col("m") <= max_per_cell)
-        .agg(F.min("level").alias("level"))
+        .agg(
+            F.min(F.when(F.col("m") <= max_per_cell, F.col("level"))).alias("level"),
+            F.count(F.lit(1)).alias("levels"),
+        )
     )
     row = occ.collect()[0]  # one row
+    if row["levels"] == 0:  # no stations: a single round at level 0 settles nothing
+        return 0
     return MAX_LEVEL if row["level"] is None else int(row["level"])
 
 
