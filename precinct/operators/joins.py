@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from precinct.functions.text import zip5
 
@@ -21,28 +22,62 @@ from precinct.functions.text import zip5
 # hints, "broadcast" goes through the size check.
 JOIN_HINTS = ("broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
 
-# Default row bound for a broadcast side (dimension tables are far below it).
+# Default bounds for a broadcast side (dimension tables are far below both).
 DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_count(df: DataFrame, max_rows: int) -> int | None:
-    """Row count of ``df`` if it is at most ``max_rows``, else ``None``.
-
-    Runs ``limit(max_rows + 1).count()``: each task stops after that many rows,
-    so the check costs at most ``max_rows + 1`` rows per partition.
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+
+_FIXED_WIDTH = {
+    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4,
+    T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16,
+}
+
+
+def _row_bytes(df: DataFrame):
+    """Column expression: an upper bound of one row's payload in bytes
+    (fixed widths, plus the byte length of strings / binaries)."""
+    total = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        width = _FIXED_WIDTH.get(type(f.dataType))
+        if width is not None:
+            total = total + F.lit(width + 8)
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + F.lit(16)
+        else:  # nested values: measure their JSON text
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+    return total
+
+
+def bounded_count(
+    df: DataFrame, max_rows: int, max_bytes: int | None = DEFAULT_BROADCAST_BYTES
+) -> int | None:
+    """Row count of ``df`` if it has at most ``max_rows`` rows and (when
+    ``max_bytes`` is given) at most ``max_bytes`` of payload, else ``None``.
+
+    One bounded job over ``limit(max_rows + 1)``: each task stops after that
+    many rows, so the check never reads more than ``max_rows + 1`` rows per
+    partition whatever the size of ``df``.
     """
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (see :func:`bounded_count`)."""
-    return bounded_count(df, max_rows) is not None
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    head = df.limit(max_rows + 1)
+    if max_bytes is None:
+        n, size = head.count(), 0
+    else:
+        row = head.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).collect()[0]
+        n, size = row["n"], row["b"] or 0
+    if n > max_rows or (max_bytes is not None and size > max_bytes):
+        return None
+    return n
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+         max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` is within both bounds (see :func:`bounded_count`)."""
+    return bounded_count(df, max_rows, max_bytes) is not None
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if ``df`` is within the row and byte bounds, else ``df``."""
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
 def hinted(df: DataFrame, hint: str | None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

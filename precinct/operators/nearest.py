@@ -28,10 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from precinct.functions.geo import haversine_km
-from precinct.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_count
+from precinct.operators.joins import bounded_count
 
 OUT_COLS = ("near_prec", "near_division", "near_y", "near_x", "near_km")
 
+# The array strategy evaluates every station for every point, so its bound
+# is a compute bound (points x stations), far below any memory bound.
+MAX_ARRAY_STATIONS = 1024
+
 
 def _clean_stations(stations: DataFrame) -> DataFrame:
     return stations.where(F.col("y").isNotNull() & F.col("x").isNotNull()).select(
@@ -92,12 +96,14 @@ def nearest_station(
     lat: str = "lat",
     lon: str = "lon",
     strategy: str = "auto",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int = MAX_ARRAY_STATIONS,
     grid_degrees: float | None = None,
 ) -> DataFrame:
     """Add ``near_prec, near_division, near_y, near_x, near_km`` to each point.
 
-    ``points`` rows must be distinct for the ``min_by`` and ``grid``
+    ``auto`` uses ``array`` while the (cleaned) stations number at most
+    ``max_broadcast_rows`` (checked with a bounded count) and ``grid``
+    beyond. ``points`` rows must be distinct for the ``min_by`` and ``grid``
     strategies (they group by the point's columns); pre-aggregate first.
     Points with a NULL coordinate are dropped.
     """

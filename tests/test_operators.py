@@ -157,3 +157,13 @@ def test_extremes_tie_break_and_nulls(spark):
     assert got == [90001, 90002, 90003, 90004, 90005, 90007]
     assert sorted(r[0] for r in extremes(df, "median_income", "zip_code", 10).collect()) == [
         90001, 90002, 90003, 90004, 90005, 90007, 90008]
+
+
+def test_fits_bounds_bytes_as_well_as_rows(spark):
+    wide = spark.createDataFrame([(i, "x" * 1000) for i in range(10)], "id long, s string")
+    assert jn.bounded_count(wide, 100, max_bytes=None) == 10
+    assert jn.bounded_count(wide, 100, max_bytes=100_000) == 10
+    assert jn.bounded_count(wide, 100, max_bytes=5_000) is None
+    assert jn.bounded_count(wide, 5, max_bytes=None) is None
+    nested = spark.createDataFrame([([1, 2, 3], {"a": 1})], "a array<int>, m map<string,int>")
+    assert jn.bounded_count(nested, 10) == 1
