@@ -40,8 +40,9 @@ INCIDENT_COLS = ["incident_id", "occ_date", "time_occ", "area", "premis", "weapo
 INCIDENT_SQL_COLS = ", ".join(INCIDENT_COLS)
 
 
-def _tables(spark: SparkSession, sf: str):
-    return td.incidents(spark, sf), td.revgeo(spark, sf), td.income(spark, sf), td.stations(spark, sf)
+def _tables(spark: SparkSession, sf: str, *names: str) -> list[DataFrame]:
+    """The canonical tables ``names`` (only those are opened)."""
+    return [getattr(td, n)(spark, sf) for n in names]
 
 
 def _r4(col) -> F.Column:
@@ -184,13 +185,13 @@ _COORD_JOIN_SQL = with_adapters(
 
 @register("join_coords_expr", _COORD_JOIN_SQL)
 def q_join_coords_expr(spark, sf):
-    inc, geo, _, _ = _tables(spark, sf)
+    inc, geo = _tables(spark, sf, "incidents", "revgeo")
     return jn.join_coords_expr(inc.select("incident_id", "lat", "lon"), geo).select("incident_id", "lat", "lon", "zip")
 
 
 @register("join_coords_using", _COORD_JOIN_SQL)
 def q_join_coords_using(spark, sf):
-    inc, geo, _, _ = _tables(spark, sf)
+    inc, geo = _tables(spark, sf, "incidents", "revgeo")
     return jn.join_coords_using(inc.select("incident_id", "lat", "lon"), geo).select("incident_id", "lat", "lon", "zip")
 
 
@@ -206,7 +207,7 @@ def q_join_coords_using(spark, sf):
     ),
 )
 def q_join_zip_income(spark, sf):
-    inc, geo, income, _ = _tables(spark, sf)
+    inc, geo, income = _tables(spark, sf, "incidents", "revgeo", "income")
     located = jn.with_zip_code(jn.join_coords_using(inc.select("incident_id", "lat", "lon"), geo))
     return jn.join_zip_income(located, income).select("incident_id", "zip_code", "median_income")
 
@@ -220,7 +221,7 @@ def q_join_zip_income(spark, sf):
     ),
 )
 def q_join_area_station(spark, sf):
-    inc, _, _, st = _tables(spark, sf)
+    inc, st = _tables(spark, sf, "incidents", "stations")
     return jn.join_area_station(inc, st).select("incident_id", "area", "prec", "division")
 
 
@@ -301,19 +302,19 @@ def q_zip_extremes(spark, sf):
     ).replace(")\n, selected AS", "),\nselected AS"),
 )
 def q_semi_join_selected_zips(spark, sf):
-    _, geo, income, _ = _tables(spark, sf)
+    geo, income = _tables(spark, sf, "revgeo", "income")
     return jn.semi_join(jn.with_zip_code(geo), rp.selected_zips(income, TOP_K), "zip_code", bounded=True)
 
 
 @register("descent_by_income", _DESCENT_SQL)
 def q_descent_by_income(spark, sf):
-    inc, geo, income, _ = _tables(spark, sf)
+    inc, geo, income = _tables(spark, sf, "incidents", "revgeo", "income")
     return rp.descent_by_income(inc, geo, income, REPORT_YEAR, TOP_K)
 
 
 def _hinted_descent(hint: str) -> Query:
     def q(spark, sf):
-        inc, geo, income, _ = _tables(spark, sf)
+        inc, geo, income = _tables(spark, sf, "incidents", "revgeo", "income")
         return rp.descent_by_income(inc, geo, income, REPORT_YEAR, TOP_K, hint=hint)
 
     return q
@@ -341,7 +342,7 @@ _F32 = f"CAST({_HAV_IS} AS FLOAT)"
     ),
 )
 def q_haversine_km(spark, sf):
-    inc, _, _, st = _tables(spark, sf)
+    inc, st = _tables(spark, sf, "incidents", "stations")
     j = jn.join_area_station(inc, st)
     return j.select("incident_id", "prec", F.round(haversine_km_f32("lat", "lon", "y", "x").cast("double"), 4)
                     .alias("distance_km"))
@@ -361,7 +362,7 @@ _BY_YEAR_AREA_SQL = with_adapters(
 
 @register("distance_by_year_area", _BY_YEAR_AREA_SQL)
 def q_distance_by_year_area(spark, sf):
-    inc, _, _, st = _tables(spark, sf)
+    inc, st = _tables(spark, sf, "incidents", "stations")
     return rp.distance_by_year_area(inc, st)
 
 
@@ -375,7 +376,7 @@ def q_distance_by_year_area(spark, sf):
     ),
 )
 def q_distance_by_division_area(spark, sf):
-    inc, _, _, st = _tables(spark, sf)
+    inc, st = _tables(spark, sf, "incidents", "stations")
     return rp.distance_by_division_area(inc, st)
 
 
@@ -390,7 +391,7 @@ def q_distance_by_division_area(spark, sf):
     ),
 )
 def q_distance_formatted(spark, sf):
-    inc, _, _, st = _tables(spark, sf)
+    inc, st = _tables(spark, sf, "incidents", "stations")
     return rp.distance_formatted(rp.distance_by_year_area(inc, st))
 
 
@@ -409,7 +410,7 @@ WHERE {_FIRE_WHERE}"""
     ),
 )
 def q_nearest_distance(spark, sf):
-    inc, _, _, st = _tables(spark, sf)
+    inc, st = _tables(spark, sf, "incidents", "stations")
     near = nearest_station(flt.firearm_incidents(inc).select("incident_id", "lat", "lon"), st)
     return near.select("incident_id", _r4("near_km").alias("distance_km"))
 
@@ -424,7 +425,7 @@ def q_nearest_distance(spark, sf):
     ),
 )
 def q_nearest_station(spark, sf):
-    inc, _, _, st = _tables(spark, sf)
+    inc, st = _tables(spark, sf, "incidents", "stations")
     near = nearest_station(flt.firearm_incidents(inc).select("incident_id", "lat", "lon"), st)
     return near.select(
         "incident_id", F.col("near_prec").alias("prec"), F.col("near_division").alias("division"),
@@ -442,7 +443,7 @@ def q_nearest_station(spark, sf):
     ),
 )
 def q_distance_by_year_nearest(spark, sf):
-    inc, _, _, st = _tables(spark, sf)
+    inc, st = _tables(spark, sf, "incidents", "stations")
     return rp.distance_by_year_nearest(inc, st)
 
 
@@ -456,7 +457,7 @@ def q_distance_by_year_nearest(spark, sf):
     ),
 )
 def q_distance_by_division_nearest(spark, sf):
-    inc, _, _, st = _tables(spark, sf)
+    inc, st = _tables(spark, sf, "incidents", "stations")
     return rp.distance_by_division_nearest(inc, st)
 
 
@@ -497,7 +498,7 @@ def q_load_incidents_union(spark, sf):
     "SELECT o_orderkey AS incident_id, CAST(o_orderdate AS DATE) AS occ_date FROM orders",
 )
 def q_parse_report_ts(spark, sf):
-    orders = spark.read.parquet(f"{sf.rstrip('/')}/orders.parquet")
+    orders = td._table(spark, sf, "orders")
     text = F.date_format(F.col("o_orderdate"), SOURCE_TS_FORMAT)
     return orders.select(F.col("o_orderkey").alias("incident_id"), parse_date(text).alias("occ_date"))
 

@@ -3,7 +3,7 @@
 Usage: ``python tests/oracle_compare.py [sf_dir] [key ...]``. Prints one
 line per key and exits non-zero on any mismatch. Comparison: same column
 names, same row count, same multiset of rows (column order by name, floats
-rounded to 4 places).
+rounded to 4 places; ``ORACLE_EXACT=1`` compares floats bit for bit).
 """
 
 from __future__ import annotations
@@ -34,11 +34,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 4) + 0.0
+        return v + 0.0 if EXACT else round(v, 4) + 0.0
     if isinstance(v, dt.datetime):
         return v.isoformat()
     if isinstance(v, dt.date):
