@@ -98,6 +98,7 @@ def nearest_station(
     strategy: str = "auto",
     max_broadcast_rows: int = MAX_ARRAY_STATIONS,
     grid_degrees: float | None = None,
+    max_per_cell: int = 64,
 ) -> DataFrame:
     """Add ``near_prec, near_division, near_y, near_x, near_km`` to each point.
 
@@ -122,5 +123,5 @@ def nearest_station(
     if strategy == "grid":
         from precinct.operators.nearest_grid import nearest_grid
 
-        return nearest_grid(pts, st, lat, lon, grid_degrees)
+        return nearest_grid(pts, st, lat, lon, grid_degrees, max_per_cell)
     raise ValueError(f"unknown strategy {strategy!r}")

@@ -235,8 +235,7 @@ _SELECTED_ZIPS_SQL = f"""selected AS (
                         ORDER BY median_income ASC, zip_code LIMIT {TOP_K}) bottom_zips)"""
 
 _DESCENT_SQL = with_adapters(
-    f""", {_SELECTED_ZIPS_SQL}
-SELECT i.descent, count(*) AS crime_count
+    f"""SELECT i.descent, count(*) AS crime_count
 FROM incidents i
 JOIN revgeo g ON i.lat = g.lat AND i.lon = g.lon
 JOIN income m ON {_ZIP5_SQL.replace('zip', 'g.zip')} = m.zip_code
@@ -248,7 +247,8 @@ ORDER BY crime_count DESC, i.descent""",
     "incidents",
     "revgeo",
     "income",
-).replace(")\n, selected AS", "),\nselected AS")
+    extra=(_SELECTED_ZIPS_SQL,),
+)
 
 
 @register("zip_normalise", with_adapters(f"SELECT lat, lon, zip, {_ZIP5_SQL} AS zip_code FROM revgeo", "revgeo"))
@@ -284,9 +284,7 @@ def q_zip_bottom_k(spark, sf):
 
 @register(
     "zip_extremes",
-    with_adapters(f", {_SELECTED_ZIPS_SQL}\nSELECT zip_code FROM selected", "income").replace(
-        ")\n, selected AS", "),\nselected AS"
-    ),
+    with_adapters("SELECT zip_code FROM selected", "income", extra=(_SELECTED_ZIPS_SQL,)),
 )
 def q_zip_extremes(spark, sf):
     return rp.selected_zips(td.income(spark, sf), TOP_K)
@@ -295,11 +293,12 @@ def q_zip_extremes(spark, sf):
 @register(
     "semi_join_selected_zips",
     with_adapters(
-        f", {_SELECTED_ZIPS_SQL}\nSELECT lat, lon, zip, zip_code FROM (SELECT *, {_ZIP5_SQL} AS zip_code FROM revgeo) g "
+        f"SELECT lat, lon, zip, zip_code FROM (SELECT *, {_ZIP5_SQL} AS zip_code FROM revgeo) g "
         f"WHERE zip_code IN (SELECT zip_code FROM selected)",
         "revgeo",
         "income",
-    ).replace(")\n, selected AS", "),\nselected AS"),
+        extra=(_SELECTED_ZIPS_SQL,),
+    ),
 )
 def q_semi_join_selected_zips(spark, sf):
     geo, income = _tables(spark, sf, "revgeo", "income")
@@ -415,22 +414,33 @@ def q_nearest_distance(spark, sf):
     return near.select("incident_id", _r4("near_km").alias("distance_km"))
 
 
-@register(
-    "nearest_station",
-    with_adapters(
-        f"SELECT incident_id, prec, division, round(CAST(d AS DOUBLE), 4) AS distance_km "
-        f"FROM ({_NEAREST_BASE}) t WHERE rn = 1",
-        "incidents",
-        "stations",
-    ),
+_NEAREST_STATION_SQL = with_adapters(
+    f"SELECT incident_id, prec, division, round(CAST(d AS DOUBLE), 4) AS distance_km "
+    f"FROM ({_NEAREST_BASE}) t WHERE rn = 1",
+    "incidents",
+    "stations",
 )
-def q_nearest_station(spark, sf):
-    inc, st = _tables(spark, sf, "incidents", "stations")
-    near = nearest_station(flt.firearm_incidents(inc).select("incident_id", "lat", "lon"), st)
-    return near.select(
-        "incident_id", F.col("near_prec").alias("prec"), F.col("near_division").alias("division"),
-        _r4("near_km").alias("distance_km"),
-    )
+
+
+def _nearest_station_query(strategy: str, **kw) -> Query:
+    def q(spark, sf):
+        inc, st = _tables(spark, sf, "incidents", "stations")
+        pts = flt.firearm_incidents(inc).select("incident_id", "lat", "lon")
+        near = nearest_station(pts, st, strategy=strategy, **kw)
+        return near.select(
+            "incident_id", F.col("near_prec").alias("prec"), F.col("near_division").alias("division"),
+            _r4("near_km").alias("distance_km"),
+        )
+
+    return q
+
+
+# The default (broadcast array) and the two other strategies on the same
+# question: the grid variant starts at a fine level (at most 4 stations per
+# cell) so several coarsening rounds run.
+register("nearest_station", _NEAREST_STATION_SQL)(_nearest_station_query("auto"))
+register("nearest_station_min_by", _NEAREST_STATION_SQL)(_nearest_station_query("min_by"))
+register("nearest_station_grid", _NEAREST_STATION_SQL)(_nearest_station_query("grid", max_per_cell=4))
 
 
 @register(

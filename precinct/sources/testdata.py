@@ -154,7 +154,8 @@ ADAPTER_SQL = {
 }
 
 
-def with_adapters(sql: str, *names: str) -> str:
-    """Prefix ``sql`` with the adapter CTEs it needs (in the given order)."""
-    ctes = ",\n".join(ADAPTER_SQL[n] for n in names)
+def with_adapters(sql: str, *names: str, extra: tuple[str, ...] = ()) -> str:
+    """Prefix ``sql`` with the adapter CTEs it needs (in the given order),
+    followed by any ``extra`` CTEs (``name AS (...)`` text)."""
+    ctes = ",\n".join([ADAPTER_SQL[n] for n in names] + list(extra))
     return f"WITH {ctes}\n{sql}"
