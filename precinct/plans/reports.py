@@ -147,7 +147,8 @@ def descent_by_income(
     )  # <= 2k rows
     geo = revgeo.select("lat", "lon", zip5("zip").alias("zip_code"))
     geo_weight = (
-        geo.join(hinted(zip_weight, hint) if hint else F.broadcast(zip_weight), "zip_code", "inner")
+        geo.join(F.broadcast(zip_weight) if hint in (None, "broadcast") else hinted(zip_weight, hint),
+                 "zip_code", "inner")
         .groupBy("lat", "lon")
         .agg(F.sum("w_zip").alias("w"))
     )
