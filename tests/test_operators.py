@@ -167,3 +167,11 @@ def test_fits_bounds_bytes_as_well_as_rows(spark):
     assert jn.bounded_count(wide, 5, max_bytes=None) is None
     nested = spark.createDataFrame([([1, 2, 3], {"a": 1})], "a array<int>, m map<string,int>")
     assert jn.bounded_count(nested, 10) == 1
+
+
+def test_cluster_conf():
+    from precinct.session import cluster_conf
+
+    c = cluster_conf(4000)
+    assert c["spark.sql.shuffle.partitions"] == "12000" and c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert cluster_conf(8, input_bytes=100 << 40)["spark.sql.shuffle.partitions"] == str(100 << 10)
