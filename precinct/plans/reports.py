@@ -88,8 +88,11 @@ def daypart_counts(incidents: DataFrame, premis: str, labels=DAY_PART_LABELS) ->
 def daypart_counts_rdd(incidents: DataFrame, premis: str, labels=DAY_PART_LABELS) -> DataFrame:
     """Q2 on the RDD API: the cross-check of :func:`daypart_counts`.
 
-    Only the two needed columns leave the JVM; ``reduceByKey`` combines
-    map-side, so the shuffle carries at most one row per label and task.
+    The premise filter stays in the DataFrame, so it reaches the parquet scan
+    and only matching rows, one column wide, enter Python. Each partition
+    counts its rows per label locally (one pass, no per-row tuples), then
+    ``reduceByKey`` merges at most one row per label and partition and
+    ``sortBy`` orders the five results.
     """
     import pyspark.cloudpickle as cp
 
@@ -98,10 +101,17 @@ def daypart_counts_rdd(incidents: DataFrame, premis: str, labels=DAY_PART_LABELS
     cp.register_pickle_by_value(temporal)  # workers need not import the package
     bucket = temporal.day_part_py
     labs = dict(labels)
+
+    def count_partition(rows):
+        counts: dict[str, int] = {}
+        for row in rows:
+            label = bucket(row[0], labs)
+            counts[label] = counts.get(label, 0) + 1
+        return iter(counts.items())
+
     pairs = (
-        incidents.select("premis", "time_occ")
-        .rdd.filter(lambda row: row["premis"] == premis)
-        .map(lambda row: (bucket(row["time_occ"], labs), 1))
+        filter_equals(incidents, "premis", premis).select("time_occ")
+        .rdd.mapPartitions(count_partition)
         .reduceByKey(lambda a, b: a + b)
         .sortBy(lambda kv: (-kv[1], kv[0]))
     )
@@ -110,6 +120,7 @@ def daypart_counts_rdd(incidents: DataFrame, premis: str, labels=DAY_PART_LABELS
     )
     return incidents.sparkSession.createDataFrame(pairs, schema)
 
+
 # --------------------------------------------------- Q3: descent by income
 
 
