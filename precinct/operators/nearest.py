@@ -11,15 +11,16 @@ Strategies
     takes ``array_min`` over ``(distance, prec, ...)`` structs. Fully map-side:
     no shuffle, no key needed, one pass over the points.
 ``min_by``
-    Broadcast cross join, then the smallest ``(distance, prec, ...)`` struct
-    per point. Same answer; the struct minimum runs as a sort-based aggregate
-    (a sort of points x stations rows) and needs a shuffle by point unless
-    the points are already partitioned by their columns.
+    Broadcast cross join of the distinct coordinates with the stations, then
+    the smallest ``(distance, prec, ...)`` struct per coordinate, joined back
+    to the points. Same answer; the struct minimum runs as a sort-based
+    aggregate over coordinates x stations rows.
 ``grid``   (used when the stations do not fit the broadcast bound)
     Exact search on a lat/lon grid that coarsens round by round: a point is
     settled once its best candidate is no farther than the nearest edge of the
     searched 3x3 block; unsettled points go on to a grid twice as coarse. Only
     equi-joins on cell keys, so it scales with stations and points alike.
+    Runs on the distinct coordinates and joins the answer back.
 """
 
 from __future__ import annotations
@@ -104,9 +105,8 @@ def nearest_station(
 
     ``auto`` uses ``array`` while the (cleaned) stations number at most
     ``max_broadcast_rows`` (checked with a bounded count) and ``grid``
-    beyond. ``points`` rows must be distinct for the ``min_by`` and ``grid``
-    strategies (they group by the point's columns); pre-aggregate first.
-    Points with a NULL coordinate are dropped.
+    beyond. Points with a NULL coordinate are dropped; every other column of
+    ``points`` is kept as it is.
     """
     pts = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     st = _clean_stations(stations)
@@ -118,10 +118,17 @@ def nearest_station(
             raise ValueError("stations exceed max_broadcast_rows; use strategy='grid'")
     if strategy == "array":
         return _nearest_array(pts, st, lat, lon)
+    if strategy not in ("min_by", "grid"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    # The answer depends only on the coordinates: solve each distinct
+    # coordinate once (a partial aggregate, so a hot coordinate is one row
+    # per task), then join back; AQE broadcasts the result or splits a hot
+    # coordinate's partition.
+    coords = pts.select(lat, lon).distinct()
     if strategy == "min_by":
-        return _nearest_min_by(pts, st, lat, lon)
-    if strategy == "grid":
+        near = _nearest_min_by(coords, st, lat, lon)
+    else:
         from precinct.operators.nearest_grid import nearest_grid
 
-        return nearest_grid(pts, st, lat, lon, grid_degrees, max_per_cell)
-    raise ValueError(f"unknown strategy {strategy!r}")
+        near = nearest_grid(coords, st, lat, lon, grid_degrees, max_per_cell)
+    return pts.join(near, [lat, lon], "inner").select(*points.columns, *OUT_COLS)

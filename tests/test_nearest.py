@@ -116,3 +116,18 @@ def test_start_level_respects_cell_bound(spark):
     lvl = start_level(sts, 5)
     assert 0 < lvl <= 30
     assert start_level(sts, 1000) == 0
+
+
+def test_duplicate_points_and_extra_columns_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    sts = [(34.0, -118.1, 1, "A"), (34.5, -118.5, 2, "B")]
+    s = spark.createDataFrame(sts, ST_SCHEMA)
+    p = spark.createDataFrame([(1, 34.0, -118.0, "x"), (1, 34.0, -118.0, "x"), (2, 34.4, -118.5, "y")],
+                              "pid long, lat double, lon double, tag string")
+    for strategy in ["array", "min_by", "grid"]:
+        out = nearest_station(p, s, strategy=strategy)
+        assert out.columns[:4] == ["pid", "lat", "lon", "tag"], strategy
+        got = sorted((r["pid"], r["tag"], r["near_prec"]) for r in out.collect())
+        assert got == [(1, "x", 1), (1, "x", 1), (2, "y", 2)], strategy
+        assert out.where(F.col("near_km").isNull()).count() == 0
