@@ -112,9 +112,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for helpers that need a plain path."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["local_session", "session", "cluster_conf", "checkpoint_root", "scratch_path", "local_path"]
+__all__ = ["local_session", "session", "cluster_conf", "checkpoint_root", "scratch_path"]
