@@ -6,10 +6,14 @@ NULL coordinate are ignored. A point with no station at all gets no row.
 
 Strategies
 ----------
-``array``  (default while the stations fit the broadcast bound)
-    The stations are packed into one array row, broadcast, and every point
-    takes ``array_min`` over ``(distance, prec, ...)`` structs. Fully map-side:
-    no shuffle, no key needed, one pass over the points.
+Every strategy solves the distinct coordinates of the points and joins the
+answer back on (lat, lon): coordinates repeat heavily in incident data, the
+distinct step is a map-side-combined aggregate, and the join back is a
+broadcast whenever the answer is small (AQE measures it).
+
+``array``  (default while the stations fit the bound)
+    The stations are packed into one array row, broadcast, and every
+    coordinate takes ``array_min`` over ``(distance, prec, index)`` structs.
 ``min_by``
     Broadcast cross join of the distinct coordinates with the stations, then
     the smallest ``(distance, prec, ...)`` struct per coordinate, joined back
@@ -28,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precinct.functions.geo import haversine_km
+from precinct.functions.geo import EARTH_RADIUS_KM, haversine_km
 from precinct.operators.joins import bounded_count
 
 OUT_COLS = ("near_prec", "near_division", "near_y", "near_x", "near_km")
@@ -57,23 +61,45 @@ def _expand(df: DataFrame, best: str) -> DataFrame:
 
 
 def _nearest_array(points: DataFrame, stations: DataFrame, lat: str, lon: str) -> DataFrame:
-    packed = stations.agg(F.collect_list(F.struct("y", "x", "prec", "division")).alias("_stations"))
-    la, lo = F.col(lat), F.col(lon)
-
-    def candidate(s: Column) -> Column:
-        return F.struct(
-            haversine_km(la, lo, s["y"], s["x"]).alias("d"),
-            s["prec"].alias("prec"),
-            s["division"].alias("division"),
-            s["y"].alias("y"),
-            s["x"].alias("x"),
+    # Per-station terms (radians, cosine) are computed once into the packed
+    # array and per-point terms once per row, so the lambda - which Spark
+    # interprets - only does the rest of the formula, in the same order as
+    # haversine_km (same double result). It returns (distance, prec, index);
+    # the winner's other fields are read back by index.
+    packed = stations.agg(
+        F.collect_list(
+            F.struct(
+                F.radians("y").alias("ry"), F.cos(F.radians("y")).alias("cy"), F.radians("x").alias("rx"),
+                F.col("prec").alias("prec"), F.col("y").alias("y"), F.col("x").alias("x"),
+                F.col("division").alias("division"),
+            )
+        ).alias("_stations")
+    )
+    p1 = F.radians(F.col(lat))
+    joined = points.crossJoin(F.broadcast(packed)).select(
+        *points.columns, "_stations", p1.alias("_p1"), F.cos(p1).alias("_c1"), F.radians(F.col(lon)).alias("_l1")
+    )
+
+    def candidate(s: Column, i: Column) -> Column:
+        a = F.pow(F.sin((s["ry"] - F.col("_p1")) / 2), 2) + F.col("_c1") * s["cy"] * F.pow(
+            F.sin((s["rx"] - F.col("_l1")) / 2), 2
+        )
+        d = F.lit(EARTH_RADIUS_KM) * (
+            F.lit(2.0) * F.atan2(F.sqrt(a), F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0) - a)))
         )
+        return F.struct(d.alias("d"), s["prec"].alias("prec"), i.alias("i"))
 
-    cols = points.columns
-    joined = points.crossJoin(F.broadcast(packed))
     best = F.array_min(F.transform(F.col("_stations"), candidate))
-    out = joined.select(*cols, best.alias("_best")).where(F.col("_best").isNotNull())
-    return _expand(out, "_best")
+    out = joined.select(*points.columns, "_stations", best.alias("_b")).where(F.col("_b").isNotNull())
+    won = F.element_at(F.col("_stations"), F.col("_b.i") + 1)
+    return out.select(
+        *points.columns,
+        F.col("_b.prec").alias("near_prec"),
+        won["division"].alias("near_division"),
+        won["y"].alias("near_y"),
+        won["x"].alias("near_x"),
+        F.col("_b.d").alias("near_km"),
+    )
 
 
 def _nearest_min_by(points: DataFrame, stations: DataFrame, lat: str, lon: str) -> DataFrame:
@@ -116,16 +142,16 @@ def nearest_station(
             strategy = "array" if fits else "grid"
         elif not fits:
             raise ValueError("stations exceed max_broadcast_rows; use strategy='grid'")
-    if strategy == "array":
-        return _nearest_array(pts, st, lat, lon)
-    if strategy not in ("min_by", "grid"):
+    if strategy not in ("array", "min_by", "grid"):
         raise ValueError(f"unknown strategy {strategy!r}")
     # The answer depends only on the coordinates: solve each distinct
     # coordinate once (a partial aggregate, so a hot coordinate is one row
-    # per task), then join back; AQE broadcasts the result or splits a hot
-    # coordinate's partition.
+    # per task), then join back; AQE broadcasts the per-coordinate answer
+    # once its measured size is small, or splits a hot coordinate's partition.
     coords = pts.select(lat, lon).distinct()
-    if strategy == "min_by":
+    if strategy == "array":
+        near = _nearest_array(coords, st, lat, lon)
+    elif strategy == "min_by":
         near = _nearest_min_by(coords, st, lat, lon)
     else:
         from precinct.operators.nearest_grid import nearest_grid
