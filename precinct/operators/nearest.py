@@ -126,6 +126,7 @@ def nearest_station(
     max_broadcast_rows: int = MAX_ARRAY_STATIONS,
     grid_degrees: float | None = None,
     max_per_cell: int = 64,
+    distinct_coords: bool = True,
 ) -> DataFrame:
     """Add ``near_prec, near_division, near_y, near_x, near_km`` to each point.
 
@@ -133,6 +134,12 @@ def nearest_station(
     ``max_broadcast_rows`` (checked with a bounded count) and ``grid``
     beyond. Points with a NULL coordinate are dropped; every other column of
     ``points`` is kept as it is.
+
+    ``distinct_coords=False`` solves the rows of ``points`` directly instead
+    of their distinct coordinates (no join back, no second pass over the
+    input): for inputs that are already aggregated to distinct rows, such as
+    (year, lat, lon, count). The rows must then be distinct for ``min_by``
+    and ``grid``, which group by all point columns.
     """
     pts = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     st = _clean_stations(stations)
@@ -144,17 +151,20 @@ def nearest_station(
             raise ValueError("stations exceed max_broadcast_rows; use strategy='grid'")
     if strategy not in ("array", "min_by", "grid"):
         raise ValueError(f"unknown strategy {strategy!r}")
+    def solve(df: DataFrame) -> DataFrame:
+        if strategy == "array":
+            return _nearest_array(df, st, lat, lon)
+        if strategy == "min_by":
+            return _nearest_min_by(df, st, lat, lon)
+        from precinct.operators.nearest_grid import nearest_grid
+
+        return nearest_grid(df, st, lat, lon, grid_degrees, max_per_cell)
+
+    if not distinct_coords:
+        return solve(pts).select(*points.columns, *OUT_COLS)
     # The answer depends only on the coordinates: solve each distinct
     # coordinate once (a partial aggregate, so a hot coordinate is one row
     # per task), then join back; AQE broadcasts the per-coordinate answer
     # once its measured size is small, or splits a hot coordinate's partition.
-    coords = pts.select(lat, lon).distinct()
-    if strategy == "array":
-        near = _nearest_array(coords, st, lat, lon)
-    elif strategy == "min_by":
-        near = _nearest_min_by(coords, st, lat, lon)
-    else:
-        from precinct.operators.nearest_grid import nearest_grid
-
-        near = nearest_grid(coords, st, lat, lon, grid_degrees, max_per_cell)
+    near = solve(pts.select(lat, lon).distinct())
     return pts.join(near, [lat, lon], "inner").select(*points.columns, *OUT_COLS)

@@ -64,3 +64,13 @@ def test_scans_read_only_needed_columns(spark, q):
 def test_premise_filter_pushed(spark, q):
     plan = executed_plan(q["daypart_df"](spark, SF0001))
     assert "EqualTo(o_orderpriority,1-URGENT)" in plan
+
+
+@pytest.mark.parametrize("key", ["month_top3_df", "daypart_df", "descent_by_income", "distance_by_year_area",
+                                 "distance_by_division_area", "distance_by_year_nearest",
+                                 "distance_by_division_nearest"])
+def test_reports_scan_the_fact_once(spark, q, key):
+    df = q[key](spark, SF0001)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("orders.parquet") == 1
