@@ -75,16 +75,29 @@ def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` if ``df`` is within the row and byte bounds, else ``df``."""
+                      max_bytes: int | None = DEFAULT_BROADCAST_BYTES, materialize: bool = False) -> DataFrame:
+    """``broadcast(df)`` if ``df`` is within the row and byte bounds, else ``df``.
+
+    ``materialize=True`` is for a side derived by its own joins and
+    aggregations: it is first written once with a reliable ``checkpoint()``
+    (in ``spark.checkpoint.dir``), so the size check and the join both read
+    that copy instead of computing the side twice.
+    """
+    if materialize:
+        from precinct.session import checkpoint_root
+
+        checkpoint_root(df.sparkSession)
+        df = df.checkpoint(eager=True)
     return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
 
 
-def hinted(df: DataFrame, hint: str | None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def hinted(df: DataFrame, hint: str | None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+           materialize: bool = False) -> DataFrame:
     """Apply a join-strategy hint to the build side ``df``.
 
     ``None`` leaves the choice to the planner and AQE; ``"broadcast"`` is
-    size-checked; ``"merge"``, ``"shuffle_hash"``, ``"shuffle_replicate_nl"``
+    size-checked (``materialize``: see :func:`checked_broadcast`);
+    ``"merge"``, ``"shuffle_hash"``, ``"shuffle_replicate_nl"``
     force sort-merge, shuffled-hash, and cartesian-with-filter respectively
     (the last is quadratic; a study setting for small inputs only).
     """
@@ -92,7 +105,7 @@ def hinted(df: DataFrame, hint: str | None, max_broadcast_rows: int = DEFAULT_BR
         return df
     h = hint.lower()
     if h == "broadcast":
-        return checked_broadcast(df, max_broadcast_rows)
+        return checked_broadcast(df, max_broadcast_rows, materialize=materialize)
     if h in JOIN_HINTS:
         return df.hint(h)
     raise ValueError(f"unknown join hint {hint!r}; expected one of {JOIN_HINTS}")

@@ -165,7 +165,9 @@ def descent_by_income(
     )
     facts = filter_not_null(filter_year(incidents, "occ_date", year), "descent")
     per_point = facts.groupBy("lat", "lon", "descent").agg(F.count(F.lit(1)).alias("n"))
-    joined = per_point.join(hinted(geo_weight, hint), ["lat", "lon"], "inner")
+    # geo_weight is derived (geocodes x selected ZIP weights); under the
+    # broadcast hint it is written once, then size-checked and broadcast.
+    joined = per_point.join(hinted(geo_weight, hint, materialize=True), ["lat", "lon"], "inner")
     return (
         joined.groupBy("descent")
         .agg(F.sum(F.col("n") * F.col("w")).alias("crime_count"))

@@ -175,3 +175,11 @@ def test_cluster_conf():
     c = cluster_conf(4000)
     assert c["spark.sql.shuffle.partitions"] == "12000" and c["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert cluster_conf(8, input_bytes=100 << 40)["spark.sql.shuffle.partitions"] == str(100 << 10)
+
+
+def test_checked_broadcast_materialize(spark):
+    derived = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    out = jn.checked_broadcast(derived, 10, materialize=True)
+    assert sorted(r["k"] for r in out.collect()) == list(range(7))
+    big = jn.checked_broadcast(derived, 3, materialize=True)  # too big: returned unhinted, still whole
+    assert big.count() == 7
