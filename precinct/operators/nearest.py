@@ -6,10 +6,12 @@ NULL coordinate are ignored. A point with no station at all gets no row.
 
 Strategies
 ----------
-Every strategy solves the distinct coordinates of the points and joins the
-answer back on (lat, lon): coordinates repeat heavily in incident data, the
-distinct step is a map-side-combined aggregate, and the join back is a
-broadcast whenever the answer is small (AQE measures it).
+By default every strategy solves the distinct coordinates of the points and
+joins the answer back on (lat, lon): coordinates repeat heavily in incident
+data, the distinct step is a map-side-combined aggregate, and the join back
+is a broadcast whenever the answer is small (AQE measures it). Input that is
+already aggregated to distinct rows is solved in place
+(``distinct_coords=False``).
 
 ``array``  (default while the stations fit the bound)
     The stations are packed into one array row, broadcast, and every
@@ -21,10 +23,10 @@ broadcast whenever the answer is small (AQE measures it).
     aggregate over coordinates x stations rows.
 ``grid``   (used when the stations do not fit the broadcast bound)
     Exact search on a lat/lon grid that coarsens round by round: a point is
-    settled once its best candidate is no farther than the nearest edge of the
-    searched 3x3 block; unsettled points go on to a grid twice as coarse. Only
-    equi-joins on cell keys, so it scales with stations and points alike.
-    Runs on the distinct coordinates and joins the answer back.
+    settled once its best candidate is nearer than a lower bound on the
+    distance to anything outside the searched 3x3 block; unsettled points go
+    on to a grid twice as coarse. Only equi-joins on cell keys, so it scales
+    with stations and points alike (see :mod:`precinct.operators.nearest_grid`).
 """
 
 from __future__ import annotations
