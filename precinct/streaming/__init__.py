@@ -4,5 +4,6 @@ The analyses this library re-expresses are batch-only: there is no stream
 source, watermark, window or stateful operator to reproduce, so nothing is
 built here. The column functions in :mod:`precinct.functions` and the
 filters in :mod:`precinct.operators.filters` are plain expressions and work
-unchanged on a ``readStream`` DataFrame.
+unchanged on a ``readStream`` DataFrame (``tests/test_streaming.py`` runs the
+day-part report on a parquet file stream in complete mode).
 """
