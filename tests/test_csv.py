@@ -92,3 +92,9 @@ def test_view_registration(spark):
     df = spark.createDataFrame([(1,)], "a int")
     src.register_view(df, "tiny_view")
     assert spark.sql("select count(*) from tiny_view").collect()[0][0] == 1
+
+
+def test_schema_inference_is_opt_in(spark, tmp_path):
+    p = _write(tmp_path, "inf", "A,B\n1,x\n2,y\n")
+    assert dict(src.read_csv_raw(spark, p).dtypes) == {"A": "string", "B": "string"}
+    assert dict(src.read_csv_raw(spark, p, infer_schema=True).dtypes) == {"A": "int", "B": "string"}
