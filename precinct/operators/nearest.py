@@ -91,8 +91,11 @@ def _nearest_array(points: DataFrame, stations: DataFrame, lat: str, lon: str) -
         )
         return F.struct(d.alias("d"), s["prec"].alias("prec"), i.alias("i"))
 
+    # With at least one station the minimum exists; testing the array size
+    # (not the result) keeps the optimizer from evaluating the lambda twice.
+    joined = joined.where(F.size(F.col("_stations")) > 0)
     best = F.array_min(F.transform(F.col("_stations"), candidate))
-    out = joined.select(*points.columns, "_stations", best.alias("_b")).where(F.col("_b").isNotNull())
+    out = joined.select(*points.columns, "_stations", best.alias("_b"))
     won = F.element_at(F.col("_stations"), F.col("_b.i") + 1)
     return out.select(
         *points.columns,
@@ -154,6 +157,13 @@ def nearest_station(
     if strategy not in ("array", "min_by", "grid"):
         raise ValueError(f"unknown strategy {strategy!r}")
     def solve(df: DataFrame) -> DataFrame:
+        if strategy in ("array", "min_by"):
+            # CPU-bound per row (every station evaluated): spread the rows
+            # over all cores. AQE would coalesce the few bytes of distinct
+            # coordinates into one task, and a hash repartition on (lat, lon)
+            # would be merged into the distinct's own exchange; a round-robin
+            # repartition is kept as asked.
+            df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
         if strategy == "array":
             return _nearest_array(df, st, lat, lon)
         if strategy == "min_by":
