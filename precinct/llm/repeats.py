@@ -45,9 +45,9 @@ from pyspark.sql import functions as F
 from precinct.llm.arrow import Batches, arrow_schema, map_arrow, rows_of
 from precinct.llm.tables import dropped, text_of, written
 
-SIZE, GRAM = 400, 96
+SIZE, GRAM = 400, 48
 #: Places of an anchor from which its starts are counted by hash.
-HOT = 4096
+HOT = 32_768
 #: Contexts that go through the columns together.
 TOGETHER = 2048
 #: Starts of a document that are looked at together; places fit 20 bits.
