@@ -30,10 +30,16 @@ def haversine_km_f32(lat1, lon1, lat2, lon2) -> Column:
     return haversine_km(lat1, lon1, lat2, lon2).cast("float")
 
 
+def known(col: Column | str) -> Column:
+    """True for a finite number; NULL, NaN and infinities are unknown."""
+    c = as_col(col)
+    return c.isNotNull() & (F.abs(c) < F.lit(float("inf")))
+
+
 def not_null_island(lat: Column | str = "lat", lon: Column | str = "lon") -> Column:
-    """True when both coordinates are known and non-zero (NULL counts as unknown)."""
+    """True when both coordinates are known and non-zero."""
     la, lo = as_col(lat), as_col(lon)
-    return (la != F.lit(0.0)) & (lo != F.lit(0.0))
+    return (la != F.lit(0.0)) & (lo != F.lit(0.0)) & known(la) & known(lo)
 
 
 def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:

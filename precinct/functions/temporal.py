@@ -15,17 +15,18 @@ from precinct.functions._cols import as_col
 # 12-hour clock text, e.g. "03/01/2015 12:00:00 AM".
 SOURCE_TS_FORMAT = "MM/dd/yyyy hh:mm:ss a"
 
-# Part-of-day boundaries on HHMM integers (inclusive):
-#   morning 500-1159, afternoon 1200-1659, evening 1700-2059,
-#   night >= 2100 or <= 459; everything else (460-499, 1160-1199,
-#   1660-1699, 2060-2099, and NULL) is unclassified.
-DAY_PART_LABELS = {
-    "morning": "morning",
-    "afternoon": "afternoon",
-    "evening": "evening",
-    "night": "night",
-    "unclassified": "unclassified",
-}
+# Parts of the day as ranges of HHMM integers, both ends in;
+# what lies between them (460-499, 1160-1199, 1660-1699, 2060-2099) and NULL
+# are unclassified. None: no end.
+DAY_PARTS = (
+    ("morning", 500, 1159),
+    ("afternoon", 1200, 1659),
+    ("evening", 1700, 2059),
+    ("night", 2100, None),
+    ("night", None, 459),
+)
+UNCLASSIFIED = "unclassified"
+DAY_PART_LABELS = {part: part for part in (*dict.fromkeys(p for p, _, _ in DAY_PARTS), UNCLASSIFIED)}
 # The labels the original reports print, same order as above.
 ORIGINAL_DAY_PART_LABELS = {
     "morning": "Πρωί",
@@ -59,32 +60,35 @@ def year_range(col: Column | str, year: int) -> Column:
 def day_part(col: Column | str, labels: Mapping[str, str] = DAY_PART_LABELS) -> Column:
     """Bucket an HHMM integer into a part of the day (one CASE expression)."""
     t = as_col(col)
-    return (
-        F.when((t >= 500) & (t <= 1159), F.lit(labels["morning"]))
-        .when((t >= 1200) & (t <= 1659), F.lit(labels["afternoon"]))
-        .when((t >= 1700) & (t <= 2059), F.lit(labels["evening"]))
-        .when((t >= 2100) | (t <= 459), F.lit(labels["night"]))
-        .otherwise(F.lit(labels["unclassified"]))
-    )
+    pairs = [
+        (
+            (F.lit(True) if low is None else t >= low) & (F.lit(True) if high is None else t <= high),
+            F.lit(labels[part]),
+        )
+        for part, low, high in DAY_PARTS
+    ]
+    case = F.when(*pairs[0])
+    for condition, label in pairs[1:]:
+        case = case.when(condition, label)
+    return case.otherwise(F.lit(labels[UNCLASSIFIED]))
 
 
 def day_part_py(t: int | None, labels: Mapping[str, str] = DAY_PART_LABELS) -> str:
-    """Plain-Python twin of :func:`day_part` (RDD path and property tests)."""
-    if t is None:
-        return labels["unclassified"]
-    if 500 <= t <= 1159:
-        return labels["morning"]
-    if 1200 <= t <= 1659:
-        return labels["afternoon"]
-    if 1700 <= t <= 2059:
-        return labels["evening"]
-    if t >= 2100 or t <= 459:
-        return labels["night"]
-    return labels["unclassified"]
-
-
-DAY_PART_SQL = """CASE WHEN {t} BETWEEN 500 AND 1159 THEN 'morning'
-     WHEN {t} BETWEEN 1200 AND 1659 THEN 'afternoon'
-     WHEN {t} BETWEEN 1700 AND 2059 THEN 'evening'
-     WHEN {t} >= 2100 OR {t} <= 459 THEN 'night'
-     ELSE 'unclassified' END"""
+    """:func:`day_part` of one number in plain Python."""
+    inside = (
+        part
+        for part, low, high in DAY_PARTS
+        if t is not None and (low is None or low <= t) and (high is None or t <= high)
+    )
+    return labels[next(inside, UNCLASSIFIED)]
+
+
+DAY_PART_SQL = (
+    "CASE "
+    + " ".join(
+        "WHEN " + " AND ".join([f"{{t}} >= {low}"] * (low is not None) + [f"{{t}} <= {high}"] * (high is not None))
+        + f" THEN '{part}'"
+        for part, low, high in DAY_PARTS
+    )
+    + f" ELSE '{UNCLASSIFIED}' END"
+)

@@ -1,15 +1,16 @@
 """Joins: strategy hints, size-checked broadcast, coordinate / ZIP / area
 joins and the semi-join that replaces "collect a list, then filter IN".
 
-Broadcasting is only done behind a check: :func:`checked_broadcast` counts at
-most ``max_rows + 1`` rows of the candidate side (a bounded job) and hints the
-broadcast only when the side fits; otherwise the plan is left to the planner
+Broadcasting is only done behind a check: :func:`checked_broadcast` counts the
+rows and bytes of the candidate side and hints the broadcast only when the side
+fits; otherwise the plan is left to the planner
 and AQE (sort-merge or shuffled-hash, with skew splitting). Sides whose size is
 bounded by construction (a top-k result) are broadcast directly and say why.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -53,16 +54,10 @@ def bounded_count(
     """Row count of ``df`` if it has at most ``max_rows`` rows and (when
     ``max_bytes`` is given) at most ``max_bytes`` of payload, else ``None``.
 
-    One bounded job over ``limit(max_rows + 1)``: each task stops after that
-    many rows, so the check never reads more than ``max_rows + 1`` rows per
-    partition whatever the size of ``df``.
+    One aggregation, combined map-side: a row per task reaches the last one.
     """
-    head = df.limit(max_rows + 1)
-    if max_bytes is None:
-        n, size = head.count(), 0
-    else:
-        row = head.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).collect()[0]
-        n, size = row["n"], row["b"] or 0
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    n, size = row["n"], row["b"] or 0
     if n > max_rows or (max_bytes is not None and size > max_bytes):
         return None
     return n
@@ -75,28 +70,20 @@ def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_bytes: int | None = DEFAULT_BROADCAST_BYTES, materialize: bool = False) -> DataFrame:
-    """``broadcast(df)`` if ``df`` is within the row and byte bounds, else ``df``.
-
-    ``materialize=True`` is for a side derived by its own joins and
-    aggregations: it is first written once with a reliable ``checkpoint()``
-    (in ``spark.checkpoint.dir``), so the size check and the join both read
-    that copy instead of computing the side twice.
-    """
-    if materialize:
-        from precinct.session import checkpoint_root
-
-        checkpoint_root(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
+                      max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if ``df`` is within the row and byte bounds, else
+    ``df``, with a warning: its join is left to the planner and AQE."""
+    if fits(df, max_rows, max_bytes):
+        return F.broadcast(df)
+    warnings.warn(f"no broadcast: more than {max_rows} rows or {max_bytes} bytes", stacklevel=2)
+    return df
 
 
-def hinted(df: DataFrame, hint: str | None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-           materialize: bool = False) -> DataFrame:
+def hinted(df: DataFrame, hint: str | None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Apply a join-strategy hint to the build side ``df``.
 
     ``None`` leaves the choice to the planner and AQE; ``"broadcast"`` is
-    size-checked (``materialize``: see :func:`checked_broadcast`);
+    size-checked (:func:`checked_broadcast`);
     ``"merge"``, ``"shuffle_hash"``, ``"shuffle_replicate_nl"``
     force sort-merge, shuffled-hash, and cartesian-with-filter respectively
     (the last is quadratic; a study setting for small inputs only).
@@ -105,7 +92,7 @@ def hinted(df: DataFrame, hint: str | None, max_broadcast_rows: int = DEFAULT_BR
         return df
     h = hint.lower()
     if h == "broadcast":
-        return checked_broadcast(df, max_broadcast_rows, materialize=materialize)
+        return checked_broadcast(df, max_broadcast_rows)
     if h in JOIN_HINTS:
         return df.hint(h)
     raise ValueError(f"unknown join hint {hint!r}; expected one of {JOIN_HINTS}")
@@ -146,21 +133,32 @@ def join_zip_income(df: DataFrame, income: DataFrame, hint: str | None = None) -
     return df.join(hinted(income, hint), "zip_code", "inner")
 
 
+def unique_by(df: DataFrame, key: str) -> DataFrame:
+    """``df``, or an error while it runs if two rows have the same ``key``
+    (which would multiply the rows of a join). One row per key is left, so
+    this is for dimensions that are meant to be unique."""
+    others = [c for c in df.columns if c != key]
+    one = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in others])
+    fault = F.raise_error(F.concat(F.lit(f"{key} is not unique: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL"))))
+    return one.where(F.when(F.col("_n") > 1, fault.cast("boolean")).otherwise(F.lit(True))).select(*df.columns)
+
+
 def join_area_station(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast") -> DataFrame:
     """Each incident with the station responsible for its area (area = prec).
 
     Stations are a small dimension: by default they are broadcast after the
     size check, so the fact is joined map-side with no shuffle.
     """
-    s = hinted(stations, hint)
+    s = hinted(unique_by(stations, "prec"), hint)
     return incidents.join(s, incidents["area"] == s["prec"], "inner")
 
 
 def semi_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str], bounded: bool = False) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys`` (``left_semi``).
 
-    ``bounded=True`` states that ``keys`` is small by construction (e.g. a
-    top-k result) and broadcasts it directly; otherwise it is size-checked.
+    ``bounded=True`` states that ``keys`` is small by construction (a top-k
+    result with a checked k) and broadcasts it directly; otherwise it is
+    size-checked.
     """
     k = F.broadcast(keys) if bounded else checked_broadcast(keys)
     return df.join(k, on, "left_semi")

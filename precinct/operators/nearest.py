@@ -1,131 +1,154 @@
 """Nearest station (k = 1 nearest neighbour under great-circle distance).
 
 Semantics: for every point with known coordinates, the station with the
-smallest distance; exact ties go to the smallest ``prec``. Stations with a
-NULL coordinate are ignored. A point with no station at all gets no row.
-
-Strategies
-----------
-By default every strategy solves the distinct coordinates of the points and
-joins the answer back on (lat, lon): coordinates repeat heavily in incident
-data, the distinct step is a map-side-combined aggregate, and the join back
-is a broadcast whenever the answer is small (AQE measures it). Input that is
-already aggregated to distinct rows is solved in place
-(``distinct_coords=False``).
-
-``array``  (default while the stations fit the bound)
-    The stations are packed into one array row, broadcast, and every
-    coordinate takes ``array_min`` over ``(distance, prec, index)`` structs.
-``min_by``
-    Broadcast cross join of the distinct coordinates with the stations, then
-    the smallest ``(distance, prec, ...)`` struct per coordinate, joined back
-    to the points. Same answer; the struct minimum runs as a sort-based
-    aggregate over coordinates x stations rows.
-``grid``   (used when the stations do not fit the broadcast bound)
-    Exact search on a lat/lon grid that coarsens round by round: a point is
-    settled once its best candidate is nearer than a lower bound on the
-    distance to anything outside the searched 3x3 block; unsettled points go
-    on to a grid twice as coarse. Only equi-joins on cell keys, so it scales
-    with stations and points alike (see :mod:`precinct.operators.nearest_grid`).
+smallest distance; exact ties go to the smallest ``prec``. A coordinate that is
+NULL, NaN or infinite is unknown: such stations are ignored, such points get no
+row, nor does any point if there is no station. Coordinates beyond the usual
+ranges (latitude and longitude swapped, say) are points like any other: the
+great-circle formula is periodic in both.
+
+One method for any number of points and stations:
+
+* Stations go to the tasks in blocks of at most ``block_rows``, the bound of
+  what is collected and broadcast; each block is one pass over the points, and
+  a point keeps the best of its passes. A station dimension is one block.
+* In a task, a block's stations are points of the unit sphere, halved along
+  their widest axis into leaves of a few stations with bounding boxes. The
+  points of a batch, made distinct and sorted, go through in tiles: a leaf that
+  is farther from the tile's box than the farthest distance to the nearest leaf
+  is skipped, the others are compared. Chord length and distance on the sphere
+  have the same order.
+* The chord only selects: all stations within rounding error of the smallest
+  chord are handed on, and Spark's own expression of the distance decides
+  between them, ties included.
+
+Points are solved in place, in the partitions they come in: no shuffle, no
+second scan, no join back, and a hot coordinate is one row of its batch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from precinct.functions.geo import EARTH_RADIUS_KM, haversine_km
-from precinct.operators.joins import bounded_count
+import precinct
+from precinct.functions.geo import haversine_km, known
+from precinct.operators.joins import hinted
 
 OUT_COLS = ("near_prec", "near_division", "near_y", "near_x", "near_km")
 
-# The array strategy evaluates every station for every point, so its bound
-# is a compute bound (points x stations), far below any memory bound.
-MAX_ARRAY_STATIONS = 1024
-# ``auto`` switches to the grid above this many stations. Measured on 148,000
-# distinct points, local[8]: array / grid 2.5 / 0.6 s at 21 stations,
-# 4.0 / 0.6 s at 64, 12.5 / 0.9 s at 256 (same answers); the interpreted
-# lambda loses to the grid's codegen'd joins early, while for few stations
-# and small inputs the single map-side pass needs fewer jobs.
-AUTO_ARRAY_STATIONS = 32
-
-
-def _clean_stations(stations: DataFrame) -> DataFrame:
-    return stations.where(F.col("y").isNotNull() & F.col("x").isNotNull()).select(
-        "y", "x", "prec", "division"
-    )
-
-
-def _expand(df: DataFrame, best: str) -> DataFrame:
-    b = F.col(best)
-    return df.select(
-        *[c for c in df.columns if c != best],
-        b["prec"].alias("near_prec"),
-        b["division"].alias("near_division"),
-        b["y"].alias("near_y"),
-        b["x"].alias("near_x"),
-        b["d"].alias("near_km"),
-    )
-
-
-def _nearest_array(points: DataFrame, stations: DataFrame, lat: str, lon: str) -> DataFrame:
-    # Per-station terms (radians, cosine) are computed once into the packed
-    # array and per-point terms once per row, so the lambda - which Spark
-    # interprets - only does the rest of the formula, in the same order as
-    # haversine_km (same double result). It returns (distance, prec, index);
-    # the winner's other fields are read back by index.
-    packed = stations.agg(
-        F.collect_list(
-            F.struct(
-                F.radians("y").alias("ry"), F.cos(F.radians("y")).alias("cy"), F.radians("x").alias("rx"),
-                F.col("prec").alias("prec"), F.col("y").alias("y"), F.col("x").alias("x"),
-                F.col("division").alias("division"),
-            )
-        ).alias("_stations")
+#: Stations of a block, the bound of what is broadcast at once.
+BLOCK_ROWS = 200_000
+#: Stations of a leaf; points of a tile.
+LEAF, TILE = 32, 256
+#: Chords this close to the smallest are decided by the distance itself.
+SAFETY = 1e-9
+
+_STATIONS = "array<struct<prec:int,division:string,y:double,x:double>>"
+
+
+def sphere(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
+    """Points of the unit sphere, one row each."""
+    p, q = np.radians(lat), np.radians(lon)
+    return np.stack([np.cos(p) * np.cos(q), np.cos(p) * np.sin(q), np.sin(p)], 1)
+
+
+class Leaves:
+    """Places in groups of at most ``LEAF`` that lie close together."""
+
+    def __init__(self, places: np.ndarray):
+        self.places, groups, todo = places, [], [np.arange(len(places))] if len(places) else []
+        while todo:
+            own = todo.pop()
+            if len(own) <= LEAF:
+                groups.append(own)
+                continue
+            axis = int(np.ptp(places[own], axis=0).argmax())
+            half = len(own) // 2
+            own = own[np.argpartition(places[own, axis], half)]
+            todo += [own[:half], own[half:]]
+        self.members = groups
+        self.low = np.array([places[g].min(0) for g in groups]).reshape(-1, 3)
+        self.high = np.array([places[g].max(0) for g in groups]).reshape(-1, 3)
+
+    def nearest(self, points: np.ndarray) -> list[np.ndarray]:
+        """For each point the members nearest to it, within ``SAFETY``."""
+        low, high = points.min(0), points.max(0)
+        least = (np.maximum(0, np.maximum(self.low - high, low - self.high)) ** 2).sum(1)
+        most = (np.maximum(np.abs(self.high - low), np.abs(high - self.low)) ** 2).sum(1)
+        close = np.flatnonzero(np.sqrt(least) <= np.sqrt(most.min()) + SAFETY)
+        own = np.concatenate([self.members[k] for k in close])
+        out = []
+        for at in range(0, len(points), max(1, (1 << 20) // len(own))):
+            part = points[at : at + max(1, (1 << 20) // len(own))]
+            chord = np.sqrt(((part[:, None] - self.places[own][None]) ** 2).sum(2))
+            near = chord <= chord.min(1, keepdims=True) * (1 + SAFETY) + SAFETY
+            out += [own[row] for row in near]
+        return out
+
+
+def _blocks(stations: DataFrame, block_rows: int) -> Iterator[list]:
+    """The known stations, one block after the other; of equal coordinates
+    only the smallest ``prec`` can be an answer."""
+    rows = (
+        stations.where(known("y") & known("x"))
+        .groupBy(F.col("y").cast("double").alias("y"), F.col("x").cast("double").alias("x"))
+        .agg(F.min(F.struct(F.col("prec").cast("int").alias("prec"), "division")).alias("s"))
+        .select("s.prec", "s.division", "y", "x")
     )
-    p1 = F.radians(F.col(lat))
-    joined = points.crossJoin(F.broadcast(packed)).select(
-        *points.columns, "_stations", p1.alias("_p1"), F.cos(p1).alias("_c1"), F.radians(F.col(lon)).alias("_l1")
-    )
-
-    def candidate(s: Column, i: Column) -> Column:
-        a = F.pow(F.sin((s["ry"] - F.col("_p1")) / 2), 2) + F.col("_c1") * s["cy"] * F.pow(
-            F.sin((s["rx"] - F.col("_l1")) / 2), 2
-        )
-        d = F.lit(EARTH_RADIUS_KM) * (
-            F.lit(2.0) * F.atan2(F.sqrt(a), F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0) - a)))
-        )
-        return F.struct(d.alias("d"), s["prec"].alias("prec"), i.alias("i"))
-
-    # With at least one station the minimum exists; testing the array size
-    # (not the result) keeps the optimizer from evaluating the lambda twice.
-    joined = joined.where(F.size(F.col("_stations")) > 0)
-    best = F.array_min(F.transform(F.col("_stations"), candidate))
-    out = joined.select(*points.columns, "_stations", best.alias("_b"))
-    won = F.element_at(F.col("_stations"), F.col("_b.i") + 1)
-    return out.select(
-        *points.columns,
-        F.col("_b.prec").alias("near_prec"),
-        won["division"].alias("near_division"),
-        won["y"].alias("near_y"),
-        won["x"].alias("near_x"),
-        F.col("_b.d").alias("near_km"),
-    )
-
-
-def _nearest_min_by(points: DataFrame, stations: DataFrame, lat: str, lon: str) -> DataFrame:
-    cols = points.columns
-    pairs = points.crossJoin(F.broadcast(stations.select(*[F.col(c).alias(f"_s_{c}") for c in stations.columns])))
-    d = haversine_km(lat, lon, "_s_y", "_s_x")
-    station = F.struct(
-        d.alias("d"),
-        F.col("_s_prec").alias("prec"),
-        F.col("_s_division").alias("division"),
-        F.col("_s_y").alias("y"),
-        F.col("_s_x").alias("x"),
-    )
-    best = pairs.groupBy(*cols).agg(F.min(station).alias("_best"))
-    return _expand(best, "_best")
+    block: list = []
+    for row in rows.toLocalIterator():
+        block.append(tuple(row))
+        if len(block) >= block_rows:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
+def _candidates(points: DataFrame, block: list, lat: str, lon: str) -> DataFrame:
+    """``points`` with ``_near``, the block's stations nearest to each."""
+    sent = points.sparkSession.sparkContext.broadcast(block)
+    schema = T.StructType([*points.schema.fields, T.StructField("_near", T._parse_datatype_string(_STATIONS))])
+    kind = to_arrow_schema(T.StructType([schema.fields[-1]])).field(0).type
+    i, j = points.columns.index(lat), points.columns.index(lon)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sent.value
+        leaves = Leaves(sphere(np.array([r[2] for r in rows]), np.array([r[3] for r in rows])))
+        cells = [dict(zip(("prec", "division", "y", "x"), r, strict=True)) for r in rows]
+        for batch in batches:
+            where = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in (i, j)], 1)
+            distinct, back = np.unique(where, axis=0, return_inverse=True)
+            points, near = sphere(distinct[:, 0], distinct[:, 1]), []
+            for at in range(0, len(points), TILE):
+                near += leaves.nearest(points[at : at + TILE])
+            found = [[cells[k] for k in own] for own in near]
+            column = pa.array([found[k] for k in back.ravel()], kind)
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "_near"])
+
+    cloudpickle.register_pickle_by_value(precinct)  # for the time of pickling
+    try:
+        return points.mapInArrow(run, schema)
+    finally:
+        cloudpickle.unregister_pickle_by_value(precinct)
+
+
+def _best(near: str, lat: str, lon: str) -> Column:
+    """The smallest (distance, prec) of an array of stations, with the rest."""
+
+    def measured(s: Column) -> Column:
+        d = haversine_km(F.col(lat), F.col(lon), s["y"], s["x"])
+        return F.struct(d.alias("d"), s["prec"].alias("prec"), s["division"].alias("division"), s["y"].alias("y"), s["x"].alias("x"))
+
+    return F.array_min(F.transform(F.col(near), measured))
 
 
 def nearest_station(
@@ -133,57 +156,39 @@ def nearest_station(
     stations: DataFrame,
     lat: str = "lat",
     lon: str = "lon",
-    strategy: str = "auto",
-    max_broadcast_rows: int = MAX_ARRAY_STATIONS,
-    grid_degrees: float | None = None,
-    max_per_cell: int = 64,
-    distinct_coords: bool = True,
+    hint: str | None = None,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Add ``near_prec, near_division, near_y, near_x, near_km`` to each point.
-
-    ``auto`` uses ``array`` while the (cleaned) stations number at most
-    ``AUTO_ARRAY_STATIONS`` (and ``max_broadcast_rows``; checked with a
-    bounded count) and ``grid`` beyond. Points with a NULL coordinate are dropped; every other column of
-    ``points`` is kept as it is.
-
-    ``distinct_coords=False`` solves the rows of ``points`` directly instead
-    of their distinct coordinates (no join back, no second pass over the
-    input): for inputs that are already aggregated to distinct rows, such as
-    (year, lat, lon, count). The rows must then be distinct for ``min_by``
-    and ``grid``, which group by all point columns.
-    """
-    pts = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    st = _clean_stations(stations)
-    if strategy in ("auto", "array", "min_by"):
-        count = bounded_count(st, max_broadcast_rows)
-        fits = count is not None
-        if strategy == "auto":
-            strategy = "array" if fits and count <= AUTO_ARRAY_STATIONS else "grid"
-        elif not fits:
-            raise ValueError("stations exceed max_broadcast_rows; use strategy='grid'")
-    if strategy not in ("array", "min_by", "grid"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    def solve(df: DataFrame) -> DataFrame:
-        if strategy in ("array", "min_by"):
-            # CPU-bound per row (every station evaluated): spread the rows
-            # over all cores. AQE would coalesce the few bytes of distinct
-            # coordinates into one task, and a hash repartition on (lat, lon)
-            # would be merged into the distinct's own exchange; a round-robin
-            # repartition is kept as asked.
-            df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-        if strategy == "array":
-            return _nearest_array(df, st, lat, lon)
-        if strategy == "min_by":
-            return _nearest_min_by(df, st, lat, lon)
-        from precinct.operators.nearest_grid import nearest_grid
-
-        return nearest_grid(df, st, lat, lon, grid_degrees, max_per_cell)
-
-    if not distinct_coords:
-        return solve(pts).select(*points.columns, *OUT_COLS)
-    # The answer depends only on the coordinates: solve each distinct
-    # coordinate once (a partial aggregate, so a hot coordinate is one row
-    # per task), then join back; AQE broadcasts the per-coordinate answer
-    # once its measured size is small, or splits a hot coordinate's partition.
-    near = solve(pts.select(lat, lon).distinct())
-    return pts.join(near, [lat, lon], "inner").select(*points.columns, *OUT_COLS)
+    """Add ``near_prec, near_division, near_y, near_x, near_km`` to each point;
+    every other column of ``points`` is kept as it is. With ``hint`` the
+    station's division comes from a join on its key and place under that
+    strategy. The stations are read while the plan is built, a block at a time."""
+    todo = points.where(known(lat) & known(lon))
+    best = None
+    for block in _blocks(stations, block_rows):
+        todo = _candidates(todo, block, lat, lon)
+        found = _best("_near", lat, lon)
+        best = found if best is None else F.least(F.col("_best"), found)
+        todo = todo.select(*points.columns, best.alias("_best"))
+    if best is None:
+        none = F.lit(None).cast("struct<d:double,prec:int,division:string,y:double,x:double>")
+        todo = todo.where(F.lit(False)).withColumn("_best", none)
+    b = F.col("_best")
+    out = todo.select(
+        *points.columns,
+        b["prec"].alias("near_prec"),
+        b["division"].alias("near_division"),
+        b["y"].alias("near_y"),
+        b["x"].alias("near_x"),
+        b["d"].alias("near_km"),
+    )
+    if hint is None:
+        return out
+    side = stations.select(
+        F.col("prec").cast("int").alias("near_prec"),
+        F.col("y").cast("double").alias("near_y"),
+        F.col("x").cast("double").alias("near_x"),
+        F.col("division").alias("near_division"),
+    ).dropDuplicates(["near_prec", "near_y", "near_x"])
+    joined = out.drop("near_division").join(hinted(side, hint), ["near_prec", "near_y", "near_x"], "inner")
+    return joined.select(*points.columns, *OUT_COLS)

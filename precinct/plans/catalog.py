@@ -65,26 +65,31 @@ def register(name: str, sql: str | None = None):
 
 # ------------------------------------------------------------------ Q1 parts
 
-_MONTH_GROUP = """SELECT CAST(year(occ_date) AS INTEGER) AS year, CAST(month(occ_date) AS INTEGER) AS month,
-       count(*) AS crime_total{extra}
-FROM incidents GROUP BY year(occ_date), month(occ_date)"""
-_RANK = ",\n       CAST(rank() OVER (PARTITION BY year(occ_date) ORDER BY count(*) DESC) AS INTEGER) AS rank"
-
-
-@register("month_counts", with_adapters(_MONTH_GROUP.format(extra=""), "incidents"))
+# The oracle's rank is one more than the number of busier months of the year.
+_MONTHS = """months AS (
+  SELECT CAST(date_part('year', occ_date) AS INTEGER) AS year, CAST(date_part('month', occ_date) AS INTEGER) AS month,
+         count(*) AS crime_total
+  FROM incidents GROUP BY 1, 2)"""
+_RANKED = """SELECT m.year, m.month, m.crime_total,
+       CAST(1 + (SELECT count(*) FROM months o
+                 WHERE o.year IS NOT DISTINCT FROM m.year AND o.crime_total > m.crime_total) AS INTEGER) AS rank
+FROM months m"""
+
+
+@register("month_counts", with_adapters("SELECT * FROM months", "incidents", extra=(_MONTHS,)))
 def q_month_counts(spark, sf):
     return rp.month_counts(td.incidents(spark, sf))
 
 
-@register("month_rank", with_adapters(_MONTH_GROUP.format(extra=_RANK), "incidents"))
+@register("month_rank", with_adapters(_RANKED, "incidents", extra=(_MONTHS,)))
 def q_month_rank(spark, sf):
     return rp.month_rank(td.incidents(spark, sf))
 
 
 _TOP3_SQL = with_adapters(
-    f"SELECT year, month, crime_total, rank FROM ({_MONTH_GROUP.format(extra=_RANK)}) t "
-    f"WHERE rank <= {TOP_K} ORDER BY year, crime_total DESC, month",
+    f"SELECT * FROM placed WHERE rank <= {TOP_K} ORDER BY year, crime_total DESC, month",
     "incidents",
+    extra=(_MONTHS, f"placed AS ({_RANKED})"),
 )
 
 
@@ -319,9 +324,10 @@ def _hinted_descent(hint: str) -> Query:
     return q
 
 
-for _h in jn.JOIN_HINTS:
-    _key = "join_hint_replicate_nl" if _h == "shuffle_replicate_nl" else f"join_hint_{_h}"
-    register(_key, _DESCENT_SQL)(_hinted_descent(_h))
+# The cartesian hint stays a parameter (a plan test covers it); a cross join of
+# a growing table is not registered as a query.
+for _h in ("broadcast", "merge", "shuffle_hash"):
+    register(f"join_hint_{_h}", _DESCENT_SQL)(_hinted_descent(_h))
 
 
 # ------------------------------------------------------------ Q4 and parts
@@ -422,11 +428,11 @@ _NEAREST_STATION_SQL = with_adapters(
 )
 
 
-def _nearest_station_query(strategy: str, **kw) -> Query:
+def _nearest_station_query(**options) -> Query:
     def q(spark, sf):
         inc, st = _tables(spark, sf, "incidents", "stations")
         pts = flt.firearm_incidents(inc).select("incident_id", "lat", "lon")
-        near = nearest_station(pts, st, strategy=strategy, **kw)
+        near = nearest_station(pts, st, **options)
         return near.select(
             "incident_id", F.col("near_prec").alias("prec"), F.col("near_division").alias("division"),
             _r4("near_km").alias("distance_km"),
@@ -435,12 +441,11 @@ def _nearest_station_query(strategy: str, **kw) -> Query:
     return q
 
 
-# The default (broadcast array) and the two other strategies on the same
-# question: the grid variant starts at a fine level (at most 4 stations per
-# cell) so several coarsening rounds run.
-register("nearest_station", _NEAREST_STATION_SQL)(_nearest_station_query("auto"))
-register("nearest_station_min_by", _NEAREST_STATION_SQL)(_nearest_station_query("min_by"))
-register("nearest_station_grid", _NEAREST_STATION_SQL)(_nearest_station_query("grid", max_per_cell=4))
+# The same method with the stations in one block and in many, and with the
+# division joined to the answer.
+register("nearest_station", _NEAREST_STATION_SQL)(_nearest_station_query())
+register("nearest_station_blocks", _NEAREST_STATION_SQL)(_nearest_station_query(block_rows=40))
+register("nearest_station_join", _NEAREST_STATION_SQL)(_nearest_station_query(hint="merge"))
 
 
 @register(
@@ -457,20 +462,39 @@ def q_distance_by_year_nearest(spark, sf):
     return rp.distance_by_year_nearest(inc, st)
 
 
-@register(
-    "distance_by_division_nearest",
-    with_adapters(
-        f"SELECT division, round(avg(d), 4) AS avg_distance_km, count(d) AS crime_count "
-        f"FROM ({_NEAREST_BASE}) t WHERE rn = 1 GROUP BY division ORDER BY crime_count DESC, division",
-        "incidents",
-        "stations",
-    ),
+_BY_DIVISION_NEAREST_SQL = with_adapters(
+    f"SELECT division, round(avg(d), 4) AS avg_distance_km, count(d) AS crime_count "
+    f"FROM ({_NEAREST_BASE}) t WHERE rn = 1 GROUP BY division ORDER BY crime_count DESC, division",
+    "incidents",
+    "stations",
 )
+
+
+@register("distance_by_division_nearest", _BY_DIVISION_NEAREST_SQL)
 def q_distance_by_division_nearest(spark, sf):
     inc, st = _tables(spark, sf, "incidents", "stations")
     return rp.distance_by_division_nearest(inc, st)
 
 
+# The station reports under each join strategy.
+def _hinted_stations(report: Callable, hint: str) -> Query:
+    def q(spark, sf):
+        inc, st = _tables(spark, sf, "incidents", "stations")
+        return report(inc, st, hint=hint)
+
+    return q
+
+
+for _h in ("broadcast", "merge", "shuffle_hash"):
+    register(f"distance_by_year_area_{_h}", _BY_YEAR_AREA_SQL)(_hinted_stations(rp.distance_by_year_area, _h))
+    register(f"distance_by_division_area_{_h}", ORACLE["distance_by_division_area"])(
+        _hinted_stations(rp.distance_by_division_area, _h)
+    )
+    register(f"distance_by_division_nearest_{_h}", _BY_DIVISION_NEAREST_SQL)(
+        _hinted_stations(rp.distance_by_division_nearest, _h)
+    )
+
+
 # ------------------------------------------------------- ingestion & actions
 
 _CANONICAL_CSV_SQL = with_adapters(
@@ -491,16 +515,16 @@ def q_csv_scan_typed(spark, sf):
 @register("load_incidents_union", _CANONICAL_CSV_SQL)
 def q_load_incidents_union(spark, sf):
     """Incidents split at a date into two source files with different header
-    spelling (``AREA `` / ``AREA``) and column order, loaded back as one."""
+    spelling (``AREA `` / ``AREA``) and column order, in one folder, loaded back."""
     inc = td.incidents(spark, sf)
     early = inc.where(F.col("occ_date") < F.lit(UNION_CUTOFF).cast("date"))
     late = inc.where(~(F.col("occ_date") < F.lit(UNION_CUTOFF).cast("date")) | F.col("occ_date").isNull())
-    p1, p2 = scratch_path(spark, "incidents-early"), scratch_path(spark, "incidents-late")
-    src_csv.write_incidents_csv(early, p1, area_header="AREA ")
+    path = scratch_path(spark, "incidents-union")
+    src_csv.write_incidents_csv(early, path, area_header="AREA ")
     late_order = ["LON", "LAT", "Vict Descent", "Weapon Used Cd", "Premis Desc", "AREA", "TIME OCC",
                   "DATE OCC", "Date Rptd", "DR_NO"]
-    src_csv.write_incidents_csv(late, p2, area_header="AREA", column_order=late_order)
-    return src_csv.load_incidents(spark, [p1, p2])
+    src_csv.write_incidents_csv(late, path, area_header="AREA", column_order=late_order, mode="append")
+    return src_csv.load_incidents(spark, path)
 
 
 @register(

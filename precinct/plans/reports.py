@@ -7,8 +7,8 @@ collected. Plans are shaped for a large fact table:
   month, one coordinate, one area with a third of all rows — becomes one row
   per task before any shuffle;
 * small dimensions are joined by broadcast only behind a size check;
-* the fact is pre-aggregated to distinct keys before the joins that do not
-  need individual rows (descent by income, nearest station).
+* the fact meets small sides first and is aggregated after, and nearest
+  stations are found in the partitions the fact is read in.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from precinct.functions.geo import haversine_km_f32
-from precinct.functions.temporal import DAY_PART_LABELS, day_part
+from precinct.functions.temporal import DAY_PART_LABELS, day_part, day_part_py
 from precinct.functions.text import format_fixed, zip5
 from precinct.operators.filters import filter_equals, filter_not_null, filter_year, firearm_incidents
-from precinct.operators.joins import DEFAULT_BROADCAST_ROWS, fits, hinted, join_area_station
+from precinct.operators.joins import hinted, join_area_station
 from precinct.operators.nearest import nearest_station
 from precinct.operators.ranking import extremes, top_k_per_group
 
@@ -48,23 +48,26 @@ def month_top3(incidents: DataFrame, k: int = 3) -> DataFrame:
     return ranked.orderBy("year", F.desc("crime_total"), "month")
 
 
-MONTH_TOP3_SQL = """
-SELECT year, month, crime_total, rank
-FROM (
-    SELECT year(occ_date) AS year, month(occ_date) AS month, count(*) AS crime_total,
-           rank() OVER (PARTITION BY year(occ_date) ORDER BY count(*) DESC) AS rank
-    FROM {view}
-    GROUP BY year(occ_date), month(occ_date)
-) ranked
-WHERE rank <= {k}
-ORDER BY year, crime_total DESC, month
+BUSIEST_MONTHS_SQL = """
+WITH per_month AS (
+    SELECT extract(YEAR FROM occ_date) AS year, extract(MONTH FROM occ_date) AS month, count(*) AS crime_total
+    FROM {incidents}
+    GROUP BY ALL
+), placed AS (
+    SELECT *, rank() OVER busiest_first AS rank
+    FROM per_month
+    WINDOW busiest_first AS (PARTITION BY year ORDER BY crime_total DESC)
+)
+FROM placed
+|> WHERE rank <= :k
+|> ORDER BY year, crime_total DESC, month
 """
 
 
-def month_top3_sql(spark: SparkSession, incidents: DataFrame, k: int = 3, view: str = "crime_data") -> DataFrame:
-    """Q1 in SQL over a temp view (same plan as :func:`month_top3`)."""
-    incidents.createOrReplaceTempView(view)
-    return spark.sql(MONTH_TOP3_SQL.format(view=view, k=int(k)))
+def month_top3_sql(spark: SparkSession, incidents: DataFrame, k: int = 3) -> DataFrame:
+    """Q1 in SQL (same plan as :func:`month_top3`); the table is an argument
+    of the statement, no view is left behind."""
+    return spark.sql(BUSIEST_MONTHS_SQL, {"k": int(k)}, incidents=incidents)
 
 
 # -------------------------------------------------------------- Q2: day part
@@ -88,42 +91,36 @@ def daypart_counts(incidents: DataFrame, premis: str, labels=DAY_PART_LABELS) ->
 def daypart_counts_rdd(incidents: DataFrame, premis: str, labels=DAY_PART_LABELS) -> DataFrame:
     """Q2 on the RDD API: the cross-check of :func:`daypart_counts`.
 
-    The premise filter stays in the DataFrame, so it reaches the parquet scan
-    and only matching rows, one column wide, enter Python. Each partition
-    counts its rows per label locally (one pass, no per-row tuples), then
-    ``reduceByKey`` merges at most one row per label and partition and
-    ``sortBy`` orders the five results.
+    The DataFrame counts per ``time_occ`` first (at most 2,400 clock values and
+    what malformed rows add, combined map-side), so rows reach Python already
+    counted, however many incidents share a time. Then map, ``reduceByKey``
+    and a sort of the few labels.
     """
-    import pyspark.cloudpickle as cp
+    from pyspark import cloudpickle
 
-    import precinct.functions.temporal as temporal
+    import precinct
 
-    cp.register_pickle_by_value(temporal)  # workers need not import the package
-    bucket = temporal.day_part_py
     labs = dict(labels)
-
-    def count_partition(rows):
-        counts: dict[str, int] = {}
-        for row in rows:
-            label = bucket(row[0], labs)
-            counts[label] = counts.get(label, 0) + 1
-        return iter(counts.items())
-
-    pairs = (
-        filter_equals(incidents, "premis", premis).select("time_occ")
-        .rdd.mapPartitions(count_partition)
-        .reduceByKey(lambda a, b: a + b)
-        .sortBy(lambda kv: (-kv[1], kv[0]))
-    )
+    counted = filter_equals(incidents, "premis", premis).groupBy("time_occ").agg(F.count(F.lit(1)).alias("n"))
+    pairs = counted.rdd.map(lambda row: (day_part_py(row[0], labs), row[1])).reduceByKey(lambda a, b: a + b)
     schema = T.StructType(
         [T.StructField("day_part", T.StringType()), T.StructField("crime_count", T.LongType())]
     )
-    return incidents.sparkSession.createDataFrame(pairs, schema)
+    cloudpickle.register_pickle_by_value(precinct)  # workers need not import the package
+    try:
+        out = incidents.sparkSession.createDataFrame(pairs, schema)
+    finally:
+        cloudpickle.unregister_pickle_by_value(precinct)
+    return out.orderBy(F.desc("crime_count"), "day_part")
 
 
 # --------------------------------------------------- Q3: descent by income
 
 
+#: Selected ZIPs up to which they are broadcast without a count.
+MAX_SELECTED = 10_000
+
+
 def selected_zips(income: DataFrame, k: int = 3) -> DataFrame:
     """ZIPs of the k richest and k poorest income rows (at most 2k rows)."""
     return extremes(income, "median_income", "zip_code", k)
@@ -143,34 +140,32 @@ def descent_by_income(
     Same rows as "incidents JOIN revgeo ON (lat, lon) JOIN income USING zip,
     filtered to the selected ZIPs, count by descent", computed as:
 
-    1. selected ZIPs (<= 2k rows, broadcast by construction) and the number of
-       income rows per selected ZIP (the multiplicity an inner join adds);
+    1. selected ZIPs (<= 2k rows) with the number of income rows per selected
+       ZIP (the multiplicity an inner join adds);
     2. per coordinate, the summed multiplicity over its selected geocode rows;
-    3. incidents pre-aggregated to (lat, lon, descent) counts — map-side
-       combine, so a hot coordinate is one row per task;
-    4. one join on (lat, lon), then sum(count x multiplicity) per descent.
+    3. the year's incidents joined to these few coordinates, then
+       sum(multiplicity) per descent, combined map-side. With near-unique
+       coordinates aggregating the incidents first would shuffle every row.
     """
-    sel = selected_zips(income, k)
+    known_income = income.select("zip_code", "median_income")
+    sel = selected_zips(known_income, k)
+    small = F.broadcast if 2 * k <= MAX_SELECTED else (lambda df: df)
     zip_weight = (
-        income.join(F.broadcast(sel), "zip_code", "left_semi")
+        known_income.join(small(sel), "zip_code", "left_semi")
         .groupBy("zip_code")
         .agg(F.count(F.lit(1)).alias("w_zip"))
     )  # <= 2k rows
     geo = revgeo.select("lat", "lon", zip5("zip").alias("zip_code"))
     geo_weight = (
-        geo.join(F.broadcast(zip_weight) if hint in (None, "broadcast") else hinted(zip_weight, hint),
-                 "zip_code", "inner")
+        geo.join(small(zip_weight) if hint in (None, "broadcast") else hinted(zip_weight, hint), "zip_code", "inner")
         .groupBy("lat", "lon")
         .agg(F.sum("w_zip").alias("w"))
     )
-    facts = filter_not_null(filter_year(incidents, "occ_date", year), "descent")
-    per_point = facts.groupBy("lat", "lon", "descent").agg(F.count(F.lit(1)).alias("n"))
-    # geo_weight is derived (geocodes x selected ZIP weights); under the
-    # broadcast hint it is written once, then size-checked and broadcast.
-    joined = per_point.join(hinted(geo_weight, hint, materialize=True), ["lat", "lon"], "inner")
+    facts = filter_not_null(filter_year(incidents, "occ_date", year), "descent").select("lat", "lon", "descent")
     return (
-        joined.groupBy("descent")
-        .agg(F.sum(F.col("n") * F.col("w")).alias("crime_count"))
+        facts.join(hinted(geo_weight, hint), ["lat", "lon"], "inner")
+        .groupBy("descent")
+        .agg(F.sum("w").alias("crime_count"))
         .orderBy(F.desc("crime_count"), "descent")
     )
 
@@ -178,83 +173,47 @@ def descent_by_income(
 # ------------------------------------------------ Q4: distance to stations
 
 
-def distance_stats(df: DataFrame, group_col, dist: str = "distance_km", weight: str | None = None) -> DataFrame:
-    """Mean distance (rounded to 4 places) and count of non-NULL distances.
-
-    With ``weight`` each row stands for ``weight`` incidents (pre-aggregated
-    input): mean = sum(d x w) / sum(w over non-NULL d).
-    """
+def distance_stats(df: DataFrame, group_col, dist: str = "distance_km") -> DataFrame:
+    """Mean distance (rounded to 4 places) and count of non-NULL distances."""
     d = F.col(dist).cast("double")
-    if weight is None:
-        aggs = [F.round(F.avg(d), 4).alias("avg_distance_km"), F.count(d).alias("crime_count")]
-    else:
-        w = F.when(d.isNotNull(), F.col(weight))
-        aggs = [
-            F.round(F.sum(d * w) / F.sum(w), 4).alias("avg_distance_km"),
-            F.coalesce(F.sum(w), F.lit(0)).cast("bigint").alias("crime_count"),
-        ]
-    return df.groupBy(group_col).agg(*aggs)
-
-
-def distance_to_responsible(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast") -> DataFrame:
-    """Firearm incidents joined to their area's station, with the 32-bit
-    float distance ``distance_km`` between them (one row per incident)."""
-    j = join_area_station(firearm_incidents(incidents), stations, hint)
-    return j.withColumn("distance_km", haversine_km_f32("lat", "lon", "y", "x"))
+    return df.groupBy(group_col).agg(F.round(F.avg(d), 4).alias("avg_distance_km"), F.count(d).alias("crime_count"))
 
 
-def _responsible_stats(incidents: DataFrame, stations: DataFrame, by: str, hint: str | None,
-                       max_broadcast_rows: int) -> DataFrame:
-    """Q4-1 core. Stations within the broadcast bound: per-incident distance
-    after a map-side broadcast join. Otherwise (or with a shuffle hint) the
-    fact is first pre-aggregated to distinct (key, area, lat, lon) with a
-    count, so the shuffle join carries one row per distinct point."""
-    fire = firearm_incidents(incidents)
+def _responsible_stats(incidents: DataFrame, stations: DataFrame, by: str, hint: str | None) -> DataFrame:
+    """Q4-1 core: the mean over incidents, one formula whatever the join. The
+    small station side is broadcast (after the size check) or joined under the
+    hint; without one, the planner and AQE choose, and AQE splits a hot area."""
+    j = join_area_station(firearm_incidents(incidents), stations, hint)
     if by == "year":
-        fire = fire.withColumn("year", F.year("occ_date"))
-    if hint == "broadcast" and fits(stations, max_broadcast_rows):
-        j = fire.join(F.broadcast(stations), fire["area"] == stations["prec"], "inner")
-        return distance_stats(j.withColumn("distance_km", haversine_km_f32("lat", "lon", "y", "x")), by)
-    keys = (["year"] if by == "year" else []) + ["area", "lat", "lon"]
-    pts = fire.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    s = hinted(stations, None if hint == "broadcast" else hint)
-    j = pts.join(s, pts["area"] == s["prec"], "inner")
-    return distance_stats(j.withColumn("distance_km", haversine_km_f32("lat", "lon", "y", "x")), by, weight="n")
-
-
-def distance_by_year_area(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast",
-                          max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+        j = j.withColumn("year", F.year("occ_date"))
+    return distance_stats(j.withColumn("distance_km", haversine_km_f32("lat", "lon", "y", "x")), by)
+
+
+def distance_by_year_area(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast") -> DataFrame:
     """Q4-1a: mean distance to the responsible station, per year."""
-    return _responsible_stats(incidents, stations, "year", hint, max_broadcast_rows).orderBy("year")
+    return _responsible_stats(incidents, stations, "year", hint).orderBy("year")
 
 
-def distance_by_division_area(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast",
-                              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def distance_by_division_area(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast") -> DataFrame:
     """Q4-1b: mean distance to the responsible station, per division."""
-    stats = _responsible_stats(incidents, stations, "division", hint, max_broadcast_rows)
-    return stats.orderBy(F.desc("crime_count"), "division")
+    return _responsible_stats(incidents, stations, "division", hint).orderBy(F.desc("crime_count"), "division")
 
 
-def distance_by_year_nearest(incidents: DataFrame, stations: DataFrame, strategy: str = "auto") -> DataFrame:
-    """Q4-2a: mean distance to the nearest station, per year."""
-    fire = firearm_incidents(incidents)
-    pts = fire.groupBy(F.year("occ_date").alias("year"), "lat", "lon").agg(F.count(F.lit(1)).alias("n"))
-    # pts rows are distinct already: solve them in place (one pass over the fact)
-    near = nearest_station(pts, stations, strategy=strategy, distinct_coords=False).withColumn(
-        "distance_km", F.col("near_km").cast("float")
-    )
-    return distance_stats(near, "year", weight="n").orderBy("year")
+def distance_by_year_nearest(incidents: DataFrame, stations: DataFrame) -> DataFrame:
+    """Q4-2a: mean distance to the nearest station, per year. Points are solved
+    where they are read; only the few groups are shuffled."""
+    points = firearm_incidents(incidents).select("lat", "lon", F.year("occ_date").alias("year"))
+    near = nearest_station(points, stations).withColumn("distance_km", F.col("near_km").cast("float"))
+    return distance_stats(near, "year").orderBy("year")
 
 
-def distance_by_division_nearest(incidents: DataFrame, stations: DataFrame, strategy: str = "auto") -> DataFrame:
-    """Q4-2b: mean distance to the nearest station, per that station's division."""
-    fire = firearm_incidents(incidents)
-    pts = fire.groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("n"))
-    near = nearest_station(pts, stations, strategy=strategy, distinct_coords=False).withColumn(
-        "distance_km", F.col("near_km").cast("float")
-    )
+def distance_by_division_nearest(incidents: DataFrame, stations: DataFrame, hint: str | None = None) -> DataFrame:
+    """Q4-2b: mean distance to the nearest station, per that station's
+    division; with ``hint`` the division comes from a join under that strategy."""
+    points = firearm_incidents(incidents).select("lat", "lon")
+    near = nearest_station(points, stations, hint=hint).withColumn("distance_km", F.col("near_km").cast("float"))
     near = near.withColumnRenamed("near_division", "division")
-    return distance_stats(near, "division", weight="n").orderBy(F.desc("crime_count"), "division")
+    return distance_stats(near, "division").orderBy(F.desc("crime_count"), "division")
 
 
 def distance_formatted(stats: DataFrame, col: str = "avg_distance_km", out: str = "average_distance") -> DataFrame:

@@ -3,7 +3,6 @@ scratch folder every job uses for lineage cuts and round-trip files."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -88,20 +87,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is read, never
-    replaced; if it is missing there, this fails rather than fall back to a
-    machine-local folder. Only in local mode (tests, bench) is a fresh folder
-    created when the setting is unset.
+    replaced; else a folder given by ``setCheckpointDir`` is taken. If both are
+    missing there, this fails rather than fall back to a machine-local folder.
+    Only in local mode is a folder below the session's warehouse used.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    given = spark.sparkContext._jsc.sc().getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root and given.isDefined():
+        root = given.get()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
-        root = tempfile.mkdtemp(prefix="precinct-ckpt-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set("spark.checkpoint.dir", root)
-    jsc = spark.sparkContext._jsc
-    if jsc.sc().getCheckpointDir().isEmpty():
+    if given.isEmpty():
         spark.sparkContext.setCheckpointDir(root)
     return root
 

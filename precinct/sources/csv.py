@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from precinct.functions.temporal import SOURCE_TS_FORMAT, parse_date
-from precinct.functions.text import parse_money
+from precinct.functions.text import parse_money, zip5
 
 # Source header → canonical column, per table.
 INCIDENT_HEADERS = {
@@ -50,7 +50,7 @@ def _date(c: Column) -> Column:
 
 
 def _money(c: Column) -> Column:
-    return F.floor(parse_money(c)).cast("bigint")
+    return parse_money(c).cast("decimal(14,2)")
 
 
 # Canonical column → (type, converter from text). Order = canonical order.
@@ -71,7 +71,7 @@ REVGEO_SCHEMA = {
     "lon": ("double", _num("double")),
     "zip": ("string", lambda c: F.trim(c)),
 }
-INCOME_SCHEMA = {"zip_code": ("int", _num("int")), "median_income": ("bigint", _money)}
+INCOME_SCHEMA = {"zip_code": ("int", lambda c: zip5(F.trim(c))), "median_income": ("decimal(14,2)", _money)}
 STATION_SCHEMA = {
     "y": ("double", _num("double")),
     "x": ("double", _num("double")),
@@ -95,6 +95,27 @@ def read_csv_raw(spark: SparkSession, paths: str | Sequence[str], infer_schema:
     )
 
 
+def header_groups(spark: SparkSession, paths: str | Sequence[str]) -> list[list[str]]:
+    """The files below ``paths``, those with the same header line together.
+    Only the first line of each file is read, through Spark's file system."""
+    files = spark.read.text(list(paths) if not isinstance(paths, str) else paths).inputFiles()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    groups: dict[str, list[str]] = {}
+    for file in sorted(files):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = path.getFileSystem(conf).open(path)
+        codec = codecs.getCodec(path)
+        lines = jvm.java.io.BufferedReader(
+            jvm.java.io.InputStreamReader(stream if codec is None else codec.createInputStream(stream), "UTF-8")
+        )
+        line = lines.readLine()
+        lines.close()
+        if line is not None:  # an empty file has no rows
+            groups.setdefault(line, []).append(file)
+    return list(groups.values())
+
+
 def canonicalise(
     raw: DataFrame, headers: Mapping[str, str], schema: Mapping[str, tuple[str, Callable[[Column], Column]]]
 ) -> DataFrame:
@@ -119,41 +140,67 @@ def canonicalise(
     return raw.select(*cols)
 
 
+def rejected_counts(
+    raw: DataFrame, headers: Mapping[str, str], schema: Mapping[str, tuple[str, Callable[[Column], Column]]]
+) -> DataFrame:
+    """One row: per canonical column, how many texts that are not empty failed
+    their conversion and became NULL."""
+    by_norm = {_norm(h): canon for h, canon in headers.items()}
+    present = {by_norm[_norm(c)]: c for c in reversed(raw.columns) if _norm(c) in by_norm}
+    counts = []
+    for canon, (typ, conv) in schema.items():
+        text = F.col(f"`{present[canon]}`").cast("string") if canon in present else F.lit(None).cast("string")
+        counts.append(F.count_if((F.trim(text) != "") & conv(text).cast(typ).isNull()).alias(canon))
+    return raw.agg(*counts)
+
+
+def _read(
+    spark: SparkSession, paths: str | Sequence[str], headers: Mapping[str, str],
+    schema: Mapping[str, tuple[str, Callable[[Column], Column]]],
+) -> DataFrame:
+    """Files with any mix of headers as one canonical table, by name."""
+    frames = [canonicalise(read_csv_raw(spark, files), headers, schema) for files in header_groups(spark, paths)]
+    if not frames:
+        return canonicalise(spark.createDataFrame([], "_none string"), headers, schema)
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
 def read_incidents_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One incident file (or a set with the same header) → canonical."""
-    return canonicalise(read_csv_raw(spark, paths), INCIDENT_HEADERS, INCIDENT_SCHEMA)
+    """Incident files, whatever their headers' order and spelling → canonical."""
+    return _read(spark, paths, INCIDENT_HEADERS, INCIDENT_SCHEMA)
 
 
-def load_incidents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Several incident files, possibly with different header spellings and
-    column order, as one canonical table (union by name, not by position).
+def load_incidents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Incident files as one canonical table, every row with an id.
 
-    Files without an id column get ``incident_id`` generated after the union,
-    so generated ids are unique across files.
+    Ids in the files are not negative; rows without one, or with text that is
+    no such number, get a negative id from their place in the files, which no
+    id of a file can equal and which is the same at each evaluation.
     """
-    frames = [read_incidents_csv(spark, p) for p in paths]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.withColumn(
-        "incident_id", F.coalesce(F.col("incident_id"), F.monotonically_increasing_id())
+    own = F.col("incident_id")
+    return read_incidents_csv(spark, paths).withColumn(
+        "incident_id", F.when(own >= 0, own).otherwise(F.lit(-1) - F.monotonically_increasing_id())
     )
 
 
 def read_revgeo_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return canonicalise(read_csv_raw(spark, path), REVGEO_HEADERS, REVGEO_SCHEMA)
+    return _read(spark, path, REVGEO_HEADERS, REVGEO_SCHEMA)
 
 
 def read_income_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return canonicalise(read_csv_raw(spark, path), INCOME_HEADERS, INCOME_SCHEMA)
+    return _read(spark, path, INCOME_HEADERS, INCOME_SCHEMA)
 
 
 def read_stations_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return canonicalise(read_csv_raw(spark, path), STATION_HEADERS, STATION_SCHEMA)
+    return _read(spark, path, STATION_HEADERS, STATION_SCHEMA)
 
 
 def write_incidents_csv(
-    incidents: DataFrame, path: str, area_header: str = "AREA", column_order: Sequence[str] | None = None
+    incidents: DataFrame, path: str, area_header: str = "AREA", column_order: Sequence[str] | None = None,
+    mode: str = "errorifexists",
 ) -> None:
     """Write canonical incidents in the source layout (display headers,
     12-hour clock text). ``reported_date`` falls back to ``occ_date``."""
@@ -174,12 +221,4 @@ def write_incidents_csv(
         "LON": F.col("lon"),
     }
     order = list(column_order) if column_order else list(cols)
-    incidents.select(*[cols[h].alias(h) for h in order]).write.mode("errorifexists").option(
-        "header", "true"
-    ).csv(path)
-
-
-def register_view(df: DataFrame, name: str) -> DataFrame:
-    """Expose ``df`` to ``spark.sql`` as a temp view named ``name``."""
-    df.createOrReplaceTempView(name)
-    return df
+    incidents.select(*[cols[h].alias(h) for h in order]).write.option("header", "true").mode(mode).csv(path)

@@ -16,10 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the adapter rules (FIXTURES.md §C).
-N_AREAS = 21                 # incident area = o_custkey % 21; stations are precincts 0..20
 BASE_LAT = 33.7
 BASE_LON = -118.6
-LAT_STEPS, LON_STEPS = 60, 50
+# A customer's place: two coprime step counts, so places repeat only after
+# 30 million customers.
+LAT_FACTOR, LAT_STEPS = 37, 6007
+LON_FACTOR, LON_STEPS = 53, 5003
+PLACE_SCALE = 10000.0
 ZIP_BASE = 90000
 
 
@@ -40,26 +43,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _grid(key: Column, base: float, steps: int, scale: float) -> Column:
-    return F.lit(base) + (key % steps).cast("double") / F.lit(scale)
+def _lat(key: Column) -> Column:
+    return F.lit(BASE_LAT) + (key * LAT_FACTOR % LAT_STEPS).cast("double") / F.lit(PLACE_SCALE)
 
 
-def incidents_from_orders(orders: DataFrame) -> DataFrame:
-    """``incidents``: one row per order (15,000 at sf0.01)."""
+def _lon(key: Column) -> Column:
+    return F.lit(BASE_LON) + (key * LON_FACTOR % LON_STEPS).cast("double") / F.lit(PLACE_SCALE)
+
+
+def incidents_from_orders(orders: DataFrame, areas: Column | int = 1) -> DataFrame:
+    """``incidents``: one row per order (15,000 at sf0.01), its area one of
+    ``areas`` (their number, or a scalar subquery that gives it)."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     null_island = k % 97 == 0
     return orders.select(
         k.alias("incident_id"),
         F.col("o_orderdate").cast("date").alias("occ_date"),
         ((k * 37) % 2400).cast("int").alias("time_occ"),
-        (c % N_AREAS).cast("int").alias("area"),
+        (c % areas).cast("int").alias("area"),
         F.col("o_orderpriority").alias("premis"),
         F.when(k % 5 == 0, F.lit(None).cast("int"))
         .otherwise(((k * 13) % 400).cast("int")).alias("weapon_cd"),
         F.when(k % 11 == 0, F.lit(None).cast("string"))
         .otherwise(F.col("o_orderstatus")).alias("descent"),
-        F.when(null_island, F.lit(0.0)).otherwise(_grid(c, BASE_LAT, LAT_STEPS, 100.0)).alias("lat"),
-        F.when(null_island, F.lit(0.0)).otherwise(_grid(c, BASE_LON, LON_STEPS, 100.0)).alias("lon"),
+        F.when(null_island, F.lit(0.0)).otherwise(_lat(c)).alias("lat"),
+        F.when(null_island, F.lit(0.0)).otherwise(_lon(c)).alias("lon"),
     )
 
 
@@ -68,8 +76,8 @@ def revgeo_from_customer(customer: DataFrame) -> DataFrame:
     c = F.col("c_custkey")
     zip5 = (F.lit(ZIP_BASE) + (c % 300) % 25).cast("string")
     return customer.select(
-        _grid(c, BASE_LAT, LAT_STEPS, 100.0).alias("lat"),
-        _grid(c, BASE_LON, LON_STEPS, 100.0).alias("lon"),
+        _lat(c).alias("lat"),
+        _lon(c).alias("lon"),
         F.concat(zip5, F.when(c % 2 == 0, F.lit("-0001")).otherwise(F.lit(""))).alias("zip"),
     ).distinct()
 
@@ -92,18 +100,19 @@ def income_from_customer(customer: DataFrame) -> DataFrame:
 
 
 def stations_from_supplier(supplier: DataFrame) -> DataFrame:
-    """``stations``: one precinct per incident area (prec 0..20)."""
+    """``stations``: every supplier is a precinct."""
     s = F.col("s_suppkey")
-    return supplier.where(s < N_AREAS).select(
-        (F.lit(BASE_LAT) + ((s * 37) % 29).cast("double") / F.lit(50.0)).alias("y"),
-        (F.lit(BASE_LON) + ((s * 53) % 31).cast("double") / F.lit(60.0)).alias("x"),
+    return supplier.select(
+        (F.lit(BASE_LAT) + ((s * 379) % 601).cast("double") / F.lit(1000.0)).alias("y"),
+        (F.lit(BASE_LON) + ((s * 211) % 503).cast("double") / F.lit(1000.0)).alias("x"),
         F.col("s_name").alias("division"),
         s.cast("int").alias("prec"),
     )
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incidents_from_orders(_table(spark, sf_dir, "orders"))
+    areas = _table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)))
+    return incidents_from_orders(_table(spark, sf_dir, "orders"), areas.scalar())
 
 
 def revgeo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,19 +133,19 @@ ADAPTER_SQL = {
   SELECT o_orderkey AS incident_id,
          CAST(o_orderdate AS DATE) AS occ_date,
          CAST((o_orderkey * 37) % 2400 AS INTEGER) AS time_occ,
-         CAST(o_custkey % 21 AS INTEGER) AS area,
+         CAST(o_custkey % (SELECT count(*) FROM supplier) AS INTEGER) AS area,
          o_orderpriority AS premis,
          CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST((o_orderkey * 13) % 400 AS INTEGER) END AS weapon_cd,
          CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS descent,
          CASE WHEN o_orderkey % 97 = 0 THEN CAST(0 AS DOUBLE)
-              ELSE CAST(33.7 AS DOUBLE) + CAST(o_custkey % 60 AS DOUBLE) / CAST(100 AS DOUBLE) END AS lat,
+              ELSE CAST(33.7 AS DOUBLE) + CAST(o_custkey * 37 % 6007 AS DOUBLE) / CAST(10000 AS DOUBLE) END AS lat,
          CASE WHEN o_orderkey % 97 = 0 THEN CAST(0 AS DOUBLE)
-              ELSE CAST(-118.6 AS DOUBLE) + CAST(o_custkey % 50 AS DOUBLE) / CAST(100 AS DOUBLE) END AS lon
+              ELSE CAST(-118.6 AS DOUBLE) + CAST(o_custkey * 53 % 5003 AS DOUBLE) / CAST(10000 AS DOUBLE) END AS lon
   FROM orders)""",
     "revgeo": """revgeo AS (
   SELECT DISTINCT
-         CAST(33.7 AS DOUBLE) + CAST(c_custkey % 60 AS DOUBLE) / CAST(100 AS DOUBLE) AS lat,
-         CAST(-118.6 AS DOUBLE) + CAST(c_custkey % 50 AS DOUBLE) / CAST(100 AS DOUBLE) AS lon,
+         CAST(33.7 AS DOUBLE) + CAST(c_custkey * 37 % 6007 AS DOUBLE) / CAST(10000 AS DOUBLE) AS lat,
+         CAST(-118.6 AS DOUBLE) + CAST(c_custkey * 53 % 5003 AS DOUBLE) / CAST(10000 AS DOUBLE) AS lon,
          concat(CAST(90000 + (c_custkey % 300) % 25 AS VARCHAR),
                 CASE WHEN c_custkey % 2 = 0 THEN '-0001' ELSE '' END) AS zip
   FROM customer)""",
@@ -146,11 +155,11 @@ ADAPTER_SQL = {
            AS median_income
   FROM customer GROUP BY c_nationkey)""",
     "stations": """stations AS (
-  SELECT CAST(33.7 AS DOUBLE) + CAST((s_suppkey * 37) % 29 AS DOUBLE) / CAST(50 AS DOUBLE) AS y,
-         CAST(-118.6 AS DOUBLE) + CAST((s_suppkey * 53) % 31 AS DOUBLE) / CAST(60 AS DOUBLE) AS x,
+  SELECT CAST(33.7 AS DOUBLE) + CAST((s_suppkey * 379) % 601 AS DOUBLE) / CAST(1000 AS DOUBLE) AS y,
+         CAST(-118.6 AS DOUBLE) + CAST((s_suppkey * 211) % 503 AS DOUBLE) / CAST(1000 AS DOUBLE) AS x,
          s_name AS division,
          CAST(s_suppkey AS INTEGER) AS prec
-  FROM supplier WHERE s_suppkey < 21)""",
+  FROM supplier)""",
 }
 
 

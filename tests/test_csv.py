@@ -72,6 +72,9 @@ def test_dimension_files(spark, tmp_path):
     i = src.read_income_csv(spark, income)
     assert [tuple(r) for r in i.orderBy(F.desc("median_income")).collect()] == [
         (90002, 110887), (90003, 33887), (90001, 9887), (90004, None)]
+    cents = _write(tmp_path, "cents", 'Zip Code,Estimated Median Income\n90001-1234,"$33,887.75"\n90002,"$33,887.25"\n')
+    got = [(z, float(m)) for z, m in src.read_income_csv(spark, cents).orderBy(F.desc("median_income")).collect()]
+    assert got == [(90001, 33887.75), (90002, 33887.25)]
     s = src.read_stations_csv(spark, st)
     assert s.columns == ["y", "x", "division", "prec"]
     assert [tuple(r) for r in s.collect()] == [(34.05, -118.2, "CENTRAL", 1), (34.1, -118.3, "RAMPART", 2)]
@@ -88,10 +91,23 @@ def test_round_trip_of_canonical_incidents(spark, tmp_path):
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
 
 
-def test_view_registration(spark):
-    df = spark.createDataFrame([(1,)], "a int")
-    src.register_view(df, "tiny_view")
-    assert spark.sql("select count(*) from tiny_view").collect()[0][0] == 1
+def test_mixed_headers_in_one_folder(spark, tmp_path):
+    folder = _write(tmp_path, "mixed", "DR_NO,AREA \n1,5\n")
+    (tmp_path / "mixed" / "part-1.csv").write_text("AREA,DR_NO\n7,2\n")
+    got = src.read_incidents_csv(spark, folder).select("incident_id", "area").orderBy("incident_id").collect()
+    assert [tuple(r) for r in got] == [(1, 5), (2, 7)]
+
+
+def test_generated_ids_never_meet_real_ones(spark, tmp_path):
+    a = _write(tmp_path, "ids", "DR_NO,AREA\n0,1\n1,2\nx7,3\n")
+    b = _write(tmp_path, "noids", "AREA\n4\n5\n")
+    df = src.load_incidents(spark, [a, b])
+    ids = sorted(r[0] for r in df.select("incident_id").collect())
+    assert len(set(ids)) == 5 and ids[-2:] == [0, 1] and all(i < 0 for i in ids[:3])
+    assert ids == sorted(r[0] for r in df.select("incident_id").collect())
+    raw = src.read_csv_raw(spark, a)
+    counts = src.rejected_counts(raw, src.INCIDENT_HEADERS, src.INCIDENT_SCHEMA).first().asDict()
+    assert counts["incident_id"] == 1 and counts["area"] == 0
 
 
 def test_schema_inference_is_opt_in(spark, tmp_path):

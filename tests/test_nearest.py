@@ -1,12 +1,12 @@
-"""Nearest station: every strategy against brute force on small fixtures."""
+"""Nearest station: against brute force on small fixtures."""
 
 import math
 import random
 
+import numpy as np
 import pytest
 
 from precinct.operators.nearest import nearest_station
-from precinct.operators.nearest_grid import nearest_grid, start_level
 
 ST_SCHEMA = "y double, x double, prec int, division string"
 PT_SCHEMA = "pid long, lat double, lon double"
@@ -29,14 +29,10 @@ def brute(points, stations):
     return out
 
 
-def run(spark, points, stations, strategy, **kw):
+def run(spark, points, stations, **kw):
     p = spark.createDataFrame(points, PT_SCHEMA)
     s = spark.createDataFrame(stations, ST_SCHEMA)
-    if strategy == "grid_direct":
-        df = nearest_grid(p, s, **kw)
-    else:
-        df = nearest_station(p, s, strategy=strategy, **kw)
-    return {r["pid"]: (r["near_km"], r["near_prec"]) for r in df.collect()}
+    return {r["pid"]: (r["near_km"], r["near_prec"]) for r in nearest_station(p, s, **kw).collect()}
 
 
 def check(got, want):
@@ -57,77 +53,66 @@ def _world(seed, n_points, n_stations):
     return pts, sts
 
 
-@pytest.mark.parametrize("strategy", ["array", "min_by", "grid"])
-def test_strategies_match_brute_force_on_the_globe(spark, strategy):
-    pts, sts = _world(1, 400, 60)
-    check(run(spark, pts, sts, strategy), brute(pts, sts))
+@pytest.mark.parametrize("n_stations", [1, 20, 40, 2000])
+def test_any_number_of_stations(spark, n_stations):
+    pts, sts = _world(n_stations, 200, n_stations)
+    pts += [(900, -95.0, 10.0), (901, -118.2, 34.0), (902, 100.0, 400.0), (903, float("nan"), 1.0), (904, 1.0, None)]
+    want = brute([p for p in pts if p[0] != 903], sts)
+    check(run(spark, pts, sts), want)
 
 
-@pytest.mark.parametrize("max_per_cell", [1, 4, 64])
-def test_grid_exact_for_any_start_level(spark, max_per_cell):
-    pts, sts = _world(2, 300, 120)
-    check(run(spark, pts, sts, "grid_direct", max_per_cell=max_per_cell), brute(pts, sts))
+@pytest.mark.parametrize("block_rows", [1, 7, 1000])
+def test_stations_in_blocks(spark, block_rows):
+    pts, sts = _world(2, 100, 12)
+    check(run(spark, pts, sts, block_rows=block_rows), brute(pts, sts))
 
 
-def test_grid_dense_city(spark):
-    rng = random.Random(3)
-    sts = [(34.0 + rng.uniform(-0.2, 0.2), -118.3 + rng.uniform(-0.2, 0.2), i, f"S{i}") for i in range(300)]
-    pts = [(i, 34.0 + rng.uniform(-0.5, 0.5), -118.3 + rng.uniform(-0.5, 0.5)) for i in range(500)]
-    check(run(spark, pts, sts, "grid_direct", max_per_cell=8), brute(pts, sts))
-
-
-def test_ties_go_to_smallest_prec(spark):
-    sts = [(34.0, -118.1, 7, "East"), (34.0, -118.3, 3, "West"), (34.0, -118.1, 9, "EastDup")]
-    pts = [(1, 34.0, -118.2)]  # equidistant from x=-118.1 and x=-118.3
-    for strategy in ["array", "min_by", "grid"]:
-        got = run(spark, pts, sts, strategy)
-        assert got[1][1] == 3, strategy
+@pytest.mark.parametrize("hint", ["broadcast", "merge", "shuffle_hash"])
+def test_division_by_a_join(spark, hint):
+    pts, sts = _world(3, 50, 30)
+    p, s = spark.createDataFrame(pts, PT_SCHEMA), spark.createDataFrame(sts, ST_SCHEMA)
+    rows = lambda df: sorted((r["pid"], r["near_prec"], r["near_division"]) for r in df.collect())
+    assert rows(nearest_station(p, s, hint=hint)) == rows(nearest_station(p, s))
 
 
-def test_duplicate_coordinates_keep_smallest_prec(spark):
-    sts = [(34.0, -118.1, 9, "B"), (34.0, -118.1, 2, "A")]
-    pts = [(1, 34.5, -118.0)]
-    for strategy in ["array", "min_by", "grid"]:
-        assert run(spark, pts, sts, strategy)[1][1] == 2, strategy
+def test_far_points_and_a_dense_cluster_compare_few_pairs():
+    from precinct.operators.nearest import Leaves, sphere
 
+    rng = np.random.default_rng(3)
+    city = sphere(34 + rng.uniform(-0.2, 0.2, 20_000), -118 + rng.uniform(-0.2, 0.2, 20_000))
+    leaves = Leaves(city)
+    far = sphere(-40 + rng.uniform(0, 1, 200), 20 + rng.uniform(0, 1, 200))
+    near = leaves.nearest(far)
+    exact = ((far[:, None] - city[None]) ** 2).sum(2).argmin(1)
+    assert all(e in n for e, n in zip(exact, near, strict=True))
+    assert max(map(len, near)) < 100  # handed on to the exact distance, of 20,000
 
-def test_no_stations_gives_no_rows(spark):
-    pts = [(1, 34.0, -118.0)]
-    for strategy in ["array", "min_by", "grid"]:
-        assert run(spark, pts, [], strategy) == {}, strategy
 
-
-def test_null_coordinates(spark):
-    sts = [(None, -118.0, 1, "Null"), (34.1, -118.1, 2, "Real")]
-    pts = [(1, 34.0, -118.0), (2, None, -118.0)]
-    for strategy in ["array", "min_by", "grid"]:
-        got = run(spark, pts, sts, strategy)
-        assert set(got) == {1} and got[1][1] == 2, strategy
+def test_dense_city(spark):
+    rng = random.Random(3)
+    sts = [(34.0 + rng.uniform(-0.2, 0.2), -118.3 + rng.uniform(-0.2, 0.2), i, f"S{i}") for i in range(300)]
+    pts = [(i, 34.0 + rng.uniform(-0.5, 0.5), -118.3 + rng.uniform(-0.5, 0.5)) for i in range(500)]
+    check(run(spark, pts, sts), brute(pts, sts))
 
 
-def test_auto_uses_grid_beyond_broadcast_bound(spark):
-    pts, sts = _world(4, 100, 40)
-    got = run(spark, pts, sts, "auto", max_broadcast_rows=10)
-    check(got, brute(pts, sts))
+def test_ties_and_duplicates_go_to_the_smallest_prec(spark):
+    sts = [(34.0, -118.1, 7, "East"), (34.0, -118.3, 3, "West"), (34.0, -118.1, 9, "EastDup"), (35.0, -118.1, 9, "B"),
+           (35.0, -118.1, 2, "A")]
+    got = run(spark, [(1, 34.0, -118.2), (2, 35.1, -118.1)], sts)
+    assert got[1][1] == 3 and got[2][1] == 2
 
 
-def test_start_level_respects_cell_bound(spark):
-    sts = spark.createDataFrame([(34.0 + i * 1e-3, -118.0, i, "x") for i in range(50)], ST_SCHEMA)
-    lvl = start_level(sts, 5)
-    assert 0 < lvl <= 30
-    assert start_level(sts, 1000) == 0
+def test_unknown_stations_and_none(spark):
+    assert run(spark, [(1, 34.0, -118.0)], []) == {}
+    sts = [(None, -118.0, 1, "Null"), (float("nan"), -118.0, 4, "NaN"), (34.1, -118.1, 2, "Real")]
+    got = run(spark, [(1, 34.0, -118.0), (2, None, -118.0)], sts)
+    assert set(got) == {1} and got[1][1] == 2
 
 
 def test_duplicate_points_and_extra_columns_are_kept(spark):
-    from pyspark.sql import functions as F
-
-    sts = [(34.0, -118.1, 1, "A"), (34.5, -118.5, 2, "B")]
-    s = spark.createDataFrame(sts, ST_SCHEMA)
+    s = spark.createDataFrame([(34.0, -118.1, 1, "A"), (34.5, -118.5, 2, "B")], ST_SCHEMA)
     p = spark.createDataFrame([(1, 34.0, -118.0, "x"), (1, 34.0, -118.0, "x"), (2, 34.4, -118.5, "y")],
                               "pid long, lat double, lon double, tag string")
-    for strategy in ["array", "min_by", "grid"]:
-        out = nearest_station(p, s, strategy=strategy)
-        assert out.columns[:4] == ["pid", "lat", "lon", "tag"], strategy
-        got = sorted((r["pid"], r["tag"], r["near_prec"]) for r in out.collect())
-        assert got == [(1, "x", 1), (1, "x", 1), (2, "y", 2)], strategy
-        assert out.where(F.col("near_km").isNull()).count() == 0
+    out = nearest_station(p, s)
+    assert out.columns[:4] == ["pid", "lat", "lon", "tag"]
+    assert sorted((r["pid"], r["tag"], r["near_prec"]) for r in out.collect()) == [(1, "x", 1), (1, "x", 1), (2, "y", 2)]

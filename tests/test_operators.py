@@ -177,9 +177,19 @@ def test_cluster_conf():
     assert cluster_conf(8, input_bytes=100 << 40)["spark.sql.shuffle.partitions"] == str(100 << 10)
 
 
-def test_checked_broadcast_materialize(spark):
-    derived = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
-    out = jn.checked_broadcast(derived, 10, materialize=True)
-    assert sorted(r["k"] for r in out.collect()) == list(range(7))
-    big = jn.checked_broadcast(derived, 3, materialize=True)  # too big: returned unhinted, still whole
-    assert big.count() == 7
+def test_an_ignored_broadcast_is_reported(spark):
+    with pytest.warns(UserWarning, match="no broadcast"):
+        assert jn.checked_broadcast(spark.range(50), 5).count() == 50
+
+
+def test_the_size_check_shuffles_no_rows(spark):
+    plan = spark.range(100).agg(F.count(F.lit(1)), F.sum(jn._row_bytes(spark.range(1))))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "LocalLimit" not in text and "partial_count" in text
+
+
+def test_unique_by(spark):
+    st = spark.createDataFrame([(1, "a"), (2, "b")], "prec int, division string")
+    assert sorted(tuple(r) for r in jn.unique_by(st, "prec").collect()) == [(1, "a"), (2, "b")]
+    with pytest.raises(Exception, match="prec is not unique"):
+        jn.unique_by(st.union(st), "prec").collect()

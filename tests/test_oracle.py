@@ -7,11 +7,13 @@ import __spark_entry__ as entry
 from tests.conftest import SF0001
 from tests.oracle_compare import compare, duck
 
-KEYS = list(entry.queries())
+from precinct.plans import catalog
+
+KEYS = list(catalog.QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(KEYS)
+    assert set(KEYS) <= set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")

@@ -45,9 +45,21 @@ def test_station_join_is_broadcast(spark, q, key):
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
 
 
-def test_nearest_is_map_side_against_one_broadcast_row(spark, q):
-    plan = executed_plan(q["distance_by_year_nearest"](spark, SF0001))
-    assert "BroadcastNestedLoopJoin" in plan and "CartesianProduct" not in plan
+def test_nearest_is_solved_in_place(spark, q):
+    final = executed_plan(q["nearest_station"](spark, SF0001))
+    assert "MapInArrow" in final and "Join" not in final and "Exchange" not in final
+
+
+def test_q3_joins_before_it_aggregates(spark, q):
+    plan = q["descent_by_income"](spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate [descent") < plan.index("Join Inner")
+    assert "lat#" not in plan[plan.index("Aggregate [descent"):].split("\n")[0]
+
+
+@pytest.mark.parametrize("report", ["distance_by_year_area", "distance_by_division_area", "distance_by_division_nearest"])
+@pytest.mark.parametrize("hint,node", [("merge", "SortMergeJoin"), ("shuffle_hash", "ShuffledHashJoin")])
+def test_station_reports_follow_the_hint(spark, q, report, hint, node):
+    assert node in q[f"{report}_{hint}"](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_year_filter_reaches_parquet(spark, q):

@@ -166,8 +166,5 @@ def test_reports_match_brute_force(spark, seed):
 
     _cmp_stats(rp.distance_by_year_area(inc_df, st_df).collect(), brute_responsible(inc, st, "year"))
     _cmp_stats(rp.distance_by_division_area(inc_df, st_df).collect(), brute_responsible(inc, st, "division"))
-    for strategy in ("array", "min_by", "grid"):
-        _cmp_stats(rp.distance_by_year_nearest(inc_df, st_df, strategy=strategy).collect(),
-                   brute_nearest(inc, st, "year"))
-        _cmp_stats(rp.distance_by_division_nearest(inc_df, st_df, strategy=strategy).collect(),
-                   brute_nearest(inc, st, "division"))
+    _cmp_stats(rp.distance_by_year_nearest(inc_df, st_df).collect(), brute_nearest(inc, st, "year"))
+    _cmp_stats(rp.distance_by_division_nearest(inc_df, st_df).collect(), brute_nearest(inc, st, "division"))
