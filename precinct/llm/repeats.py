@@ -57,7 +57,9 @@ COLLAPSE_BYTES, COLLAPSE_STARTS = 8 << 20, 1 << 18
 
 ANCHORS = "uid bigint, lo int, hi int, at int, h bigint"
 PLACES = "h bigint, place int, context binary, h2 bigint, uids array<bigint>, los array<int>"
-FOUND = "uid bigint, lo int, hi int"
+FOUND = "uid bigint, starts array<struct<lo:int,hi:int>>"
+#: Starts that a task gathers by document before it gives them out.
+GATHER = 1 << 18
 
 
 class Rolling:
@@ -236,24 +238,34 @@ def runs(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), (edges[1::2] - 1).tolist(), strict=True))
 
 
-def _starts(places: DataFrame, size: int, gram: int) -> DataFrame:
-    """(uid, lo, hi): starts of strings that occur more than once."""
+def _starts(places: DataFrame, length: int, gram: int) -> DataFrame:
+    """(uid, starts): starts of strings that occur more than once, those that a
+    task finds for a document together."""
     fields = arrow_schema(FOUND)
     ordered = places.repartition("h").sortWithinPartitions("h", "h2", "place", "context")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = Batches(fields)
+        out, found, size = Batches(fields), {}, 0
+
+        def gathered():
+            for uid, starts in found.items():
+                yield from out.add((uid, [{"lo": a, "hi": b} for a, b in starts]), 16 * len(starts))
+            found.clear()
+
         held: list[list] = []  # [h, place, context, uids, los], equal contexts as one
 
-        def settled(rows: list[list]):
+        def settled(rows: list[list]) -> int:
+            count = 0
             groups = np.cumsum([0] + [a[0] != b[0] for a, b in zip(rows, rows[1:], strict=False)])
-            masks = repeated(groups, [r[2] for r in rows], np.array([r[1] for r in rows]), size, gram)
+            masks = repeated(groups, [r[2] for r in rows], np.array([r[1] for r in rows]), length, gram)
             for (_, _, _, uids, los), mask in zip(rows, masks, strict=True):
                 if len(uids) > 1:
                     mask[:] = True
                 for a, b in runs(mask):
+                    count += len(uids)
                     for uid, lo in zip(uids, los, strict=True):
-                        yield from out.add((uid, lo + a, lo + b))
+                        found.setdefault(uid, []).append((lo + a, lo + b))
+            return count
 
         last = None  # of a hot anchor's strings: key, and places not yet given out
         for h, place, context, h2, uids, los in rows_of(batches, 256):
@@ -264,19 +276,24 @@ def _starts(places: DataFrame, size: int, gram: int) -> DataFrame:
                 else:
                     again = len(uids) > 1
                 if again:
+                    size += len(uids)
                     for uid, lo in zip(uids, los, strict=True):
-                        yield from out.add((uid, lo, lo))
+                        found.setdefault(uid, []).append((lo, lo))
                 last = ((h, h2), [], []) if again else ((h, h2), uids, los)
             elif held and held[-1][:3] == [h, place, context]:
                 held[-1][3] += uids
                 held[-1][4] += los
             else:
                 if len(held) >= TOGETHER and held[-1][0] != h:
-                    yield from settled(held)
+                    size += settled(held)
                     held = []
                 held.append([h, place, context, uids, los])
+            if size >= GATHER:
+                yield from gathered()
+                size = 0
         if held:
-            yield from settled(held)
+            settled(held)
+        yield from gathered()
         yield from out.flush()
 
     return map_arrow(ordered, run, FOUND)
@@ -299,7 +316,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     contexts = _contexts(rows.join(own, "uid").select("uid", "text", "own"), size)
     starts = written(_starts(contexts, size, gram), "repeated-starts")
     dropped(found)
-    spans = starts.groupBy("uid").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
+    spans = starts.groupBy("uid").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     schema = f"doc_id {docs.schema[key].dataType.simpleString()}, n_bytes bigint, spans array<struct<start:int,stop:int>>, kept binary"
     fields = arrow_schema(schema)
 
