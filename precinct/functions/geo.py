@@ -39,7 +39,8 @@ def known(col: Column | str) -> Column:
 def not_null_island(lat: Column | str = "lat", lon: Column | str = "lon") -> Column:
     """True when both coordinates are known and non-zero."""
     la, lo = as_col(lat), as_col(lon)
-    return (la != F.lit(0.0)) & (lo != F.lit(0.0)) & known(la) & known(lo)
+    finite = [F.abs(c) < F.lit(float("inf")) for c in (la, lo)]
+    return (la != F.lit(0.0)) & (lo != F.lit(0.0)) & finite[0] & finite[1]
 
 
 def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
