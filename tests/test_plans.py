@@ -84,5 +84,5 @@ def test_premise_filter_pushed(spark, q):
 def test_reports_scan_the_fact_once(spark, q, key):
     df = q[key](spark, SF0001)
     df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    final = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
     assert final.count("orders.parquet") == 1
