@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precinct.llm.arrow import Batches, arrow_schema, map_arrow, rows_of
-from precinct.llm.tables import text_of, written
+from precinct.llm.tables import row_id, text_of, written
 
 WINDOW = 13
 BLOCK_ITEMS = 20_000
@@ -217,7 +217,7 @@ def hits(
     schema = f"uid bigint, doc_id {kind}, {HITS}"
     fields = arrow_schema(schema)
     rows = docs.select(
-        F.monotonically_increasing_id().alias("uid"), F.col(key).alias("doc_id"), text_of(docs, text).alias("text")
+        row_id(docs).alias("uid"), F.col(key).alias("doc_id"), text_of(docs, text).alias("text")
     )
 
     def found(block) -> DataFrame:

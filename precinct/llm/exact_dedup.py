@@ -33,7 +33,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.tables import dropped, text_of, written
+from precinct.llm.tables import dropped, row_id, text_of, written
 
 BLOCK_CHARS = 2048
 NAME_BUCKETS = 4096
@@ -121,7 +121,7 @@ def groups(
     """Per row: ``uid`` (its number in ``docs``), ``doc_id``, ``keep_id``,
     ``group_size``, ``kept`` and ``text_sha256`` of the normalised text."""
     docs = docs.select(
-        F.monotonically_increasing_id().alias("uid"),
+        row_id(docs).alias("uid"),
         F.col(key).alias("doc_id"),
         normalised(text_of(docs, text)).alias("text"),
     )
@@ -171,7 +171,7 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -
     """The rows of ``docs`` that stay, with its columns. ``docs`` must give its
     rows in the same order when read again, as a table does."""
     kept = written(groups(docs, text, key, **options).where("kept").select(F.col("uid").alias("_uid")), "kept")
-    return docs.withColumn("_uid", F.monotonically_increasing_id()).join(kept, "_uid", "left_semi").drop("_uid")
+    return docs.withColumn("_uid", row_id(docs)).join(kept, "_uid", "left_semi").drop("_uid")
 
 
 __all__ = ["BLOCK_CHARS", "NAME_BUCKETS", "block_hash", "blocks_of", "dedup", "dropped", "groups", "normalised"]

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precinct.llm.arrow import Batches, arrow_schema, map_arrow, rows_of
-from precinct.llm.tables import dropped, text_of, written
+from precinct.llm.tables import dropped, row_id, text_of, written
 
 SIZE, GRAM = 400, 48
 #: Places of an anchor from which its starts are counted by hash.
@@ -303,7 +303,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     """Per row: doc_id, n_bytes, spans (start, stop: maximal removed runs) and
     kept, the bytes that remain."""
     source = docs.select(
-        F.monotonically_increasing_id().alias("uid"), F.col(key).alias("doc_id"), text_of(docs, text).cast("binary").alias("text")
+        row_id(docs).alias("uid"), F.col(key).alias("doc_id"), text_of(docs, text).cast("binary").alias("text")
     )
     rows = source.select("uid", "text").where(F.length("text") >= size)
     found = written(_anchors(rows, size, gram), "anchors")

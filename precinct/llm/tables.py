@@ -40,6 +40,18 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def row_id(df: DataFrame) -> Column:
+    """A number for each row of a table, the same whenever the table is read
+    again. Numbers follow from the splits of the files, and the splits from the
+    cores that are registered when a plan is made, so a lost executor would
+    change them: the session's least number of splits is fixed where it is
+    unset, at the cores of now."""
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return F.monotonically_increasing_id()
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text, null as the empty string."""
     return F.coalesce(df[column].cast("string"), F.lit(""))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precinct.llm.arrow import Batches, arrow_schema, map_arrow, rows_of
-from precinct.llm.tables import written
+from precinct.llm.tables import row_id, written
 from precinct.session import scratch_path
 
 CHUNK_BYTES = 64 << 10
@@ -113,7 +113,7 @@ def write(
     spark = pages.sparkSession
     url = F.col("url").cast("string") if "url" in pages.columns else F.lit(None).cast("string")
     source = pages.select(
-        F.monotonically_increasing_id().alias("record"),
+        row_id(pages).alias("record"),
         F.col(key).cast("bigint").alias("page_id"),
         url.alias("url"),
         F.col(payload).cast("string").alias("payload"),
