@@ -244,6 +244,17 @@ def test_jaccard(spark, monkeypatch, few, tile):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), find(i)) for i, s in sets.items()}
 
 
+@pytest.mark.parametrize("edges", [[], [(2, 1), (3, 1), (3, 1), (9, 9)], [(i, i + 1) for i in range(40)], [(5, 4), (4, 9), (9, 1), (7, 6)]])
+def test_components(spark, edges):
+    root = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in root:
+        for x, y in edges:
+            if x != y:
+                root[x] = root[y] = min(root[x], root[y])
+    found = jaccard.components(spark.createDataFrame(edges, "x bigint, y bigint"), "test").collect()
+    assert sorted(map(tuple, found)) == sorted((x, y) for x, y in root.items() if x != y)
+
+
 # ------------------------------------------------------------------ 10
 
 
