@@ -244,6 +244,20 @@ def test_jaccard(spark, monkeypatch, few, tile):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(s), find(i)) for i, s in sets.items()}
 
 
+@pytest.mark.parametrize("size", [70, 60])
+def test_jaccard_of_texts_that_are_mostly_a_body_of_many(spark, size):
+    """Two of ``size`` texts share 8 words besides the body, which alone links none."""
+    body, both = [f"b{k}" for k in range(87)], [f"s{k}" for k in range(8)]
+    own = [[f"o{i}_{k}" for k in range(13)] for i in range(size)]
+    own[5], own[41] = own[5][8:] + both, own[41][8:] + both
+    rows = [(i, " ".join(body + own[i])) for i in range(size)]
+    sets = [set(t.split()) for _, t in rows]
+    links = [(i, j) for i in range(size) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    assert links == [(41, 5)]
+    got = jaccard.groups(table(spark, rows), words=1).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: 5 if i == 41 else i for i in range(size)}
+
+
 @pytest.mark.parametrize("edges", [[], [(2, 1), (3, 1), (3, 1), (9, 9)], [(i, i + 1) for i in range(40)], [(5, 4), (4, 9), (9, 1), (7, 6)]])
 def test_components(spark, edges):
     root = {x: x for e in edges for x in e if e[0] != e[1]}
