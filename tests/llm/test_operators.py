@@ -258,6 +258,21 @@ def test_jaccard_of_texts_that_are_mostly_a_body_of_many(spark, size):
     assert {r.doc_id: r.component_id for r in got} == {i: 5 if i == 41 else i for i in range(size)}
 
 
+def test_near_dedup_goes_by_rows(spark):
+    """Near copies (of 30 words one differs) with null, repeated and mixed ids."""
+    near = lambda kind, k: " ".join([f"{kind}{j}" for j in range(29)] + [f"{kind}_own{k}"])
+    rows = [
+        (None, near("a", 0)), (None, near("a", 1)),  # one of two without id stays
+        (None, near("b", 0)), (9, near("b", 1)), (8, near("b", 2)),  # 8 stays
+        (5, near("c", 0)), (5, near("d", 0)), (4, near("d", 1)),  # both groups keep one: c's 5 and d's 4
+        (6, near("e", 0)), (6, near("e", 1)),  # one of two of the same id stays
+        (None, None), (None, ""), (7, " "),  # nothing to compare
+    ]
+    kept = jaccard.dedup(table(spark, rows).coalesce(1)).select("doc_id", "text").collect()
+    want = [rows[k] for k in (0, 4, 5, 7, 8, 10, 11, 12)]
+    assert Counter(map(tuple, kept)) == Counter(want)
+
+
 @pytest.mark.parametrize("edges", [[], [(2, 1), (3, 1), (3, 1), (9, 9)], [(i, i + 1) for i in range(40)], [(5, 4), (4, 9), (9, 1), (7, 6)]])
 def test_components(spark, edges):
     root = {x: x for e in edges for x in e if e[0] != e[1]}
