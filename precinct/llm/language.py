@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from precinct.llm.arrow import Batches, arrow_schema, map_arrow, rows_of
@@ -176,12 +176,16 @@ def trained(rows: list) -> Network | None:
     return network
 
 
+def lettered(text: Column) -> Column:
+    """Whether a text has a letter; null if it is null."""
+    return text.cast("string").rlike(r"\p{L}")
+
+
 def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of each row."""
     kind = docs.schema[key].dataType.simpleString()
     schema = f"doc_id {kind}, lang_pred string, score double"
-    lettered = F.col(text).cast("string").rlike(r"\p{L}")
-    rows = docs.select(F.col(key).alias("doc_id"), F.when(lettered, F.col(text).cast("string")).alias("text"))
+    rows = docs.select(F.col(key).alias("doc_id"), F.when(lettered(F.col(text)), F.col(text).cast("string")).alias("text"))
     if network is None:
         return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     fields = arrow_schema(schema)

@@ -335,6 +335,17 @@ def test_pipeline_against_the_stages_by_hand(spark):
         assert stage(spark, docs, SF0001).columns == docs.columns, name
 
 
+@pytest.mark.parametrize("doc_id,lang", [(1, None), (None, "en")])
+def test_pipeline_keeps_clean_documents_without_labels(spark, doc_id, lang):
+    import corpus_pipeline as pipeline
+
+    texts = ["clean words", "12 !", None, "", "é"]
+    docs = spark.createDataFrame([(doc_id, t, lang) for t in texts], "doc_id bigint, text string, lang string")
+    got = pipeline.language_id(spark, docs, SF0001)
+    assert got.columns == docs.columns
+    assert sorted(r.text for r in got.collect()) == ["clean words", "é"]
+
+
 def test_registration():
     names = list(entry.queries())
     assert [n for n in names if n.startswith("op")] and "pipeline" in names
