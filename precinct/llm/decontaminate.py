@@ -15,7 +15,8 @@ has fewer. The benchmark goes to the tasks in blocks of bounded size
 each passes over all documents and their spans are merged by row.
 
 Cases: null and empty texts have no words, are never hit and not contaminated;
-items without words have no phrases. Items with the same item_id count once.
+items without words have no phrases. Items with the same item_id count once;
+those without item_id count as one item too, null, the last of a list.
 Repeated rows are reported once per row, null ids too; an empty table or
 benchmark gives a result without hits. Other columns are not read.
 """
@@ -55,7 +56,12 @@ def phrases(items: list[tuple[int, str | None]], window: int) -> dict[tuple[byte
         words = words_of(text)
         for at in range(max(1, len(words) - window + 1) if words else 0):
             found.setdefault(tuple(words[at : at + window]), set()).add(item_id)
-    return {phrase: sorted(ids) for phrase, ids in found.items()}
+    return {phrase: in_order(ids) for phrase, ids in found.items()}
+
+
+def in_order(ids: set[int | None]) -> list[int | None]:
+    """Items in order, null last."""
+    return sorted(ids, key=lambda i: (i is None, i or 0))
 
 
 class WaveletTree:
@@ -178,7 +184,7 @@ class Phrases:
                 k, a, _ = places[r]
                 spans[k].append((a + begin, a + begin + int(self.sizes[p])))
                 items[k].update(self.items[p])
-        return [(n, merged(s), sorted(i)) for n, s, i in zip(sizes, spans, items, strict=True)]
+        return [(n, merged(s), in_order(i)) for n, s, i in zip(sizes, spans, items, strict=True)]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

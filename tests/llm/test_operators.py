@@ -313,6 +313,17 @@ def test_decontamination(spark, monkeypatch, block):
     assert sorted((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in found) == sorted(hits(docs, items, 3))
 
 
+@pytest.mark.parametrize("block", [20_000, 1])
+def test_decontamination_by_items_without_id(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", block)
+    items = [(3, "a b c d"), (-2, "b c d"), (None, "a b c x"), (None, "e f g")]
+    docs = [(1, "a b c"), (2, "b c d e f g"), (3, "e f g"), (4, "b c")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.judged(decontaminate.hits(table(spark, docs), benchmark, window=3)).collect()
+    want = [(1, 3, [3, None], True), (2, 6, [-2, 3, None], True), (3, 3, [None], True), (4, 0, [], False)]
+    assert sorted((r.doc_id, r.n_hit, r["items"], r.contaminated) for r in found) == want
+
+
 # ------------------------------------------------------------------ pipeline
 
 
