@@ -3,8 +3,10 @@
 Filters of several widths run over the bytes of a window, their largest
 activation in the window goes through a rectifier into a softmax. The network
 is trained in numpy on the driver, on a bounded sample of labelled windows
-(``per_lang`` documents of a language, ``windows`` windows of each, ``languages``
-most frequent languages: documented parameters), drawn over whole texts.
+(``windows`` windows of a document, ``per_lang`` documents of a language and
+``total`` in all: documented parameters), drawn over whole texts. Every label
+that occurs is learned: with many, each has fewer documents, down to one, so
+``total`` is passed only where there are more labels than that.
 
 A prediction reads the whole text: it is cut into windows of fixed length that
 overlap by the widest filter less one, all windows of a batch go through the
@@ -33,7 +35,7 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 #: The bound of the training sample.
-PER_LANG, WINDOWS, LANGUAGES = 300, 4, 64
+PER_LANG, WINDOWS, TOTAL = 300, 4, 19_200
 #: Windows that go through the network at once: their activations stay in cache.
 BLOCK = 64
 #: ASCII capitals count as small letters.
@@ -139,26 +141,27 @@ class Network:
 
 def sample(
     docs: DataFrame, label: str = "lang", key: str = "doc_id", text: str = "text",
-    per_lang: int = PER_LANG, windows: int = WINDOWS, languages: int = LANGUAGES,
+    per_lang: int = PER_LANG, windows: int = WINDOWS, total: int = TOTAL,
 ) -> list:
-    """At most languages x per_lang rows (lang, parts): windows at places that
-    a hash of the row draws over the whole text."""
+    """At most per_lang rows (lang, parts) of each label and total of all, one
+    of each at least: windows at places that a hash of the row draws over the
+    whole text."""
     rows = docs.select(
         F.col(label).cast("string").alias("lang"),
         text_of(docs, text).alias("text"),
         F.xxhash64(F.col(key).cast("string")).alias("h"),
     ).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    common = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
+    labels = rows.select("lang").distinct().count()
+    each = min(per_lang, max(1, total // max(1, labels)))
     room = F.greatest(F.char_length("text") - WINDOW + 1, F.lit(1))
     parts = F.array(
         *[F.substring(F.col("text"), F.pmod(F.xxhash64("h", F.lit(i)), room).cast("int") + 1, F.lit(WINDOW)) for i in range(windows)]
     )
     picked = Window.partitionBy("lang").orderBy("h", "parts")
     return (
-        rows.where(F.col("lang").isin(common))
-        .select("lang", "h", parts.alias("parts"))
+        rows.select("lang", "h", parts.alias("parts"))
         .withColumn("n", F.row_number().over(picked))
-        .where(F.col("n") <= per_lang)
+        .where(F.col("n") <= each)
         .orderBy("lang", "n")
         .select("lang", "parts")
         .collect()
@@ -170,7 +173,8 @@ def trained(rows: list) -> Network | None:
     classes = sorted({r["lang"] for r in rows})
     if not classes:
         return None
-    pairs = [(windows_of(p)[0][0], classes.index(r["lang"])) for r in rows for p in r["parts"]]
+    number = {lang: i for i, lang in enumerate(classes)}
+    pairs = [(windows_of(p)[0][0], number[r["lang"]]) for r in rows for p in r["parts"]]
     network = Network(classes)
     network.fit(np.array([x for x, _ in pairs]), np.array([y for _, y in pairs]))
     return network

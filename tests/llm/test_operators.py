@@ -132,6 +132,19 @@ def test_language_held_out_accuracy(spark):
     assert {(r.lang_pred, r.score) for r in odd.collect()} == {("und", 0.0)}
 
 
+def test_language_learns_every_label(spark):
+    """70 labels, each a pair of letters; the last ones are the rarest."""
+    name = lambda k: chr(97 + k // 10) + chr(107 + k % 10)
+    rows = [(100 * k + j, (name(k) + " ") * 40, name(k)) for k in range(70) for j in range(6 if k < 64 else 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    network = language.trained(language.sample(docs))
+    right = language.identify(docs, network).join(docs.select("doc_id", "lang"), "doc_id").where("lang_pred = lang")
+    rare = {name(k) for k in range(64, 70)}
+    assert {r["lang"] for r in right.collect()} >= rare
+    for total, each in ((140, 2), (10, 1)):
+        assert Counter(r["lang"] for r in language.sample(docs, total=total)) == {name(k): each for k in range(70)}
+
+
 # ------------------------------------------------------------------ 5
 
 
