@@ -16,8 +16,11 @@ from precinct.llm import (
     exact_dedup,
     jaccard,
     language,
+    merkle,
+    mixing,
     repeats,
     secrets,
+    trie,
     unigram,
     warc,
 )
@@ -122,6 +125,31 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(tampered, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    found = merkle.verified(merkle.manifest(documents(spark, sf_dir), {"text": text}))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        *[merkle.shown(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(merkle.proof(F.col("segment")), 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.numbered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    conv_id = F.col("conv_id")
+    rebuilt = trie.spliced(turns, conv_id - conv_id % 100, F.crc32(conv_id.cast("string")) % 6, 5)
+    return trie.nodes(rebuilt, turns.select("conv_id").distinct()).drop("key")
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return mixing.mixed(documents(spark, sf_dir), labels).drop("source")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -135,9 +163,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repeated_spans,
         op9_jaccard_join,
         op10_decontaminate,
+        op11_merkle_manifest,
+        op12_prefix_trie,
+        op13_source_mix,
     )
 }
 
+def _crc32(text: str) -> str:
+    """DuckDB SQL: the unsigned CRC-32 of an ASCII text, bit by bit."""
+    byte = """list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                         lambda x, _: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))"""
+    codes = f"list_transform(string_split({text}, ''), lambda s: CAST(ascii(s) AS BIGINT))"
+    return f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, b: {byte}))"
+
+
+def _field(name: str) -> str:
+    """DuckDB SQL: a field of a Merkle leaf."""
+    text = f"CAST({name} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
 ORACLE = {
     "op1_exact_dedup": r"""
         WITH texts AS (
@@ -191,4 +236,134 @@ ORACLE = {
                CASE WHEN page_id <> first THEN first END AS refers_to
         FROM digits
     """,
+    # Each level of both trees keeps, for every leaf, the node that it is in and
+    # the siblings so far, so that the proofs come with the levels.
+    "op11_merkle_manifest": f"""
+        WITH RECURSIVE leaves AS (
+            SELECT doc_id, source, sha256({" || ".join(map(_field, merkle.FIELDS))}) AS leaf,
+                   CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed,
+                   lang, n_chars
+            FROM documents
+        ), numbered AS (
+            SELECT doc_id, source, leaf,
+                   sha256({" || ".join(_field("changed" if f == "text" else f) for f in merkle.FIELDS)}) AS other,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                   count(*) OVER (PARTITION BY source) AS n
+            FROM leaves
+        ), low AS (
+            SELECT doc_id, source, leaf, other, i, n, leaf AS node, other AS folded, '' AS path FROM numbered
+            UNION ALL
+            SELECT doc_id, source, leaf, other, i // 3, (n + 2) // 3,
+                   sha256(array_to_string(run, '')),
+                   sha256(array_to_string(list_transform(run, lambda x, k: CASE WHEN k = 1 + i % 3 THEN folded ELSE x END), '')),
+                   path || array_to_string(list_filter(run, lambda x, k: k <> 1 + i % 3), '')
+            FROM (
+                SELECT *, list_transform(list_sort(list_distinct(list({{'i': i, 'node': node}}) OVER (PARTITION BY source, i // 3))),
+                                         lambda x: x['node']) AS run
+                FROM low WHERE n > 1
+            )
+        ), sub AS (
+            SELECT * EXCLUDE (i, n), dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS i,
+                   (SELECT count(*) FROM (SELECT DISTINCT source FROM documents)) AS n
+            FROM low WHERE n = 1
+        ), high AS (
+            SELECT doc_id, leaf, node AS subroot, i, n, node, folded, path FROM sub
+            UNION ALL
+            SELECT doc_id, leaf, subroot, i // 3, (n + 2) // 3,
+                   sha256(array_to_string(run, '')),
+                   sha256(array_to_string(list_transform(run, lambda x, k: CASE WHEN k = 1 + i % 3 THEN folded ELSE x END), '')),
+                   path || array_to_string(list_filter(run, lambda x, k: k <> 1 + i % 3), '')
+            FROM (
+                SELECT *, list_transform(list_sort(list_distinct(list({{'i': i, 'node': node}}) OVER (PARTITION BY i // 3))),
+                                         lambda x: x['node']) AS run
+                FROM high WHERE n > 1
+            )
+        )
+        SELECT doc_id, leaf, subroot, node AS root, sha256(path) AS proof_sha256, folded AS folded_root, folded = node AS verified
+        FROM high WHERE n = 1
+    """,
+    "op12_prefix_trie": f"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place
+            FROM conversations
+        ), convs AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS donor, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h
+            FROM (SELECT DISTINCT conv_id FROM turns)
+        ), whole AS (
+            SELECT c.conv_id, 0 AS late, place, role, text FROM convs c JOIN turns t ON t.conv_id = donor WHERE place < h
+            UNION ALL
+            SELECT c.conv_id, 1, place, role, text FROM convs c JOIN turns t USING (conv_id) WHERE place >= h
+        ), paths AS (
+            SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY late, place) AS path FROM whole GROUP BY conv_id
+            UNION ALL
+            SELECT conv_id, [] FROM convs WHERE conv_id NOT IN (SELECT conv_id FROM whole)
+        ), each AS (
+            SELECT conv_id, len(path) AS n, unnest(range(len(path) + 1)) AS depth, path FROM paths
+        ), named AS (
+            SELECT conv_id, n, depth, CAST(path[:depth] AS VARCHAR) AS node, path[:depth - 1] AS parent,
+                   coalesce(length(path[depth].text), 0) AS chars
+            FROM each
+        ), nodes AS (
+            SELECT node, min(conv_id) AS conv_id, depth, CAST(any_value(parent) AS VARCHAR) AS parent, count(*) AS n_convs,
+                   any_value(chars) AS chars,
+                   sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256
+            FROM named GROUP BY node, depth
+        ), born AS (
+            SELECT parent, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+        ), counted AS (
+            SELECT n.*, coalesce(n_children, 0) AS n_children
+            FROM nodes n LEFT JOIN born b ON n.node = b.parent AND n.depth = b.depth
+        ), above AS (
+            SELECT DISTINCT a.node AS top, a.depth AS top_depth, b.node, b.depth
+            FROM named a JOIN named b ON a.conv_id = b.conv_id AND a.depth <= b.depth
+        ), totals AS (
+            SELECT top, top_depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+                   sum((n_convs - 1) * chars) AS saved_tokens
+            FROM above JOIN counted USING (node, depth) GROUP BY top, top_depth
+        )
+        SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+               CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+        FROM counted c
+        JOIN totals ON top = c.node AND top_depth = c.depth
+        LEFT JOIN nodes p ON c.depth > 0 AND p.node = c.parent AND p.depth = c.depth - 1
+    """,
+    "op13_source_mix": r"""
+        WITH sized AS (
+            SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+            FROM documents
+        ), known AS (
+            SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id
+        ), drawn AS (
+            SELECT s.doc_id, source, size,
+                   -ln((CAST('0x' || substr(sha256('mix:' || coalesce(CAST(s.doc_id AS VARCHAR), '') || ':' || coalesce(text, '')),
+                                           1, 13) AS BIGINT) + 0.5) / 4503599627370496)
+                   / CASE quality WHEN 0 THEN 1.0 WHEN 1 THEN 4.0 ELSE 2.0 END AS draw
+            FROM sized s LEFT JOIN known USING (doc_id)
+        ), sources AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+            FROM drawn GROUP BY source
+        ), sorted AS (
+            SELECT *, 3 * source_size * 10 // weight AS full_at,
+                   sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0) AS rest,
+                   sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS heavy
+            FROM sources
+            WINDOW before AS (ORDER BY 3 * source_size * 10 // weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), shared AS (
+            SELECT s.source, source_size,
+                   CASE WHEN o.full_at IS NULL OR s.full_at < o.full_at THEN CAST(3 * source_size AS DOUBLE)
+                        ELSE CAST(weight * o.rest AS DOUBLE) / CAST(o.heavy AS DOUBLE) END AS target
+            FROM sorted s
+            LEFT JOIN (SELECT full_at, rest, heavy FROM sorted WHERE rest * weight <= 3 * source_size * heavy
+                       ORDER BY full_at LIMIT 1) o ON true
+        ), planned AS (
+            SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM shared
+        )
+        SELECT doc_id, size, source_size, target,
+               CAST(whole * size + greatest(0, least(size, floor(target - whole * source_size + 0.5)
+                   - coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY draw, doc_id, size
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS BIGINT) AS taken
+        FROM drawn d JOIN planned p ON d.source IS NOT DISTINCT FROM p.source
+    """,
 }
