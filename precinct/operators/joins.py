@@ -70,16 +70,23 @@ def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_bytes: int | None = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                      max_bytes: int | None = DEFAULT_BROADCAST_BYTES, within: DataFrame | None = None) -> DataFrame:
     """``broadcast(df)`` if ``df`` is within the row and byte bounds, else
-    ``df``, with a warning: its join is left to the planner and AQE."""
-    if fits(df, max_rows, max_bytes):
+    ``df``, with a warning: its join is left to the planner and AQE.
+
+    ``within`` is a table that ``df`` is derived from and cannot outgrow, in rows
+    or bytes. Its size is looked at first: if it is within the bounds, ``df`` is
+    not evaluated for the check.
+    """
+    if (within is not None and fits(within, max_rows, max_bytes)) or fits(df, max_rows, max_bytes):
         return F.broadcast(df)
     warnings.warn(f"no broadcast: more than {max_rows} rows or {max_bytes} bytes", stacklevel=2)
     return df
 
 
-def hinted(df: DataFrame, hint: str | None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def hinted(
+    df: DataFrame, hint: str | None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, within: DataFrame | None = None
+) -> DataFrame:
     """Apply a join-strategy hint to the build side ``df``.
 
     ``None`` leaves the choice to the planner and AQE; ``"broadcast"`` is
@@ -92,7 +99,7 @@ def hinted(df: DataFrame, hint: str | None, max_broadcast_rows: int = DEFAULT_BR
         return df
     h = hint.lower()
     if h == "broadcast":
-        return checked_broadcast(df, max_broadcast_rows)
+        return checked_broadcast(df, max_broadcast_rows, within=within)
     if h in JOIN_HINTS:
         return df.hint(h)
     raise ValueError(f"unknown join hint {hint!r}; expected one of {JOIN_HINTS}")
@@ -149,7 +156,7 @@ def join_area_station(incidents: DataFrame, stations: DataFrame, hint: str | Non
     Stations are a small dimension: by default they are broadcast after the
     size check, so the fact is joined map-side with no shuffle.
     """
-    s = hinted(unique_by(stations, "prec"), hint)
+    s = hinted(unique_by(stations, "prec"), hint, within=stations)
     return incidents.join(s, incidents["area"] == s["prec"], "inner")
 
 

@@ -7,11 +7,14 @@ row, nor does any point if there is no station. Coordinates beyond the usual
 ranges (latitude and longitude swapped, say) are points like any other: the
 great-circle formula is periodic in both.
 
-One method for any number of points and stations:
-
-* Stations go to the tasks in blocks of at most ``block_rows``, the bound of
-  what is collected and broadcast; each block is one pass over the points, and
-  a point keeps the best of its passes. A station dimension is one block.
+Two methods, with the same answers:
+
+* A station dimension of at most ``block_rows``, the bound of what is collected
+  and broadcast, goes to the tasks as one block (below). More stations are dealt
+  along a space-filling curve together with the points
+  (:mod:`precinct.operators.nearest_regions`), which reads the points once for
+  any number of stations. ``method="blocks"`` sends any number of stations block
+  by block instead, a pass over the points for each; a point keeps the best.
 * In a task, a block's stations are points of the unit sphere, halved along
   their widest axis into leaves of a few stations with bounding boxes. The
   points of a batch, made distinct and sorted, go through in tiles: a leaf that
@@ -22,8 +25,9 @@ One method for any number of points and stations:
   chord are handed on, and Spark's own expression of the distance decides
   between them, ties included.
 
-Points are solved in place, in the partitions they come in: no shuffle, no
-second scan, no join back, and a hot coordinate is one row of its batch.
+With a block, points are solved in place, in the partitions they come in: no
+shuffle, no second scan, no join back, and a hot coordinate is one row of its
+batch.
 """
 
 from __future__ import annotations
@@ -39,6 +43,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 import precinct
+from precinct.functions._cols import unused
 from precinct.functions.geo import haversine_km, known
 from precinct.operators.joins import hinted
 
@@ -94,17 +99,21 @@ class Leaves:
         return out
 
 
-def _blocks(stations: DataFrame, block_rows: int) -> Iterator[list]:
-    """The known stations, one block after the other; of equal coordinates
-    only the smallest ``prec`` can be an answer."""
-    rows = (
+def distinct_stations(stations: DataFrame) -> DataFrame:
+    """(prec, division, y, x) of the known stations; of equal coordinates only
+    the smallest ``prec`` can be an answer."""
+    return (
         stations.where(known("y") & known("x"))
         .groupBy(F.col("y").cast("double").alias("y"), F.col("x").cast("double").alias("x"))
         .agg(F.min(F.struct(F.col("prec").cast("int").alias("prec"), "division")).alias("s"))
         .select("s.prec", "s.division", "y", "x")
     )
+
+
+def _blocks(stations: DataFrame, block_rows: int) -> Iterator[list]:
+    """The known stations, one block after the other."""
     block: list = []
-    for row in rows.toLocalIterator():
+    for row in distinct_stations(stations).toLocalIterator():
         block.append(tuple(row))
         if len(block) >= block_rows:
             yield block
@@ -113,10 +122,10 @@ def _blocks(stations: DataFrame, block_rows: int) -> Iterator[list]:
         yield block
 
 
-def _candidates(points: DataFrame, block: list, lat: str, lon: str) -> DataFrame:
-    """``points`` with ``_near``, the block's stations nearest to each."""
+def _candidates(points: DataFrame, block: list, lat: str, lon: str, near: str) -> DataFrame:
+    """``points`` with ``near``: the block's stations nearest to each."""
     sent = points.sparkSession.sparkContext.broadcast(block)
-    schema = T.StructType([*points.schema.fields, T.StructField("_near", T._parse_datatype_string(_STATIONS))])
+    schema = T.StructType([*points.schema.fields, T.StructField(near, T._parse_datatype_string(_STATIONS))])
     kind = to_arrow_schema(T.StructType([schema.fields[-1]])).field(0).type
     i, j = points.columns.index(lat), points.columns.index(lon)
 
@@ -127,12 +136,11 @@ def _candidates(points: DataFrame, block: list, lat: str, lon: str) -> DataFrame
         for batch in batches:
             where = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in (i, j)], 1)
             distinct, back = np.unique(where, axis=0, return_inverse=True)
-            points, near = sphere(distinct[:, 0], distinct[:, 1]), []
-            for at in range(0, len(points), TILE):
-                near += leaves.nearest(points[at : at + TILE])
-            found = [[cells[k] for k in own] for own in near]
+            places, found = sphere(distinct[:, 0], distinct[:, 1]), []
+            for at in range(0, len(places), TILE):
+                found += [[cells[k] for k in own] for own in leaves.nearest(places[at : at + TILE])]
             column = pa.array([found[k] for k in back.ravel()], kind)
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "_near"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=schema.fieldNames())
 
     cloudpickle.register_pickle_by_value(precinct)  # for the time of pickling
     try:
@@ -141,7 +149,7 @@ def _candidates(points: DataFrame, block: list, lat: str, lon: str) -> DataFrame
         cloudpickle.unregister_pickle_by_value(precinct)
 
 
-def _best(near: str, lat: str, lon: str) -> Column:
+def best_of(near: str, lat: str, lon: str) -> Column:
     """The smallest (distance, prec) of an array of stations, with the rest."""
 
     def measured(s: Column) -> Column:
@@ -151,6 +159,18 @@ def _best(near: str, lat: str, lon: str) -> Column:
     return F.array_min(F.transform(F.col(near), measured))
 
 
+def _by_blocks(points: DataFrame, stations: DataFrame, lat: str, lon: str, block_rows: int, best: str) -> DataFrame | None:
+    """The points with known coordinates and ``best``, None without a known
+    station: a pass over the points for each block of stations."""
+    todo, found, near = points.where(known(lat) & known(lon)), None, unused("near", [*points.columns, best])
+    for block in _blocks(stations, block_rows):
+        todo = _candidates(todo, block, lat, lon, near)
+        own = best_of(near, lat, lon)
+        found = own if found is None else F.least(F.col(best), own)
+        todo = todo.select(*points.columns, found.alias(best))
+    return None if found is None else todo
+
+
 def nearest_station(
     points: DataFrame,
     stations: DataFrame,
@@ -158,22 +178,30 @@ def nearest_station(
     lon: str = "lon",
     hint: str | None = None,
     block_rows: int = BLOCK_ROWS,
+    method: str = "auto",
+    regions: int | None = None,
 ) -> DataFrame:
     """Add ``near_prec, near_division, near_y, near_x, near_km`` to each point;
     every other column of ``points`` is kept as it is. With ``hint`` the
     station's division comes from a join on its key and place under that
-    strategy. The stations are read while the plan is built, a block at a time."""
-    todo = points.where(known(lat) & known(lon))
-    best = None
-    for block in _blocks(stations, block_rows):
-        todo = _candidates(todo, block, lat, lon)
-        found = _best("_near", lat, lon)
-        best = found if best is None else F.least(F.col("_best"), found)
-        todo = todo.select(*points.columns, best.alias("_best"))
-    if best is None:
+    strategy. ``method``: "blocks", "regions" (``regions`` of them, or as many as
+    the stations fill), or "auto": one block if the stations fit, else regions.
+    The stations are read while the plan is built."""
+    if method not in ("auto", "blocks", "regions"):
+        raise ValueError(f"unknown method {method!r}")
+    if method == "auto":
+        method = "blocks" if stations.limit(block_rows + 1).count() <= block_rows else "regions"
+    best = unused("best", points.columns)
+    if method == "blocks":
+        todo = _by_blocks(points, stations, lat, lon, block_rows, best)
+    else:
+        from precinct.operators.nearest_regions import solve_by_regions
+
+        todo = solve_by_regions(points, stations, lat, lon, best, regions=regions)
+    if todo is None:  # no station
         none = F.lit(None).cast("struct<d:double,prec:int,division:string,y:double,x:double>")
-        todo = todo.where(F.lit(False)).withColumn("_best", none)
-    b = F.col("_best")
+        todo = points.where(F.lit(False)).withColumn(best, none)
+    b = F.col(best)
     out = todo.select(
         *points.columns,
         b["prec"].alias("near_prec"),

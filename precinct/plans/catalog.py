@@ -18,11 +18,15 @@ from precinct.functions.geo import haversine_km_f32, haversine_sql
 from precinct.functions.temporal import DAY_PART_SQL, SOURCE_TS_FORMAT, parse_date
 from precinct.operators import filters as flt
 from precinct.operators import joins as jn
+from precinct.operators.exact import exact_mean_sql
+from precinct.operators.intervals import interval_join
 from precinct.operators.nearest import nearest_station
 from precinct.operators.ranking import top_k
+from precinct.operators.skew import skewed_join
 from precinct.plans import reports as rp
 from precinct.session import scratch_path
 from precinct.sources import csv as src_csv
+from precinct.sources import inference, quarantine
 from precinct.sources import testdata as td
 from precinct.sources.testdata import with_adapters
 
@@ -132,6 +136,32 @@ def q_daypart_rdd(spark, sf):
     return rp.daypart_counts_rdd(td.incidents(spark, sf), PREMIS)
 
 
+@register("daypart_intervals", ORACLE["daypart_label"])
+def q_daypart_intervals(spark, sf):
+    """The part of day by a table of intervals."""
+    return rp.with_day_part_of(td.incidents(spark, sf), rp.day_part_table(spark)).select("incident_id", "time_occ", "day_part")
+
+
+@register(
+    "shift_bands",
+    with_adapters(
+        "SELECT s.s_suppkey AS shift, count(*) AS crime_total FROM incidents i JOIN supplier s "
+        "ON i.time_occ >= s.s_suppkey * 379 % 2400 AND i.time_occ <= s.s_suppkey * 379 % 2400 + s.s_suppkey % 240 GROUP BY 1",
+        "incidents",
+    ),
+)
+def q_shift_bands(spark, sf):
+    """Incidents within each supplier's shift, clock intervals that overlap and
+    grow in number with the data: counted per clock value first, then joined by
+    dyadic bands."""
+    s = F.col("s_suppkey")
+    start = s * 379 % 2400
+    shifts = td._table(spark, sf, "supplier").select(s.alias("shift"), start.alias("low"), (start + s % 240).alias("high"))
+    clock = td.incidents(spark, sf).groupBy("time_occ").agg(F.count(F.lit(1)).alias("n"))
+    held = interval_join(clock, "time_occ", shifts, max_index=0)
+    return held.groupBy("shift").agg(F.sum("n").alias("crime_total"))
+
+
 # ------------------------------------------------------------------- filters
 
 
@@ -200,6 +230,14 @@ def q_join_coords_using(spark, sf):
     return jn.join_coords_using(inc.select("incident_id", "lat", "lon"), geo).select("incident_id", "lat", "lon", "zip")
 
 
+@register("join_coords_skewed", _COORD_JOIN_SQL)
+def q_join_coords_skewed(spark, sf):
+    """A third of all incidents may have one coordinate: its rows are spread."""
+    inc, geo = _tables(spark, sf, "incidents", "revgeo")
+    joined = skewed_join(inc.select("incident_id", "lat", "lon"), geo, ["lat", "lon"], hint="merge")
+    return joined.select("incident_id", "lat", "lon", "zip")
+
+
 @register(
     "join_zip_income",
     with_adapters(
@@ -335,6 +373,7 @@ for _h in ("broadcast", "merge", "shuffle_hash"):
 _FIRE_WHERE = "i.lat <> 0 AND i.lon <> 0 AND i.weapon_cd >= 100 AND i.weapon_cd < 200"
 _HAV_IS = haversine_sql("i.lat", "i.lon", "s.y", "s.x")
 _F32 = f"CAST({_HAV_IS} AS FLOAT)"
+_MEAN = exact_mean_sql("d")
 
 
 @register(
@@ -358,7 +397,7 @@ FROM incidents i JOIN stations s ON i.area = s.prec
 WHERE {_FIRE_WHERE}"""
 
 _BY_YEAR_AREA_SQL = with_adapters(
-    f"SELECT year, round(avg(d), 4) AS avg_distance_km, count(d) AS crime_count FROM ("
+    f"SELECT year, {_MEAN} AS avg_distance_km, count(d) AS crime_count FROM ("
     f"{_RESP_BASE.format(key='CAST(year(i.occ_date) AS INTEGER) AS year')}) t GROUP BY year ORDER BY year",
     "incidents",
     "stations",
@@ -371,10 +410,18 @@ def q_distance_by_year_area(spark, sf):
     return rp.distance_by_year_area(inc, st)
 
 
+@register("distance_by_year_merged", _BY_YEAR_AREA_SQL)
+def q_distance_by_year_merged(spark, sf):
+    """The means per year from partial sums per year and station."""
+    inc, st = _tables(spark, sf, "incidents", "stations")
+    parts = rp.distance_sums(rp.responsible_distances(inc, st), "year", "prec")
+    return rp.merged_stats(parts, "year").orderBy("year")
+
+
 @register(
     "distance_by_division_area",
     with_adapters(
-        f"SELECT division, round(avg(d), 4) AS avg_distance_km, count(d) AS crime_count FROM ("
+        f"SELECT division, {_MEAN} AS avg_distance_km, count(d) AS crime_count FROM ("
         f"{_RESP_BASE.format(key='s.division')}) t GROUP BY division ORDER BY crime_count DESC, division",
         "incidents",
         "stations",
@@ -388,8 +435,8 @@ def q_distance_by_division_area(spark, sf):
 @register(
     "distance_formatted",
     with_adapters(
-        f"SELECT year, round(avg(d), 4) AS avg_distance_km, count(d) AS crime_count, "
-        f"format('{{:,.4f}}', round(avg(d), 4)) AS average_distance FROM ("
+        f"SELECT year, {_MEAN} AS avg_distance_km, count(d) AS crime_count, "
+        f"format('{{:,.4f}}', round({_MEAN}, 4)) AS average_distance FROM ("
         f"{_RESP_BASE.format(key='CAST(year(i.occ_date) AS INTEGER) AS year')}) t GROUP BY year ORDER BY year",
         "incidents",
         "stations",
@@ -441,17 +488,25 @@ def _nearest_station_query(**options) -> Query:
     return q
 
 
-# The same method with the stations in one block and in many, and with the
-# division joined to the answer.
+# The stations in one block, with the division joined to the answer, in four
+# blocks, and in 16 regions of a space-filling curve.
 register("nearest_station", _NEAREST_STATION_SQL)(_nearest_station_query())
-register("nearest_station_blocks", _NEAREST_STATION_SQL)(_nearest_station_query(block_rows=40))
 register("nearest_station_join", _NEAREST_STATION_SQL)(_nearest_station_query(hint="merge"))
 
 
+@register("nearest_station_blocks", _NEAREST_STATION_SQL)
+def q_nearest_station_blocks(spark, sf):
+    quarter = -(-td.stations(spark, sf).count() // 4)
+    return _nearest_station_query(method="blocks", block_rows=max(1, quarter))(spark, sf)
+
+
+register("nearest_station_regions", _NEAREST_STATION_SQL)(_nearest_station_query(method="regions", regions=16))
+
+
 @register(
     "distance_by_year_nearest",
     with_adapters(
-        f"SELECT CAST(year(occ_date) AS INTEGER) AS year, round(avg(d), 4) AS avg_distance_km, "
+        f"SELECT CAST(year(occ_date) AS INTEGER) AS year, {_MEAN} AS avg_distance_km, "
         f"count(d) AS crime_count FROM ({_NEAREST_BASE}) t WHERE rn = 1 GROUP BY year(occ_date) ORDER BY year",
         "incidents",
         "stations",
@@ -463,7 +518,7 @@ def q_distance_by_year_nearest(spark, sf):
 
 
 _BY_DIVISION_NEAREST_SQL = with_adapters(
-    f"SELECT division, round(avg(d), 4) AS avg_distance_km, count(d) AS crime_count "
+    f"SELECT division, {_MEAN} AS avg_distance_km, count(d) AS crime_count "
     f"FROM ({_NEAREST_BASE}) t WHERE rn = 1 GROUP BY division ORDER BY crime_count DESC, division",
     "incidents",
     "stations",
@@ -527,6 +582,118 @@ def q_load_incidents_union(spark, sf):
     return src_csv.load_incidents(spark, path)
 
 
+# Columns of the dirty copy that the next three keys load: one text in 211 of
+# some columns is no value of its type.
+_DIRTY = {
+    "time_occ": "n/a", "weapon_cd": "12x", "lat": "34,05", "occ_date": "2015-13-45",
+}
+
+
+def _dirty_csv(spark, sf) -> str:
+    """The incidents in the source layout, some texts replaced, in two folders'
+    worth of files with different headers."""
+    inc = td.incidents(spark, sf)
+    path = scratch_path(spark, "incidents-dirty")
+    half = F.col("incident_id") % 2 == 0
+    for part, area in ((half, "AREA "), (~half, "AREA")):
+        src_csv.write_incidents_csv(inc.where(part), path, area_header=area, mode="append", replaced=_faulty)
+    return path
+
+
+def _faulty(canon: str, text: F.Column) -> F.Column:
+    k = list(_DIRTY).index(canon) if canon in _DIRTY else None
+    return text if k is None else F.when(F.col("incident_id") % 211 == k, F.lit(_DIRTY[canon])).otherwise(text)
+
+
+def _dirty_sql(canon: str, shown: str) -> str:
+    """The text of a column in the dirty copy, as DuckDB SQL."""
+    if canon not in _DIRTY:
+        return shown
+    return f"CASE WHEN incident_id % 211 = {list(_DIRTY).index(canon)} THEN '{_DIRTY[canon]}' ELSE {shown} END"
+
+
+_SHOWN = {c: f"CAST({c} AS VARCHAR)" for c in INCIDENT_COLS} | {"occ_date": "strftime(occ_date, '%m/%d/%Y %I:%M:%S %p')"}
+_HEADER = {canon: header for header, canon in src_csv.INCIDENT_HEADERS.items()}
+_DIRTY_TEXTS = "texts AS (\n  " + "\n  UNION ALL ".join(
+    f"SELECT incident_id, '{_HEADER[c]}' AS header, '{c}' AS canon, {_dirty_sql(c, _SHOWN[c])} AS text FROM incidents"
+    for c in INCIDENT_COLS
+) + f"\n  UNION ALL SELECT incident_id, 'Date Rptd', 'reported_date', {_SHOWN['occ_date']} FROM incidents)"
+# Each type's own test of a text, narrow to wide.
+_ACCEPTS = {
+    "int": "regexp_full_match(text, '[+-]?[0-9]+') AND TRY_CAST(text AS INTEGER) IS NOT NULL",
+    "bigint": "regexp_full_match(text, '[+-]?[0-9]+') AND TRY_CAST(text AS BIGINT) IS NOT NULL",
+    "double": "regexp_full_match(text, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')",
+    "timestamp": "try_strptime(text, '%m/%d/%Y %I:%M:%S %p') IS NOT NULL",
+}
+#: Share of a column's texts that its inferred type may reject.
+TOLERANCE = 0.01
+
+
+@register(
+    "csv_inferred_types",
+    with_adapters(
+        "SELECT header AS column, "
+        + "CASE " + " ".join(f"WHEN n_values - {t} <= n_values * {TOLERANCE} THEN '{t}'" for t in _ACCEPTS) + " ELSE 'string' END AS type, "
+        + "n_values, "
+        + "CASE " + " ".join(f"WHEN n_values - {t} <= n_values * {TOLERANCE} THEN n_values - {t}" for t in _ACCEPTS) + " ELSE 0 END AS rejects "
+        + "FROM (SELECT header, count(*) AS n_values, "
+        + ", ".join(f"count(*) FILTER (WHERE {test}) AS {t}" for t, test in _ACCEPTS.items())
+        + " FROM texts WHERE text IS NOT NULL GROUP BY header) counted",
+        "incidents",
+        extra=(_DIRTY_TEXTS,),
+    ),
+)
+def q_csv_inferred_types(spark, sf):
+    """Types of the dirty copy's columns, found in one pass over its files."""
+    return inference.infer_csv(spark, _dirty_csv(spark, sf), TOLERANCE)
+
+
+_REJECTED_SQL = with_adapters(
+    "SELECT incident_id, canon AS column, text, 'not a ' || CASE canon WHEN 'occ_date' THEN 'date' WHEN 'lat' THEN 'double' "
+    "ELSE 'int' END AS reason FROM texts WHERE text IN (" + ", ".join(f"'{t}'" for t in _DIRTY.values()) + ")",
+    "incidents",
+    extra=(_DIRTY_TEXTS,),
+)
+
+
+@register("csv_rejections", _REJECTED_SQL)
+def q_csv_rejections(spark, sf):
+    """Every text of the dirty copy that its column's conversion rejects."""
+    return quarantine.load_with_quarantine(spark, _dirty_csv(spark, sf)).rejections
+
+
+@register(
+    "csv_rejected_counts",
+    with_adapters(
+        "SELECT n.name, coalesce(c.n, 0) AS n FROM (SELECT unnest(["
+        + ", ".join(f"'{c}'" for c in ("rows", "rejected_rows", *src_csv.INCIDENT_SCHEMA))
+        + "]) AS name) n LEFT JOIN (SELECT 'rows' AS name, count(*) AS n FROM incidents UNION ALL "
+        + "SELECT 'rejected_rows', count(DISTINCT incident_id) FROM rejected UNION ALL "
+        + "SELECT \"column\", count(*) FROM rejected GROUP BY ALL) c USING (name)",
+        "incidents",
+        extra=(_DIRTY_TEXTS, "rejected AS (SELECT incident_id, canon AS column FROM texts WHERE text IN ("
+               + ", ".join(f"'{t}'" for t in _DIRTY.values()) + "))"),
+    ),
+)
+def q_csv_rejected_counts(spark, sf):
+    """Rows and rejections by column, as observed in the loading pass."""
+    counts = quarantine.load_with_quarantine(spark, _dirty_csv(spark, sf)).counts
+    return spark.createDataFrame(list(counts.items()), "name string, n bigint")
+
+
+@register("month_top3_incremental", _TOP3_SQL)
+def q_month_top3_incremental(spark, sf):
+    """Q1 from partial results kept per file: files come in two batches, and the
+    second update reads only the second."""
+    inc, source = td.incidents(spark, sf), scratch_path(spark, "incidents-arriving")
+    store = rp.month_store(spark, scratch_path(spark, "month-store"))
+    early = F.col("occ_date") < F.lit(UNION_CUTOFF).cast("date")
+    for batch in (early, ~early | early.isNull()):
+        src_csv.write_incidents_csv(inc.where(batch), source, mode="append")
+        store.update(source)
+    return rp.month_top3_of(store.current(source), TOP_K)
+
+
 @register(
     "parse_report_ts",
     "SELECT o_orderkey AS incident_id, CAST(o_orderdate AS DATE) AS occ_date FROM orders",

@@ -18,12 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from precinct.functions.geo import haversine_km_f32
-from precinct.functions.temporal import DAY_PART_LABELS, day_part, day_part_py
+from precinct.functions.temporal import DAY_PART_LABELS, DAY_PARTS, UNCLASSIFIED, day_part, day_part_py
 from precinct.functions.text import format_fixed, zip5
+from precinct.operators.exact import exact_sums, mean_of, merged
 from precinct.operators.filters import filter_equals, filter_not_null, filter_year, firearm_incidents
-from precinct.operators.joins import hinted, join_area_station
+from precinct.operators.intervals import interval_join
+from precinct.operators.joins import checked_broadcast, hinted, join_area_station
 from precinct.operators.nearest import nearest_station
 from precinct.operators.ranking import extremes, top_k_per_group
+from precinct.sources.csv import read_incidents_csv
+from precinct.sources.incremental import Store
 
 # ---------------------------------------------------------------- Q1: months
 
@@ -70,6 +74,18 @@ def month_top3_sql(spark: SparkSession, incidents: DataFrame, k: int = 3) -> Dat
     return spark.sql(BUSIEST_MONTHS_SQL, {"k": int(k)}, incidents=incidents)
 
 
+def month_store(spark: SparkSession, folder: str) -> Store:
+    """Counts per file, year and month of incident files, kept in ``folder``."""
+    keys = [F.year("occ_date").alias("year"), F.month("occ_date").alias("month")]
+    return Store(spark, folder, read_incidents_csv, keys, [F.count(F.lit(1)).alias("crime_total")])
+
+
+def month_top3_of(counts: DataFrame, k: int = 3) -> DataFrame:
+    """Q1 of partial counts (year, month, crime_total) that are yet to be added."""
+    months = counts.groupBy("year", "month").agg(F.sum("crime_total").alias("crime_total"))
+    return top_k_per_group(months, ["year"], [F.desc("crime_total")], k).orderBy("year", F.desc("crime_total"), "month")
+
+
 # -------------------------------------------------------------- Q2: day part
 
 
@@ -77,6 +93,19 @@ def with_day_part(incidents: DataFrame, labels=DAY_PART_LABELS) -> DataFrame:
     return incidents.withColumn("day_part", day_part("time_occ", labels))
 
 
+def day_part_table(spark: SparkSession, labels=DAY_PART_LABELS) -> DataFrame:
+    """The parts of the day as a table of intervals of the clock."""
+    rows = [(low, high, labels[part]) for part, low, high in DAY_PARTS]
+    return spark.createDataFrame(rows, "low int, high int, day_part string")
+
+
+def with_day_part_of(incidents: DataFrame, parts: DataFrame, labels=DAY_PART_LABELS) -> DataFrame:
+    """``day_part`` from a table of intervals (low, high, day_part) that do not
+    overlap; times outside all of them, and NULL, are unclassified."""
+    held = interval_join(incidents, "time_occ", parts, how="left")
+    return held.withColumn("day_part", F.coalesce("day_part", F.lit(labels[UNCLASSIFIED])))
+
+
 def daypart_counts(incidents: DataFrame, premis: str, labels=DAY_PART_LABELS) -> DataFrame:
     """Q2: incidents at one premise type per part of day, busiest first."""
     rows = filter_equals(incidents, "premis", premis)
@@ -146,6 +175,9 @@ def descent_by_income(
     3. the year's incidents joined to these few coordinates, then
        sum(multiplicity) per descent, combined map-side. With near-unique
        coordinates aggregating the incidents first would shuffle every row.
+       Without a hint the coordinates are broadcast behind the size check, so
+       the incidents are joined where they are read; beyond its bounds the
+       join is left to the planner.
     """
     known_income = income.select("zip_code", "median_income")
     sel = selected_zips(known_income, k)
@@ -162,8 +194,10 @@ def descent_by_income(
         .agg(F.sum("w_zip").alias("w"))
     )
     facts = filter_not_null(filter_year(incidents, "occ_date", year), "descent").select("lat", "lon", "descent")
+    places = revgeo.select("lat", "lon")  # not fewer than those of the selected ZIPs
+    side = checked_broadcast(geo_weight, within=places) if hint is None else hinted(geo_weight, hint, within=places)
     return (
-        facts.join(hinted(geo_weight, hint), ["lat", "lon"], "inner")
+        facts.join(side, ["lat", "lon"], "inner")
         .groupBy("descent")
         .agg(F.sum("w").alias("crime_count"))
         .orderBy(F.desc("crime_count"), "descent")
@@ -173,20 +207,39 @@ def descent_by_income(
 # ------------------------------------------------ Q4: distance to stations
 
 
+def distance_sums(df: DataFrame, *by, dist: str = "distance_km") -> DataFrame:
+    """The exact sums of a group's distances, ``distance``: partial results that
+    :func:`merged_stats` brings together."""
+    return df.groupBy(*by).agg(exact_sums(dist).alias("distance"))
+
+
+def merged_stats(sums: DataFrame, by: str) -> DataFrame:
+    """Mean distance and count of non-NULL distances of merged partial results."""
+    whole = sums.groupBy(by).agg(merged("distance").alias("distance"))
+    return whole.select(by, mean_of("distance").alias("avg_distance_km"), F.col("distance")["n"].alias("crime_count"))
+
+
 def distance_stats(df: DataFrame, group_col, dist: str = "distance_km") -> DataFrame:
-    """Mean distance (rounded to 4 places) and count of non-NULL distances."""
-    d = F.col(dist).cast("double")
-    return df.groupBy(group_col).agg(F.round(F.avg(d), 4).alias("avg_distance_km"), F.count(d).alias("crime_count"))
+    """Mean distance and count of non-NULL distances. The 32-bit distances are
+    summed exactly, so the mean has the same bits however the rows are dealt."""
+    sums = distance_sums(df, group_col, dist=dist)
+    return sums.select(group_col, mean_of("distance").alias("avg_distance_km"), F.col("distance")["n"].alias("crime_count"))
 
 
-def _responsible_stats(incidents: DataFrame, stations: DataFrame, by: str, hint: str | None) -> DataFrame:
-    """Q4-1 core: the mean over incidents, one formula whatever the join. The
-    small station side is broadcast (after the size check) or joined under the
-    hint; without one, the planner and AQE choose, and AQE splits a hot area."""
+def responsible_distances(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast") -> DataFrame:
+    """Firearm incidents with their responsible station and ``distance_km`` to
+    it. The small station side is broadcast (after the size check) or joined
+    under the hint; without one, the planner and AQE choose, and AQE splits a hot
+    area."""
     j = join_area_station(firearm_incidents(incidents), stations, hint)
-    if by == "year":
-        j = j.withColumn("year", F.year("occ_date"))
-    return distance_stats(j.withColumn("distance_km", haversine_km_f32("lat", "lon", "y", "x")), by)
+    return j.select(
+        F.year("occ_date").alias("year"), "division", "prec", haversine_km_f32("lat", "lon", "y", "x").alias("distance_km")
+    )
+
+
+def _responsible_stats(incidents: DataFrame, stations: DataFrame, by: str, hint: str | None) -> DataFrame:
+    """Q4-1 core: the mean over incidents, one formula whatever the join."""
+    return distance_stats(responsible_distances(incidents, stations, hint), by)
 
 
 def distance_by_year_area(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast") -> DataFrame:

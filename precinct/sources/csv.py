@@ -200,10 +200,12 @@ def read_stations_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFra
 
 def write_incidents_csv(
     incidents: DataFrame, path: str, area_header: str = "AREA", column_order: Sequence[str] | None = None,
-    mode: str = "errorifexists",
+    mode: str = "errorifexists", replaced: Callable[[str, Column], Column] | None = None,
 ) -> None:
     """Write canonical incidents in the source layout (display headers,
-    12-hour clock text). ``reported_date`` falls back to ``occ_date``."""
+    12-hour clock text). ``reported_date`` falls back to ``occ_date``.
+    ``replaced`` gets each canonical name and its text, and gives the text to
+    write."""
     def stamp(c: str) -> Column:
         return F.date_format(F.col(c).cast("timestamp"), SOURCE_TS_FORMAT)
 
@@ -220,5 +222,8 @@ def write_incidents_csv(
         "LAT": F.col("lat"),
         "LON": F.col("lon"),
     }
+    if replaced is not None:
+        canon = INCIDENT_HEADERS | {area_header: "area"}
+        cols = {h: replaced(canon[h], c.cast("string")) for h, c in cols.items()}
     order = list(column_order) if column_order else list(cols)
     incidents.select(*[cols[h].alias(h) for h in order]).write.option("header", "true").mode(mode).csv(path)
