@@ -18,8 +18,8 @@ No node is exploded to more than ``BAND`` rows, and rounds grow with the logarit
 of the depth. Rows of one conversation are spread by (conversation, band), those
 of a common first turn meet in partial sums.
 
-Cases: turns are ordered by ``turn``, null first, equal ones by role and text;
-null role or text is empty. Rows without conv_id belong to no conversation and
+Cases: turns are ordered by ``turn``, null first, equal ones by the digest of
+role and text, so in the same order in every run; null role or text is empty. Rows without conv_id belong to no conversation and
 are left out. Repeated rows are turns of their own. An empty table has no trie,
 not even a root. Other columns are not read.
 """
