@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -31,19 +32,44 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
         cloudpickle.unregister_pickle_by_value(precinct)
 
 
+def arrow_column(fn: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], kind: str, column: Column) -> Column:
+    """A column of type ``kind`` that ``fn`` makes of the arrays of another: the
+    rest of a row stays in the JVM. ``fn`` gives as many values as it takes."""
+
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return fn(arrays)
+
+    cloudpickle.register_pickle_by_value(precinct)
+    try:
+        # Said to be nondeterministic, so that it is evaluated once a row where
+        # a condition and the result both use it.
+        return F.arrow_udf(run, kind).asNondeterministic()(column)
+    finally:
+        cloudpickle.unregister_pickle_by_value(precinct)
+
+
+def values_of(arrays: Iterator[pa.Array], size: int = 256) -> Iterator[list]:
+    """The values of the arrays, a slice at a time."""
+    for array in arrays:
+        for at in range(0, len(array), size):
+            yield array.slice(at, size).to_pylist()
+
+
 def arrow_schema(schema: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(schema))
 
 
 def worker_wide(make: Callable, *args):
-    """``make(*args)``, kept by this Python worker for the tasks that follow;
-    one object of a kind is kept at a time."""
+    """``make(*args)``, kept by this Python worker for the tasks that follow. One
+    object is kept at a time: a stage that needs another one drops it, so what
+    a stage remembers does not stay beside what later ones do."""
     kept = sys.modules.setdefault("precinct_worker_memory", types.ModuleType("precinct_worker_memory")).__dict__
-    name, key = make.__qualname__, hashlib.sha256(pickle.dumps(args)).digest()
-    if kept.get(name, (None,))[0] != key:
-        kept[name] = (key, make(*args))
+    key = make.__qualname__, hashlib.sha256(pickle.dumps(args)).digest()
+    if kept.get("key") != key:
+        kept.pop("object", None)
+        kept["key"], kept["object"] = key, make(*args)
         gc.set_threshold(100_000, 50, 100)  # what is kept holds no cycles
-    return kept[name][1]
+    return kept["object"]
 
 
 class Batches:

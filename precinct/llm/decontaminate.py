@@ -27,11 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from precinct.llm.arrow import Batches, arrow_schema, map_arrow, rows_of
-from precinct.llm.tables import row_id, text_of, written
+from precinct.llm.arrow import Batches, arrow_column, arrow_schema, map_arrow, rows_of, values_of
+from precinct.llm.tables import numbered, row_id, text_of, without, written
 
 WINDOW = 13
 BLOCK_ITEMS = 20_000
@@ -288,3 +288,42 @@ def judged(found: DataFrame) -> DataFrame:
     return found.withColumn("n_hit", hit).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the benchmark does not contaminate, with their
+    columns. Where the benchmark is one block, a row is judged in the pass that
+    keeps it; with more blocks, rows are judged block by block first."""
+    blocks = _blocks(benchmark, item, item_text)
+    first, more = next(blocks, []), next(blocks, None)
+    if more is None:
+        return docs.where(~_dirty(text_of(docs, text), first, WINDOW))
+    rows, row = numbered(docs)
+    found = judged(hits(rows, benchmark, row, text, item, item_text))
+    dirty = written(found.where("contaminated").select(F.col("doc_id").alias(row)), "contaminated")
+    return without(rows, dirty, row)
+
+
+def _dirty(text: Column, items: list[tuple[int, str | None]], window: int) -> Column:
+    """:func:`judged` of one block of items, as a column."""
+
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        search = Phrases(items, window)
+        for array in arrays:
+            found: list[bool] = []
+            shard, size = [], 0
+            for texts in values_of(iter([array])):
+                shard += texts
+                size += sum(map(len, texts))
+                if size >= SHARD_CHARS:
+                    found += [_judge(*h) for h in search.hits(shard)]
+                    shard, size = [], 0
+            found += [_judge(*h) for h in search.hits(shard)]
+            yield pa.array(found, pa.bool_())
+
+    return arrow_column(run, "boolean", text)
+
+
+def _judge(n: int, spans: list[tuple[int, int]], items: list) -> bool:
+    hit = sum(stop - start for start, stop in spans)
+    return hit > 0 and 20 * hit >= n

@@ -33,7 +33,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.tables import dropped, row_id, text_of, written
+from precinct.llm.tables import dropped, row_id, text_of, without, written
+from precinct.llm.tables import numbered as numbered_rows
 
 BLOCK_CHARS = 2048
 NAME_BUCKETS = 4096
@@ -170,8 +171,9 @@ def groups(
 def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that stay, with its columns. ``docs`` must give its
     rows in the same order when read again, as a table does."""
-    kept = written(groups(docs, text, key, **options).where("kept").select(F.col("uid").alias("_uid")), "kept")
-    return docs.withColumn("_uid", row_id(docs)).join(kept, "_uid", "left_semi").drop("_uid")
+    rows, row = numbered_rows(docs)
+    lost = groups(docs, text, key, **options).where("not kept").select(F.col("uid").alias(row))
+    return without(rows, written(lost, "lost"), row)
 
 
 __all__ = ["BLOCK_CHARS", "NAME_BUCKETS", "block_hash", "blocks_of", "dedup", "dropped", "groups", "normalised"]

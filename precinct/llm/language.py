@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.arrow import Batches, arrow_schema, map_arrow, rows_of
+from precinct.llm.arrow import Batches, arrow_column, arrow_schema, map_arrow, rows_of, values_of
 from precinct.llm.tables import text_of
 
 WINDOW = 256
@@ -185,6 +185,36 @@ def lettered(text: Column) -> Column:
     return text.cast("string").rlike(r"\p{L}")
 
 
+def _judged(texts: list[str | None], network: Network, pairs: list) -> list[tuple[str, float]]:
+    """(label, score) of each text, their windows through the network together."""
+    cut = [windows_of(t) if t is not None else (None, None) for t in texts]
+    x = [c for c, _ in cut if c is not None]
+    p, at, out = network.predict(np.concatenate(x), pairs) if x else None, 0, []
+    for own, size in cut:
+        if own is None:
+            out.append(("und", 0.0))
+            continue
+        mean = np.average(p[at : at + len(own)].astype(np.float64), axis=0, weights=size)
+        at += len(own)
+        best = int(mean.argmax())
+        out.append((network.classes[best], float(min(1.0, mean[best]))))
+    return out
+
+
+def _together(texts: Iterator[tuple], at: int) -> Iterator[list[tuple]]:
+    """Rows in lists of about as many windows as go through the network at once;
+    ``at``: the place of the text in a row."""
+    waiting, size = [], 0
+    for row in texts:
+        waiting.append(row)
+        size += len(row[at] or "")
+        if size >= 16 * BLOCK * WINDOW or len(waiting) >= 16 * BLOCK:
+            yield waiting
+            waiting, size = [], 0
+    if waiting:
+        yield waiting
+
+
 def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of each row."""
     kind = docs.schema[key].dataType.simpleString()
@@ -195,31 +225,25 @@ def identify(docs: DataFrame, network: Network | None, key: str = "doc_id", text
     fields = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, pairs, waiting = Batches(fields), network.pairs(), []
-
-        def settled():
-            """The waiting documents, their windows through the network together."""
-            cut = [(doc_id, *windows_of(t)) if t is not None else (doc_id, None, None) for doc_id, t in waiting]
-            x = [c for _, c, _ in cut if c is not None]
-            p = network.predict(np.concatenate(x), pairs) if x else None
-            at = 0
-            for doc_id, own, size in cut:
-                if own is None:
-                    yield from out.add((doc_id, "und", 0.0))
-                    continue
-                mean = np.average(p[at : at + len(own)].astype(np.float64), axis=0, weights=size)
-                at += len(own)
-                best = int(mean.argmax())
-                yield from out.add((doc_id, network.classes[best], float(min(1.0, mean[best]))))
-
-        size = 0
-        for doc_id, t in rows_of(batches):
-            waiting.append((doc_id, t))
-            size += len(t or "")
-            if size >= 16 * BLOCK * WINDOW or len(waiting) >= 16 * BLOCK:
-                yield from settled()
-                waiting, size = [], 0
-        yield from settled()
+        out, pairs = Batches(fields), network.pairs()
+        for rows in _together(rows_of(batches), 1):
+            for (doc_id, _), found in zip(rows, _judged([t for _, t in rows], network, pairs), strict=True):
+                yield from out.add((doc_id, *found))
         yield from out.flush()
 
     return map_arrow(rows, run, schema)
+
+
+def predicted(text: Column, network: Network) -> Column:
+    """The label of a text, ``und`` if it is null or has no letter: as a column,
+    for stages that judge rows where they are."""
+
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pairs = network.pairs()
+        for array in arrays:
+            found: list[str] = []
+            for part in _together(((t,) for texts in values_of(iter([array])) for t in texts), 0):
+                found += [label for label, _ in _judged([t for (t,) in part], network, pairs)]
+            yield pa.array(found, pa.string())
+
+    return arrow_column(run, "string", F.when(lettered(text), text.cast("string")))

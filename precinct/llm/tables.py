@@ -7,17 +7,31 @@ evaluation, and the planner knows the size of what it reads.
 
 from __future__ import annotations
 
+import atexit
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from precinct.functions._cols import unused
+from precinct.operators.joins import checked_broadcast
 from precinct.session import scratch_path
 
+#: Row numbers up to which a list of rows that go is broadcast.
+MAX_LOST = 1_000_000
+#: Tables that are there yet, by path, in the order they were written.
+_there: dict[str, SparkSession] = {}
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read again."""
+    """``df`` as a Parquet table in the shared folder, read again. It goes with
+    :func:`dropped`, at the end of a :func:`cleared` block, or at the end of the
+    driver's process."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _there[path] = spark
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -27,6 +41,34 @@ def dropped(*tables: DataFrame) -> None:
     for table in tables:
         for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
             remove(table.sparkSession, path)
+            for known in [p for p in _there if p.rsplit("/", 1)[-1] == path.rsplit("/", 1)[-1]]:
+                del _there[known]
+
+
+@contextmanager
+def cleared() -> Iterator[None]:
+    """Tables written within the block are deleted at its end: for callers that
+    have kept what they need of them."""
+    before = set(_there)
+    try:
+        yield
+    finally:
+        for path in [p for p in _there if p not in before]:
+            remove(_there.pop(path), path)
+
+
+@atexit.register
+def _clear() -> None:
+    for path, spark in _there.items():
+        with suppress(Exception):  # the JVM may have gone before
+            remove(spark, path)
+
+
+def without(rows: DataFrame, lost: DataFrame, number: str) -> DataFrame:
+    """``rows`` but those whose ``number`` is in ``lost``, a table that is small
+    beside them: broadcast behind a check of its size, so that no text moves;
+    beyond the check both sides are shuffled."""
+    return rows.join(checked_broadcast(lost, MAX_LOST), number, "left_anti").drop(number)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -52,6 +94,12 @@ def row_id(df: DataFrame) -> Column:
     return F.monotonically_increasing_id()
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with :func:`row_id` under a name that it does not have, and the name."""
+    name = unused("row", df.columns)
+    return df.withColumn(name, row_id(df)), name
+
+
 def text_of(df: DataFrame, column: str = "text") -> Column:
     """The text, null as the empty string."""
     return F.coalesce(df[column].cast("string"), F.lit(""))
