@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import hashlib
 import pickle
 import sys
 import types
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -22,12 +24,19 @@ import precinct
 BATCH_ROWS, BATCH_BYTES = 4096, 4 << 20
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(
+    df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, keeps: bool = False
+) -> DataFrame:
     """``df.mapInArrow`` with this package's functions sent by value, so that
-    executors need not have it installed."""
+    executors need not have it installed. ``keeps``: ``fn`` uses
+    :func:`worker_wide`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return tidied(fn, batches, keeps)
+
     cloudpickle.register_pickle_by_value(precinct)
     try:
-        return df.mapInArrow(fn, schema)
+        return df.mapInArrow(run, schema)
     finally:
         cloudpickle.unregister_pickle_by_value(precinct)
 
@@ -37,7 +46,7 @@ def arrow_column(fn: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], kind: s
     rest of a row stays in the JVM. ``fn`` gives as many values as it takes."""
 
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        return fn(arrays)
+        return tidied(fn, arrays, False)
 
     cloudpickle.register_pickle_by_value(precinct)
     try:
@@ -59,11 +68,15 @@ def arrow_schema(schema: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(schema))
 
 
+def _memory() -> dict:
+    """What this Python worker keeps between tasks."""
+    return sys.modules.setdefault("precinct_worker_memory", types.ModuleType("precinct_worker_memory")).__dict__
+
+
 def worker_wide(make: Callable, *args):
     """``make(*args)``, kept by this Python worker for the tasks that follow. One
-    object is kept at a time: a stage that needs another one drops it, so what
-    a stage remembers does not stay beside what later ones do."""
-    kept = sys.modules.setdefault("precinct_worker_memory", types.ModuleType("precinct_worker_memory")).__dict__
+    object is kept at a time."""
+    kept = _memory()
     key = make.__qualname__, hashlib.sha256(pickle.dumps(args)).digest()
     if kept.get("key") != key:
         kept.pop("object", None)
@@ -72,6 +85,30 @@ def worker_wide(make: Callable, *args):
     return kept["object"]
 
 
+def tidied(fn: Callable[[Iterator], Iterator], batches: Iterator, keeps: bool) -> Iterator:
+    """``fn(batches)``. A task that does not ``keep`` anything drops what the
+    worker kept: workers outlive stages, and what one stage remembers must not
+    stay beside what later ones need. Memory that is free goes back."""
+    if not keeps and "object" in _memory():
+        forget()
+    yield from fn(batches)
+    trim()
+
+
+def forget() -> None:
+    kept = _memory()
+    kept.pop("object", None)
+    kept.pop("key", None)
+    gc.collect()
+
+
+def trim() -> None:
+    """Give back what the allocators hold."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Batches:
     """Rows gathered into record batches of bounded size."""
 

@@ -34,8 +34,9 @@ from precinct.llm.arrow import Batches, arrow_schema, map_arrow, rows_of, worker
 from precinct.llm.tables import text_of
 
 MAX_MODEL_BYTES = 64 << 20
-#: Remembered pieces per Python worker; beyond it the memory starts anew.
-MAX_PIECES = 300_000
+#: Remembered pieces, and chunks, per Python worker; beyond it a memory starts
+#: anew.
+MAX_PIECES = 150_000
 #: Fragments of up to so many bytes are merged by scanning their pairs.
 SHORT = 48
 
@@ -118,9 +119,8 @@ class Bpe(dict):
         inside = {pair for token in whole for pair in zip(token, token[1:], strict=False)}
         #: Byte pairs that no vocabulary token holds.
         self.cut = {(a, b) for a in range(256) for b in range(256)} - inside
-        self.text: dict[int, bytes] = {i: t for t, i in whole.items()}
+        self.text = texts(spec)
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.text |= {i: t.encode() for t, i in self.added.items()}
         names = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         if len(vocab) > 1 << 20:
@@ -228,8 +228,24 @@ class Bpe(dict):
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
-        text = self.text
-        return b"".join([text[i] for i in array("I", ids)]).decode("utf-8", "replace")
+        return decoded(ids, self.text)
+
+
+def texts(spec: dict) -> dict[int, bytes]:
+    """Id -> the bytes of its token."""
+    letters = byte_letters()
+    own = {i: bytes(letters[c] for c in t) for t, i in spec["model"]["vocab"].items() if set(t) <= letters.keys()}
+    return own | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+
+
+def decoded(ids: bytes, text: dict[int, bytes]) -> str:
+    return b"".join([text[i] for i in array("I", ids)]).decode("utf-8", "replace")
+
+
+def decoder(model: bytes) -> dict[int, bytes]:
+    """What decoding needs of a model: a worker that only decodes has no memory
+    of pieces, ranks and patterns."""
+    return texts(json.loads(model))
 
 
 def _model(docs: DataFrame, path: str):
@@ -240,21 +256,23 @@ def _model(docs: DataFrame, path: str):
     return docs.sparkSession.sparkContext.broadcast((model, *character_classes()))
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids): ids as little-endian unsigned 32-bit integers."""
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", back: bool = False) -> DataFrame:
+    """(doc_id, ids): ids as little-endian unsigned 32-bit integers. With
+    ``back`` also ``decoded``, the text that is read back from the ids, as
+    :func:`decode` does, in the task that made them."""
     model = _model(docs, path)
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"doc_id {kind}, ids binary"
+    schema = f"doc_id {kind}, ids binary" + ", decoded string" * back
     fields = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, out = worker_wide(Bpe, *model.value), Batches(fields)
         for doc_id, t in rows_of(batches):
             ids = bpe.encode(t)
-            yield from out.add((doc_id, ids), len(ids))
+            yield from out.add((doc_id, ids, bpe.decode(ids)) if back else (doc_id, ids), (1 + back) * len(ids))
         yield from out.flush()
 
-    return map_arrow(docs.select(F.col(key).alias("doc_id"), text_of(docs, text).alias("text")), run, schema)
+    return map_arrow(docs.select(F.col(key).alias("doc_id"), text_of(docs, text).alias("text")), run, schema, keeps=True)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -265,9 +283,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     fields = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, out = worker_wide(Bpe, *model.value), Batches(fields)
+        text, out = worker_wide(decoder, model.value[0]), Batches(fields)
         for doc_id, ids in rows_of(batches):
-            yield from out.add((doc_id, ids, bpe.decode(ids)), 2 * len(ids))
+            yield from out.add((doc_id, ids, decoded(ids, text)), 2 * len(ids))
         yield from out.flush()
 
-    return map_arrow(encoded.select("doc_id", "ids"), run, schema)
+    return map_arrow(encoded.select("doc_id", "ids"), run, schema, keeps=True)

@@ -85,7 +85,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("byte_bpe_50k.json")
-    return bpe.decode(bpe.encode(documents(spark, sf_dir), path), path).select(
+    return bpe.encode(documents(spark, sf_dir), path, back=True).select(
         "doc_id",
         (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -104,6 +104,7 @@ def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"]).alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        (F.size("spans") > 0).alias("repeats"),
     )
 
 

@@ -24,9 +24,12 @@ contexts that are inserted together:
    neighbour is one more than the least of those it skips. A start whose common
    prefix with a neighbour reaches ``size`` is repeated. Many groups go through
    the columns together, as arrays of bounded size.
-4. *Hot anchors.* Where an anchor has more than ``HOT`` places, its starts are
-   counted by a 128-bit rolling hash of their string instead, summed per batch
-   first, so no group has to be in one task.
+4. *Hot anchors.* Where an anchor has more than ``HOT`` places, its strings
+   meet by the BLAKE2 digest (256 bits) of their bytes instead, equal ones of a
+   batch as one row, so no group has to be in one task.
+
+The join that tells rows of repeated anchors is between two tables, so that
+Spark can split the rows of an anchor that holds many.
 
 Cases: null and empty texts are kept as they are. Repeated rows repeat all
 their strings. Null ids stay, an empty table gives an empty result, other
@@ -35,6 +38,7 @@ columns are not read. Offsets are bytes; what remains need not be valid UTF-8.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,7 +60,7 @@ STEP = 1 << 19
 COLLAPSE_BYTES, COLLAPSE_STARTS = 8 << 20, 1 << 18
 
 ANCHORS = "uid bigint, lo int, hi int, at int, h bigint"
-PLACES = "h bigint, place int, context binary, h2 bigint, uids array<bigint>, los array<int>"
+PLACES = "h bigint, place int, context binary, uids array<bigint>, los array<int>"
 FOUND = "uid bigint, starts array<struct<lo:int,hi:int>>"
 #: Starts that a task gathers by document before it gives them out.
 GATHER = 1 << 18
@@ -89,8 +93,8 @@ class Rolling:
         return out
 
 
-# Odd bases.
-FIRST, SECOND = (0x5851F42D4C957F2D, 1), (0x14057B7EF767814F, 2)
+# An odd base, and the seed of the byte values.
+BASE = (0x5851F42D4C957F2D, 1)
 
 
 def smallest(values: np.ndarray, width: int) -> np.ndarray:
@@ -121,7 +125,7 @@ def _anchors(docs: DataFrame, size: int, gram: int) -> DataFrame:
     fields = arrow_schema(ANCHORS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling, held, count = Rolling(*FIRST), [], 0
+        rolling, held, count = Rolling(*BASE), [], 0
 
         def flush():
             columns = [np.concatenate(c) for c in zip(*held, strict=True)]
@@ -145,36 +149,35 @@ def _anchors(docs: DataFrame, size: int, gram: int) -> DataFrame:
 def _contexts(rows: DataFrame, size: int) -> DataFrame:
     """From (text, own: the document's anchors that others have too) the
     contexts of anchors (place: the anchor in it) and, for hot anchors, the
-    hashes of their strings (h, h2; no context), with their places."""
+    digests of their strings (no place), with their places."""
     fields = arrow_schema(PLACES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second, out = Rolling(*FIRST), Rolling(*SECOND), Batches(fields)
+        out = Batches(fields)
         contexts: dict[tuple, tuple[list, list]] = {}
-        hot: list[tuple[np.ndarray, ...]] = []
+        strings: dict[bytes, tuple[list, list]] = {}
         held = starts = 0
 
         def flush_contexts():
             for (h, place, context), (uids, los) in contexts.items():
-                yield from out.add((h, place, context, None, uids, los), len(context) + 12 * len(uids))
+                yield from out.add((h, place, context, uids, los), len(context) + 12 * len(uids))
 
-        def flush_hot():
-            h, h2, uid, lo = (np.concatenate(c) for c in zip(*hot, strict=True))
-            order = np.lexsort((h2, h))
-            h, h2, uid, lo = h[order], h2[order], uid[order], lo[order]
-            cut = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (h2[1:] != h2[:-1]), [True]]))
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                yield from out.add((int(h[a]), None, None, int(h2[a]), uid[a:b].tolist(), lo[a:b].tolist()), 12 * (b - a))
+        def flush_strings():
+            for digest, (uids, los) in strings.items():
+                h = int.from_bytes(digest[:8], "little", signed=True)
+                yield from out.add((h, None, digest, uids, los), 48 + 12 * len(uids))
 
         for uid, text, own in rows_of(batches, 64):
-            data = np.frombuffer(text, np.uint8)
+            whole = memoryview(text)
             for row in own:
                 lo, hi, at = row["lo"], row["hi"], row["at"]
                 if row["hot"]:
-                    part = data[lo : hi + size]
-                    h, h2 = first.hashes(part, size).view(np.int64), second.hashes(part, size).view(np.int64)
-                    hot.append((h, h2, np.full(len(h), uid), np.arange(lo, hi + 1)))
-                    starts += len(h)
+                    for start in range(lo, hi + 1):
+                        digest = hashlib.blake2b(whole[start : start + size], digest_size=32).digest()
+                        uids, los = strings.setdefault(digest, ([], []))
+                        uids.append(uid)
+                        los.append(start)
+                    starts += hi + 1 - lo
                 else:
                     key = (row["h"], at - lo, text[lo : hi + size])
                     uids, los = contexts.setdefault(key, ([], []))
@@ -186,11 +189,10 @@ def _contexts(rows: DataFrame, size: int) -> DataFrame:
                 yield from flush_contexts()
                 contexts, held = {}, 0
             if starts >= COLLAPSE_STARTS:
-                yield from flush_hot()
-                hot, starts = [], 0
+                yield from flush_strings()
+                strings, starts = {}, 0
         yield from flush_contexts()
-        if hot:
-            yield from flush_hot()
+        yield from flush_strings()
         yield from out.flush()
 
     return map_arrow(rows, run, PLACES)
@@ -242,7 +244,7 @@ def _starts(places: DataFrame, length: int, gram: int) -> DataFrame:
     """(uid, starts): starts of strings that occur more than once, those that a
     task finds for a document together."""
     fields = arrow_schema(FOUND)
-    ordered = places.repartition("h").sortWithinPartitions("h", "h2", "place", "context")
+    ordered = places.repartition("h").sortWithinPartitions("h", "place", "context")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, found, size = Batches(fields), {}, 0
@@ -267,10 +269,10 @@ def _starts(places: DataFrame, length: int, gram: int) -> DataFrame:
                         found.setdefault(uid, []).append((lo + a, lo + b))
             return count
 
-        last = None  # of a hot anchor's strings: key, and places not yet given out
-        for h, place, context, h2, uids, los in rows_of(batches, 256):
-            if context is None:
-                if last is not None and last[0] == (h, h2):
+        last = None  # of a hot anchor's strings: digest, and places not yet given out
+        for h, place, context, uids, los in rows_of(batches, 256):
+            if place is None:
+                if last is not None and last[0] == context:
                     uids, los = last[1] + uids, last[2] + los
                     again = True
                 else:
@@ -279,7 +281,7 @@ def _starts(places: DataFrame, length: int, gram: int) -> DataFrame:
                     size += len(uids)
                     for uid, lo in zip(uids, los, strict=True):
                         found.setdefault(uid, []).append((lo, lo))
-                last = ((h, h2), [], []) if again else ((h, h2), uids, los)
+                last = (context, [], []) if again else (context, uids, los)
             elif held and held[-1][:3] == [h, place, context]:
                 held[-1][3] += uids
                 held[-1][4] += los
@@ -307,7 +309,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     )
     rows = source.select("uid", "text").where(F.length("text") >= size)
     found = written(_anchors(rows, size, gram), "anchors")
-    counts = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counts = written(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "anchor-counts")
     own = (
         found.join(counts, "h")
         .groupBy("uid")
@@ -315,7 +317,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     )
     contexts = _contexts(rows.join(own, "uid").select("uid", "text", "own"), size)
     starts = written(_starts(contexts, size, gram), "repeated-starts")
-    dropped(found)
+    dropped(found, counts)
     spans = starts.groupBy("uid").agg(F.flatten(F.collect_list("starts")).alias("starts"))
     schema = f"doc_id {docs.schema[key].dataType.simpleString()}, n_bytes bigint, spans array<struct<start:int,stop:int>>, kept binary"
     fields = arrow_schema(schema)

@@ -126,4 +126,4 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
             yield from out.add((doc_id, *counter.text(t)))
         yield from out.flush()
 
-    return map_arrow(docs.select(F.col(key).alias("doc_id"), text_of(docs, text).alias("text")), run, schema)
+    return map_arrow(docs.select(F.col(key).alias("doc_id"), text_of(docs, text).alias("text")), run, schema, keeps=True)

@@ -2,16 +2,20 @@
 
 A payload is a sequence of rows (record, chunk number, data), each carrying
 the digests and the size of the payload up to and including it; the last row
-of a record has those of the whole. Everything after the source table works on
-these rows: the writer compresses a record chunk by chunk as its rows come, the
-reader gives chunk rows again while it decompresses. No step holds a record.
+of a record has those of the whole. Spark cuts the payload column into slices,
+and everything after works on these rows: digests run along a record's rows, the
+writer compresses a record chunk by chunk as its rows come, the reader gives
+chunk rows again while it decompresses. No task allocates a record besides the
+cell of the source table that holds it.
 
 Of records with equal payloads (SHA-256 and size) the one with the smallest
-page_id becomes a response, the others revisit it. Archives are gzip files with a member for
-each record, below the folder that ``spark.checkpoint.dir`` names, written
-through Arrow's file systems (local, HDFS, S3, GCS by the folder's scheme). A
-task's files count only if its rows reach the manifest, so a second attempt of
-a task does no harm.
+page_id becomes a response, the others revisit it. Archives are gzip files with a
+member for each record, below the folder that ``spark.checkpoint.dir`` names,
+written through Arrow's file systems (local, HDFS, S3, GCS, Azure by the folder's
+scheme, Hadoop's names of schemes included). A task's files count only if its rows
+reach the manifest, so a second attempt of a task does no harm. Archives are
+read in ranges of whole members of about ``RANGE_BYTES``, each a task's work, so
+neither the number of files nor their size bounds how many tasks read.
 
 Cases: a null payload is empty. A null page_id orders after all others. Exact
 repeats of a response (same page_id and payload) revisit it. An empty table
@@ -33,10 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precinct.llm.arrow import Batches, arrow_schema, map_arrow, rows_of
+from precinct.llm.scans import ranked
 from precinct.llm.tables import row_id, written
 from precinct.session import scratch_path
 
 CHUNK_BYTES = 64 << 10
+#: Bytes of an archive that one task reads, about.
+RANGE_BYTES = 64 << 20
 CHUNKS = "record bigint, chunk int, data binary, bytes bigint, sha1 string, sha256 string, last boolean"
 MANIFEST = "record bigint, file string, start bigint, stop bigint"
 FOUND = (
@@ -54,29 +61,47 @@ def base32(digest: bytes) -> str:
 
 def chunked(rows: DataFrame, size: int = CHUNK_BYTES) -> DataFrame:
     """Chunk rows of ``rows`` (record, payload string); a payload of no bytes
-    has one empty chunk."""
+    has one empty chunk. Slices of a record follow one another in its task."""
     fields = arrow_schema(CHUNKS)
+    data = F.coalesce(F.col("payload"), F.lit("")).cast("binary").alias("data")
+    last = F.greatest(F.lit(0), F.ceil(F.octet_length("data") / size).cast("int") - 1)
+    slices = (
+        rows.select("record", data)
+        .select("record", "data", last.alias("end"), F.explode(F.sequence(F.lit(0), last)).alias("chunk"))
+        .select("record", "chunk", (F.col("chunk") == F.col("end")).alias("last"), F.substr("data", F.col("chunk") * size + 1, F.lit(size)).alias("data"))
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Batches(fields)
-        for record, payload in rows_of(batches, 16):
-            data = memoryview((payload or "").encode())
-            short, long = hashlib.sha1(), hashlib.sha256()
-            for chunk, at in enumerate(range(0, max(1, len(data)), size)):
-                piece = bytes(data[at : at + size])
-                short.update(piece)
-                long.update(piece)
-                seen = at + len(piece)
-                row = (record, chunk, piece, seen, base32(short.digest()), long.hexdigest(), seen == len(data))
-                yield from out.add(row, len(piece))
+        for record, chunk, last, piece in rows_of(batches, 16):
+            if chunk == 0:
+                short, long, seen = hashlib.sha1(), hashlib.sha256(), 0
+            short.update(piece)
+            long.update(piece)
+            seen += len(piece)
+            yield from out.add((record, chunk, piece, seen, base32(short.digest()), long.hexdigest(), last), len(piece))
         yield from out.flush()
 
-    return map_arrow(rows, run, CHUNKS)
+    return map_arrow(slices, run, CHUNKS)
+
+
+def arrow_uri(uri: str) -> str:
+    """A folder's URI under the scheme that Arrow knows it by. Hadoop also
+    writes file:/x for file:///x, and s3a, abfss, wasbs and the like for stores."""
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        return uri  # a plain path
+    if scheme == "file":
+        return "file:///" + rest.lstrip("/")
+    known = {"s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss", "wasb": "abfs", "wasbs": "abfss"}
+    return f"{known.get(scheme, scheme)}:{rest}"
 
 
 def _file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    """Hadoop also writes file:/x for file:///x."""
-    return fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri[:7] != "file://" else uri)
+    try:
+        return fs.FileSystem.from_uri(arrow_uri(uri))
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as fault:
+        raise ValueError(f"archives cannot be written below {uri}: name a folder of a store that Arrow reaches in spark.checkpoint.dir") from fault
 
 
 def record_id(record: int) -> str:
@@ -233,20 +258,35 @@ class _Member:
             yield self.cells(b"", int(h["WARC-Payload-Length"]), h["WARC-Payload-Digest"].removeprefix("sha1:"), True)
 
 
+def _ranges(files: DataFrame) -> DataFrame:
+    """(file, start, stop) of runs of whole members of about ``RANGE_BYTES``;
+    without a manifest's columns, of whole files."""
+    if not {"start", "stop"} <= {*files.columns}:
+        return files.select("file").distinct().select("file", F.lit(0).cast("bigint").alias("start"), F.lit(None).cast("bigint").alias("stop"))
+    near = F.floor(F.col("start") / RANGE_BYTES)
+    found = files.groupBy("file", near.alias("near")).agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    return found.select("file", "start", "stop")
+
+
 def read(files: DataFrame, size: int = CHUNK_BYTES, payload: bool = True) -> DataFrame:
-    """Chunk rows of the records in the archives that ``files`` (column file)
-    names; without ``payload``, the last row of each record and no data.
-    A revisit has one row, with the size and digest of the payload it names."""
+    """Chunk rows of the records in the archives that ``files`` names: a manifest,
+    or any table with a column file. Without ``payload``, the last row of each
+    record and no data. A revisit has one row, with the size and digest of the
+    payload it names. The ranges, a row each, are counted while the plan is built."""
     fields = arrow_schema(FOUND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Batches(fields)
-        for (file,) in rows_of(batches):
+        for _, file, start, stop in rows_of(batches):
             system, path = _file_system(file)
-            with system.open_input_stream(path, compression=None) as source:
+            with system.open_input_file(path) as source:
+                source.seek(start)
                 gz, member, data = zlib.decompressobj(31), _Member(size), b""
+                left = source.size() - start if stop is None else stop - start
                 while True:
-                    data = data or source.read(size)
+                    if not data and left:
+                        data = source.read(min(size, left))
+                        left -= len(data)
                     if not data:
                         break
                     rows = list(member.rows(gz.decompress(data, size)))
@@ -260,5 +300,7 @@ def read(files: DataFrame, size: int = CHUNK_BYTES, payload: bool = True) -> Dat
                             yield from out.add((*row[:2], piece, *row[3:]), 256 + len(piece))
         yield from out.flush()
 
-    names = files.select("file").distinct().repartition("file")
-    return map_arrow(names, run, FOUND)
+    ranges = written(_ranges(files), "ranges")
+    # A task a range, dealt by number: hashes would put some in one task.
+    numbered = ranked(ranges, [], ["file", "start"], "ranges-in-order").select(F.col("rank").cast("int").alias("task"), "file", "start", "stop")
+    return map_arrow(numbered.repartitionById(max(1, ranges.count()), F.col("task")), run, FOUND)

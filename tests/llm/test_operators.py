@@ -170,6 +170,43 @@ def test_warc_round_trip(spark):
     assert warc.read(warc.write(pages.limit(0))).count() == 0
 
 
+def test_warc_is_read_in_ranges(spark, monkeypatch):
+    """Many members of one archive are many tasks; whole files give the same."""
+    monkeypatch.setattr(warc, "RANGE_BYTES", 2000)
+    rng = random.Random(12)
+    rows = [(i, None, "".join(chr(rng.randrange(32, 999)) for _ in range(rng.randrange(900)))) for i in range(80)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    manifest = warc.write(pages, size=100)
+    found = warc.read(manifest, size=64)
+    assert manifest.select("file").distinct().count() < 9 and found.rdd.getNumPartitions() > 15
+    whole = warc.read(manifest.select("file"), size=64)
+    texts = defaultdict(bytes)
+    for r in sorted(found.collect(), key=lambda r: (r.page_id, r.chunk)):
+        texts[r.page_id] += bytes(r.data)
+    assert texts == {i: t.encode() for i, _, t in rows}
+    assert Counter(map(str, found.collect())) == Counter(map(str, whole.collect()))
+
+
+def test_warc_folders_of_any_scheme():
+    names = {
+        "s3a://b/k": "s3://b/k", "s3n://b/k": "s3://b/k", "s3://b/k": "s3://b/k", "gs://b/k": "gs://b/k", "hdfs://n:8020/k": "hdfs://n:8020/k",
+        "abfss://c@a.x/k": "abfss://c@a.x/k", "wasbs://c@a.x/k": "abfss://c@a.x/k", "wasb://c@a.x/k": "abfs://c@a.x/k",
+        "file:/k/l": "file:///k/l", "file:///k": "file:///k", "/k/a:b": "/k/a:b",
+    }
+    assert {u: warc.arrow_uri(u) for u in names} == names
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        warc._file_system("oss://store/k")
+
+
+def test_warc_payloads_are_cut_before_python_sees_them(spark):
+    pages = spark.createDataFrame([(1, "é" * 700_000), (2, None)], "record bigint, payload string")
+    chunks = warc.chunked(pages, 1000)
+    plan = chunks._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Generate explode")
+    rows = chunks.collect()
+    assert max(len(r.data) for r in rows) == 1000 and [r.bytes for r in rows if r["last"]] == [1_400_000, 0]
+
+
 # ------------------------------------------------------------------ 6, 7
 
 
@@ -209,6 +246,48 @@ def test_unigram_counts_equal_the_library():
 # ------------------------------------------------------------------ 8
 
 
+def repeats_of(rows, size):
+    """doc_id -> the bytes that remain."""
+    data = [(i, (t or "").encode()) for i, t in rows]
+    count = Counter(b[k : k + size] for _, b in data for k in range(len(b) - size + 1))
+    for i, b in data:
+        gone, reach = bytearray(len(b)), 0
+        for k in range(len(b) - size + 1):
+            if count[b[k : k + size]] > 1:
+                gone[max(k, reach) : k + size] = b"\1" * (k + size - max(k, reach))
+                reach = k + size
+        yield i, bytes(x for x, g in zip(b, gone, strict=True) if not g)
+
+
+def passages(rng, n):
+    """Texts of random words that share passages of about 400 bytes, some a byte
+    shorter or longer, some within one text, some in a long run of one letter."""
+    word = lambda: "".join(rng.choice("abcdefgé") for _ in range(rng.randrange(1, 9)))
+    shared = [" ".join(word() for _ in range(120)).encode()[:k].decode(errors="ignore") for k in (380, 398, 399, 400, 401, 402, 460)]
+    shared += ["z" * 420, "ab" * 260]
+    for i in range(n):
+        parts = [" ".join(word() for _ in range(rng.randrange(60))) for _ in range(3)]
+        for p in rng.sample(shared, rng.randrange(3)):
+            parts.insert(rng.randrange(3), p * rng.choice([1, 1, 2]))
+        yield i, "|".join(parts)
+
+
+@pytest.mark.parametrize("hot", [repeats.HOT, 3, 0])
+@pytest.mark.parametrize("split", ["1g", "8k"])
+def test_repeats_at_full_size(spark, tmp_path, hot, split):
+    """400 bytes and 48, from files cut into few or many splits."""
+    rows = [*passages(random.Random(11), 120), (900, None), (901, ""), (902, "x" * 399)]
+    rows += rows[:3]
+    path = str(tmp_path / "docs")
+    table(spark, rows).repartition(3).write.option("parquet.block.size", 4096).parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = repeats.removed(spark.read.parquet(path), hot=hot).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert Counter((r.doc_id, bytes(r.kept)) for r in got) == Counter(repeats_of(rows, 400))
+
+
 @pytest.mark.parametrize("hot", [4096, 0])
 def test_repeats(spark, hot):
     rows = [*texts(random.Random(5), "abé", 60), (90, None), (91, "a" * 60), (92, "")]
