@@ -243,6 +243,70 @@ def test_unigram_counts_equal_the_library():
         assert own.text(text)[0] == len(library.encode(text, add_special_tokens=False).ids)
 
 
+# ------------------------------------------------ 4, 6, 7: the queries' columns
+
+
+def rows_by_id(spark, key):
+    return {r.doc_id: r for r in entry.queries()[key](spark, SF0001).collect()}
+
+
+@pytest.fixture(scope="module")
+def some_documents(spark):
+    return {r.doc_id: r for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()}
+
+
+def test_language_query(spark, some_documents):
+    import zlib
+
+    got = rows_by_id(spark, "op4_language_id")
+    assert got.keys() == some_documents.keys()
+    labels = {d.lang for i, d in some_documents.items() if d.lang is not None and zlib.crc32(str(i).encode()) % 4 != 2}
+    for i, r in got.items():
+        text = some_documents[i].text
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+        if any(c.isalpha() for c in text or ""):
+            assert r.lang_pred in labels and 0 <= r.score <= 1
+        else:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+    judged = [(some_documents[i].lang, r.lang_pred) for i, r in got.items() if r.held_out and r.lang_pred != "und"]
+    assert np.mean([a == b for a, b in judged]) > 0.9
+
+
+def test_bpe_query(spark, some_documents):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
+    library.no_truncation()
+    library.no_padding()
+    got = rows_by_id(spark, "op6_bpe")
+    assert got.keys() == some_documents.keys()
+    for i, r in got.items():
+        ids = library.encode(some_documents[i].text or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        want = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want
+
+
+def test_bpe_decodes_the_same_apart(spark):
+    path = tokenizer("byte_bpe_50k.json")
+    docs = table(spark, list(enumerate([None, *hostile_texts(8)][:300])))
+    together = bpe.encode(docs, path, back=True).collect()
+    apart = bpe.decode(bpe.encode(docs, path), path).collect()
+    assert Counter(map(str, together)) == Counter(map(str, apart))
+
+
+def test_unigram_query(spark, some_documents):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    with open(tokenizer("piece_bpe_32k.model"), "rb") as f:
+        library = Tokenizer(models.Unigram(unigram.vocabulary(f.read()), unk_id=0, byte_fallback=True))
+    library.pre_tokenizer = pre_tokenizers.Metaspace(replacement=unigram.SPACE, prepend_scheme="always", split=True)
+    got = rows_by_id(spark, "op7_token_count")
+    assert {i: r.n_tokens for i, r in got.items()} == {
+        i: len(library.encode(d.text or "", add_special_tokens=False).ids) for i, d in some_documents.items()
+    }
+
+
 # ------------------------------------------------------------------ 8
 
 
@@ -305,6 +369,64 @@ def test_repeats(spark, hot):
 # ------------------------------------------------------------------ 9
 
 
+def linked(sets, percent=80):
+    """Set by id -> the smallest id that links reach."""
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if j < i and a and 100 * len(a & b) >= percent * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in sets}
+
+
+@pytest.mark.parametrize("hot", [8192, 1])
+@pytest.mark.parametrize("tile", [500_000, 4000, 300])
+@pytest.mark.parametrize("seed", [21, 22])
+def test_jaccard_families(spark, monkeypatch, hot, tile, seed):
+    """A third of all documents is one family whose members differ; others share
+    its shingles and link with few or none. Sizes vary, copies repeat."""
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    monkeypatch.setattr(jaccard, "HEAVY_COUNT", 2)
+    rng = random.Random(seed)
+    body = [f"b{k}" for k in range(100)]
+    rows = []
+    for i in range(240):
+        if i % 3 == 0:
+            own = body[: rng.randrange(85, 101)] + [f"x{i}_{k}" for k in range(rng.randrange(8))]
+        elif i % 3 == 1:
+            own = body[: rng.randrange(30, 90)] + [f"y{i // 9}_{k}" for k in range(rng.randrange(60))]
+        else:
+            own = [f"z{i // 12}_{k}" for k in range(rng.randrange(20, 30))] + [f"z{i}"] * (i % 2)
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, t) for i, t in rows[:6]]
+    got = jaccard.groups(table(spark, rows).repartition(5), words=1, tile=tile).collect()
+    assert {r.doc_id: r.component_id for r in got} == linked({i: set(t.split()) for i, t in rows})
+
+
+def test_a_family_is_not_compared_with_itself(spark, monkeypatch):
+    """Tiles of a family meet the first tile only: texts grow with the family."""
+    seen = []
+    original = jaccard._products
+
+    def spied(texts, *rest):
+        seen.append(texts.count())
+        return original(texts, *rest)
+
+    monkeypatch.setattr(jaccard, "_products", spied)
+    rows = [(i, " ".join([f"b{k}" for k in range(95)] + [f"x{i}"])) for i in range(400)]
+    got = jaccard.groups(table(spark, rows), words=1, tile=1000).collect()
+    assert {r.component_id for r in got} == {0}
+    tiles = 400 * 96 // 1000 + 1
+    assert seen[0] < 3 * 400 + tiles and seen[1:] == [0]
+
+
 @pytest.mark.parametrize("few,tile", [(64, 1_200_000), (2, 300)])
 def test_jaccard(spark, monkeypatch, few, tile):
     monkeypatch.setattr(jaccard, "FEW", few)
@@ -419,6 +541,13 @@ def test_decontamination_by_items_without_id(spark, monkeypatch, block):
 # ------------------------------------------------------------------ pipeline
 
 
+def shingles_of(text, size=5):
+    """Words lower-cased in ASCII; a shorter text is one shingle."""
+    words = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", words)
+    return {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))} if words else set()
+
+
 def test_pipeline_against_the_stages_by_hand(spark):
     import corpus_pipeline as pipeline
 
@@ -429,7 +558,7 @@ def test_pipeline_against_the_stages_by_hand(spark):
     for i in left:
         norm.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", rows[i]), i)
     kept = docs.where(F.col("doc_id").isin(list(norm.values())))
-    near = {r.doc_id for r in jaccard.groups(kept).where("doc_id = component_id").collect()}
+    near = {i for i, r in linked({r.doc_id: shingles_of(r.text) for r in kept.collect()}).items() if i == r}
     benchmark = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF0001}/benchmark.parquet").collect()]
     want = {i for i, n, hit, _ in hits([(i, rows[i]) for i in near], benchmark, 13) if not hit or 20 * hit < n}
     got = pipeline.run(spark, SF0001)
