@@ -45,6 +45,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 import precinct
 from precinct.functions._cols import unused
 from precinct.functions.geo import haversine_km, known
+from precinct.lifetimes import sent
 from precinct.operators.joins import hinted
 
 OUT_COLS = ("near_prec", "near_division", "near_y", "near_x", "near_km")
@@ -124,13 +125,13 @@ def _blocks(stations: DataFrame, block_rows: int) -> Iterator[list]:
 
 def _candidates(points: DataFrame, block: list, lat: str, lon: str, near: str) -> DataFrame:
     """``points`` with ``near``: the block's stations nearest to each."""
-    sent = points.sparkSession.sparkContext.broadcast(block)
+    stations = sent(points.sparkSession, block)
     schema = T.StructType([*points.schema.fields, T.StructField(near, T._parse_datatype_string(_STATIONS))])
     kind = to_arrow_schema(T.StructType([schema.fields[-1]])).field(0).type
     i, j = points.columns.index(lat), points.columns.index(lon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sent.value
+        rows = stations.value
         leaves = Leaves(sphere(np.array([r[2] for r in rows]), np.array([r[3] for r in rows])))
         cells = [dict(zip(("prec", "division", "y", "x"), r, strict=True)) for r in rows]
         for batch in batches:

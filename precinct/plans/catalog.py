@@ -21,12 +21,14 @@ from precinct.operators import joins as jn
 from precinct.operators.exact import exact_mean_sql
 from precinct.operators.intervals import interval_join
 from precinct.operators.nearest import nearest_station
+from precinct.operators.preview import preview
 from precinct.operators.ranking import top_k
 from precinct.operators.skew import skewed_join
 from precinct.plans import reports as rp
+from precinct.plans.study import study
 from precinct.session import scratch_path
 from precinct.sources import csv as src_csv
-from precinct.sources import inference, quarantine
+from precinct.sources import formats, inference, quarantine
 from precinct.sources import testdata as td
 from precinct.sources.testdata import with_adapters
 
@@ -107,6 +109,11 @@ def q_month_top3_sql(spark, sf):
     return rp.month_top3_sql(spark, td.incidents(spark, sf), TOP_K)
 
 
+@register("month_top3_view", _TOP3_SQL)
+def q_month_top3_view(spark, sf):
+    return rp.month_top3_view(td.incidents(spark, sf), TOP_K, "incidents_of_the_report")
+
+
 # ------------------------------------------------------------------ Q2 parts
 
 
@@ -704,6 +711,46 @@ def q_parse_report_ts(spark, sf):
     return orders.select(F.col("o_orderkey").alias("incident_id"), parse_date(text).alias("occ_date"))
 
 
+@register(
+    "parse_mixed_formats",
+    "SELECT o_orderkey AS incident_id, CAST(o_orderdate AS DATE) AS occ_date FROM orders",
+)
+def q_parse_mixed_formats(spark, sf):
+    """Dates of files with the month first and files with the day first, each
+    parsed under the format that its texts elect."""
+    orders, path = td._table(spark, sf, "orders"), scratch_path(spark, "stamps")
+    for k, layout in enumerate(formats.FORMATS[:2]):
+        stamp = F.date_format("o_orderdate", layout).alias("stamp")
+        part = orders.where(F.col("o_orderkey") % 2 == k).select(F.col("o_orderkey").alias("incident_id"), stamp)
+        part.write.mode("append").option("header", "true").csv(path)
+    raw = spark.read.option("header", "true").schema("incident_id bigint, stamp string").csv(path)
+    found = formats.parsed(raw.withColumn("file", F.input_file_name()), "stamp", "file", "occ")
+    return found.select("incident_id", F.col("occ").cast("date").alias("occ_date"))
+
+
+@register(
+    "preview_incidents",
+    with_adapters(
+        f"SELECT {INCIDENT_SQL_COLS} FROM incidents ORDER BY md5(CAST(incident_id AS VARCHAR)), incident_id LIMIT 20",
+        "incidents",
+    ),
+)
+def q_preview_incidents(spark, sf):
+    return preview(td.incidents(spark, sf), ["incident_id"])
+
+
+@register("join_study")
+def q_join_study(spark, sf):
+    """The plans that ran for Q3 and Q4-1a under each join strategy, and what
+    they moved: no SQL, as a plan is Spark's own."""
+    inc, geo, income, st = _tables(spark, sf, "incidents", "revgeo", "income", "stations")
+    reports = {
+        "descent_by_income": lambda hint: rp.descent_by_income(inc, geo, income, REPORT_YEAR, TOP_K, hint=hint),
+        "distance_by_year_area": lambda hint: rp.distance_by_year_area(inc, st, hint=hint),
+    }
+    return study(spark, reports, ("broadcast", "merge", "shuffle_hash"))
+
+
 @register("incident_row_count", with_adapters("SELECT count(*) AS row_count FROM incidents", "incidents"))
 def q_incident_row_count(spark, sf):
     return td.incidents(spark, sf).agg(F.count(F.lit(1)).alias("row_count"))

@@ -15,11 +15,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from precinct.functions.geo import haversine_km_f32
 from precinct.functions.temporal import DAY_PART_LABELS, DAY_PARTS, UNCLASSIFIED, day_part, day_part_py
 from precinct.functions.text import format_fixed, zip5
+from precinct.lifetimes import named_view
 from precinct.operators.exact import exact_sums, mean_of, merged
 from precinct.operators.filters import filter_equals, filter_not_null, filter_year, firearm_incidents
 from precinct.operators.intervals import interval_join
@@ -54,17 +54,17 @@ def month_top3(incidents: DataFrame, k: int = 3) -> DataFrame:
 
 BUSIEST_MONTHS_SQL = """
 WITH per_month AS (
-    SELECT extract(YEAR FROM occ_date) AS year, extract(MONTH FROM occ_date) AS month, count(*) AS crime_total
+    SELECT year(occ_date) AS year, month(occ_date) AS month, count(*) AS crime_total
     FROM {incidents}
     GROUP BY ALL
 ), placed AS (
-    SELECT *, rank() OVER busiest_first AS rank
+    SELECT *, rank() OVER (PARTITION BY year ORDER BY crime_total DESC) AS rank
     FROM per_month
-    WINDOW busiest_first AS (PARTITION BY year ORDER BY crime_total DESC)
 )
+SELECT year, month, crime_total, rank
 FROM placed
-|> WHERE rank <= :k
-|> ORDER BY year, crime_total DESC, month
+WHERE rank <= :k
+ORDER BY year, crime_total DESC, month
 """
 
 
@@ -86,6 +86,13 @@ def month_top3_of(counts: DataFrame, k: int = 3) -> DataFrame:
     return top_k_per_group(months, ["year"], [F.desc("crime_total")], k).orderBy("year", F.desc("crime_total"), "month")
 
 
+def month_top3_view(incidents: DataFrame, k: int = 3, view: str = "incidents") -> DataFrame:
+    """Q1 in SQL over a named view. The view is there while the statement is
+    built; its plan then holds the table itself."""
+    with named_view(incidents, view):
+        return incidents.sparkSession.sql(BUSIEST_MONTHS_SQL.format(incidents=view), {"k": int(k)})
+
+
 # -------------------------------------------------------------- Q2: day part
 
 
@@ -120,27 +127,27 @@ def daypart_counts(incidents: DataFrame, premis: str, labels=DAY_PART_LABELS) ->
 def daypart_counts_rdd(incidents: DataFrame, premis: str, labels=DAY_PART_LABELS) -> DataFrame:
     """Q2 on the RDD API: the cross-check of :func:`daypart_counts`.
 
-    The DataFrame counts per ``time_occ`` first (at most 2,400 clock values and
-    what malformed rows add, combined map-side), so rows reach Python already
-    counted, however many incidents share a time. Then map, ``reduceByKey``
-    and a sort of the few labels.
+    The DataFrame counts per (premis, time_occ) first, combined map-side, so what
+    reaches Python is a row for each pair that occurs, however many incidents
+    share it. The chain on the RDD then filters, maps, reduces by key and sorts.
     """
     from pyspark import cloudpickle
 
     import precinct
 
     labs = dict(labels)
-    counted = filter_equals(incidents, "premis", premis).groupBy("time_occ").agg(F.count(F.lit(1)).alias("n"))
-    pairs = counted.rdd.map(lambda row: (day_part_py(row[0], labs), row[1])).reduceByKey(lambda a, b: a + b)
-    schema = T.StructType(
-        [T.StructField("day_part", T.StringType()), T.StructField("crime_count", T.LongType())]
-    )
+    counted = incidents.groupBy("premis", "time_occ").agg(F.count(F.lit(1)).alias("n"))
     cloudpickle.register_pickle_by_value(precinct)  # workers need not import the package
     try:
-        out = incidents.sparkSession.createDataFrame(pairs, schema)
+        pairs = (
+            counted.rdd.filter(lambda row: row[0] == premis)
+            .map(lambda row: (day_part_py(row[1], labs), row[2]))
+            .reduceByKey(lambda a, b: a + b)
+            .sortBy(lambda pair: (-pair[1], pair[0]), numPartitions=1)  # a row for each label
+        )
+        return incidents.sparkSession.createDataFrame(pairs, "day_part string, crime_count bigint")
     finally:
         cloudpickle.unregister_pickle_by_value(precinct)
-    return out.orderBy(F.desc("crime_count"), "day_part")
 
 
 # --------------------------------------------------- Q3: descent by income
