@@ -34,9 +34,9 @@ from precinct.llm.arrow import Batches, arrow_schema, map_arrow, rows_of, worker
 from precinct.llm.tables import text_of
 
 MAX_MODEL_BYTES = 64 << 20
-#: Remembered pieces, and chunks, per Python worker; beyond it a memory starts
-#: anew.
-MAX_PIECES = 150_000
+#: Remembered chunks per Python worker, in two generations: when the younger is
+#: full it becomes the older one, and what is met again goes on. Remembered pieces.
+MAX_CHUNKS, MAX_PIECES = 130_000, 30_000
 #: Fragments of up to so many bytes are merged by scanning their pairs.
 SHORT = 48
 
@@ -131,13 +131,18 @@ class Bpe(dict):
         self.exact = regex.compile(pattern(classes), regex.V1)
         self.odd = frozenset(odd)
         self.spaces = regex.compile(r"\p{White_Space} | \p{White_Space}| \Z")
+        self.older: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
         """The ids of a space and ``chunk``."""
-        if len(self) >= MAX_PIECES:
+        if len(self) >= MAX_CHUNKS:
+            self.older = dict(self)
             self.clear()
-        self[chunk] = out = self.whole(f" {chunk}")
+        out = self.older.pop(chunk, None)
+        if out is None:
+            out = self.whole(f" {chunk}")
+        self[chunk] = out
         return out
 
     def whole(self, text: str) -> bytes:

@@ -387,8 +387,7 @@ def linked(sets, percent=80):
 
 
 @pytest.mark.parametrize("hot", [8192, 1])
-@pytest.mark.parametrize("tile", [500_000, 4000, 300])
-@pytest.mark.parametrize("seed", [21, 22])
+@pytest.mark.parametrize("tile,seed", [(500_000, 21), (4000, 22), (300, 23)])
 def test_jaccard_families(spark, monkeypatch, hot, tile, seed):
     """A third of all documents is one family whose members differ; others share
     its shingles and link with few or none. Sizes vary, copies repeat."""
