@@ -380,7 +380,6 @@ for _h in ("broadcast", "merge", "shuffle_hash"):
 _FIRE_WHERE = "i.lat <> 0 AND i.lon <> 0 AND i.weapon_cd >= 100 AND i.weapon_cd < 200"
 _HAV_IS = haversine_sql("i.lat", "i.lon", "s.y", "s.x")
 _F32 = f"CAST({_HAV_IS} AS FLOAT)"
-_MEAN = exact_mean_sql("d")
 
 
 @register(
@@ -404,7 +403,7 @@ FROM incidents i JOIN stations s ON i.area = s.prec
 WHERE {_FIRE_WHERE}"""
 
 _BY_YEAR_AREA_SQL = with_adapters(
-    f"SELECT year, {_MEAN} AS avg_distance_km, count(d) AS crime_count FROM ("
+    f"SELECT year, round(avg(d), 4) AS avg_distance_km, count(d) AS crime_count FROM ("
     f"{_RESP_BASE.format(key='CAST(year(i.occ_date) AS INTEGER) AS year')}) t GROUP BY year ORDER BY year",
     "incidents",
     "stations",
@@ -417,18 +416,23 @@ def q_distance_by_year_area(spark, sf):
     return rp.distance_by_year_area(inc, st)
 
 
-@register("distance_by_year_merged", _BY_YEAR_AREA_SQL)
+def _exact_sql(sql: str) -> str:
+    """A station report's SQL with the mean as it is, of sums of integers."""
+    return sql.replace("round(avg(d), 4) AS avg_distance_km", f"{exact_mean_sql('d')} AS avg_distance_km")
+
+
+@register("distance_by_year_merged", _exact_sql(_BY_YEAR_AREA_SQL))
 def q_distance_by_year_merged(spark, sf):
-    """The means per year from partial sums per year and station."""
+    """The exact means per year from partial sums per year and station."""
     inc, st = _tables(spark, sf, "incidents", "stations")
     parts = rp.distance_sums(rp.responsible_distances(inc, st), "year", "prec")
-    return rp.merged_stats(parts, "year").orderBy("year")
+    return rp.merged_stats(parts, "year", places=None).orderBy("year")
 
 
 @register(
     "distance_by_division_area",
     with_adapters(
-        f"SELECT division, {_MEAN} AS avg_distance_km, count(d) AS crime_count FROM ("
+        f"SELECT division, round(avg(d), 4) AS avg_distance_km, count(d) AS crime_count FROM ("
         f"{_RESP_BASE.format(key='s.division')}) t GROUP BY division ORDER BY crime_count DESC, division",
         "incidents",
         "stations",
@@ -442,8 +446,8 @@ def q_distance_by_division_area(spark, sf):
 @register(
     "distance_formatted",
     with_adapters(
-        f"SELECT year, {_MEAN} AS avg_distance_km, count(d) AS crime_count, "
-        f"format('{{:,.4f}}', round({_MEAN}, 4)) AS average_distance FROM ("
+        f"SELECT year, round(avg(d), 4) AS avg_distance_km, count(d) AS crime_count, "
+        f"format('{{:,.4f}}', round(avg(d), 4)) AS average_distance FROM ("
         f"{_RESP_BASE.format(key='CAST(year(i.occ_date) AS INTEGER) AS year')}) t GROUP BY year ORDER BY year",
         "incidents",
         "stations",
@@ -513,7 +517,7 @@ register("nearest_station_regions", _NEAREST_STATION_SQL)(_nearest_station_query
 @register(
     "distance_by_year_nearest",
     with_adapters(
-        f"SELECT CAST(year(occ_date) AS INTEGER) AS year, {_MEAN} AS avg_distance_km, "
+        f"SELECT CAST(year(occ_date) AS INTEGER) AS year, round(avg(d), 4) AS avg_distance_km, "
         f"count(d) AS crime_count FROM ({_NEAREST_BASE}) t WHERE rn = 1 GROUP BY year(occ_date) ORDER BY year",
         "incidents",
         "stations",
@@ -525,7 +529,7 @@ def q_distance_by_year_nearest(spark, sf):
 
 
 _BY_DIVISION_NEAREST_SQL = with_adapters(
-    f"SELECT division, {_MEAN} AS avg_distance_km, count(d) AS crime_count "
+    f"SELECT division, round(avg(d), 4) AS avg_distance_km, count(d) AS crime_count "
     f"FROM ({_NEAREST_BASE}) t WHERE rn = 1 GROUP BY division ORDER BY crime_count DESC, division",
     "incidents",
     "stations",
@@ -538,6 +542,21 @@ def q_distance_by_division_nearest(spark, sf):
     return rp.distance_by_division_nearest(inc, st)
 
 
+# The station reports with means that are not rounded.
+def _exact_report(report: Callable) -> Query:
+    def q(spark, sf):
+        inc, st = _tables(spark, sf, "incidents", "stations")
+        return report(inc, st, places=None)
+
+    return q
+
+
+for _report in (
+    rp.distance_by_year_area, rp.distance_by_division_area, rp.distance_by_year_nearest, rp.distance_by_division_nearest,
+):
+    register(f"{_report.__name__}_exact", _exact_sql(ORACLE[_report.__name__]))(_exact_report(_report))
+
+
 # The station reports under each join strategy.
 def _hinted_stations(report: Callable, hint: str) -> Query:
     def q(spark, sf):

@@ -220,17 +220,22 @@ def distance_sums(df: DataFrame, *by, dist: str = "distance_km") -> DataFrame:
     return df.groupBy(*by).agg(exact_sums(dist).alias("distance"))
 
 
-def merged_stats(sums: DataFrame, by: str) -> DataFrame:
-    """Mean distance and count of non-NULL distances of merged partial results."""
-    whole = sums.groupBy(by).agg(merged("distance").alias("distance"))
-    return whole.select(by, mean_of("distance").alias("avg_distance_km"), F.col("distance")["n"].alias("crime_count"))
+def _means(sums: DataFrame, by: str, places: int | None) -> DataFrame:
+    mean = mean_of("distance")
+    shown = mean if places is None else F.round(mean, places)
+    return sums.select(by, shown.alias("avg_distance_km"), F.col("distance")["n"].alias("crime_count"))
 
 
-def distance_stats(df: DataFrame, group_col, dist: str = "distance_km") -> DataFrame:
-    """Mean distance and count of non-NULL distances. The 32-bit distances are
-    summed exactly, so the mean has the same bits however the rows are dealt."""
-    sums = distance_sums(df, group_col, dist=dist)
-    return sums.select(group_col, mean_of("distance").alias("avg_distance_km"), F.col("distance")["n"].alias("crime_count"))
+def merged_stats(sums: DataFrame, by: str, places: int | None = 4) -> DataFrame:
+    """:func:`distance_stats` of partial results."""
+    return _means(sums.groupBy(by).agg(merged("distance").alias("distance")), by, places)
+
+
+def distance_stats(df: DataFrame, group_col, dist: str = "distance_km", places: int | None = 4) -> DataFrame:
+    """Mean distance, rounded to ``places`` (None: not at all), and count of
+    non-NULL distances. The 32-bit distances are summed exactly, so the mean has
+    the same bits however the rows are dealt."""
+    return _means(distance_sums(df, group_col, dist=dist), group_col, places)
 
 
 def responsible_distances(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast") -> DataFrame:
@@ -244,36 +249,43 @@ def responsible_distances(incidents: DataFrame, stations: DataFrame, hint: str |
     )
 
 
-def _responsible_stats(incidents: DataFrame, stations: DataFrame, by: str, hint: str | None) -> DataFrame:
+def _responsible_stats(incidents: DataFrame, stations: DataFrame, by: str, hint: str | None, places: int | None) -> DataFrame:
     """Q4-1 core: the mean over incidents, one formula whatever the join."""
-    return distance_stats(responsible_distances(incidents, stations, hint), by)
+    return distance_stats(responsible_distances(incidents, stations, hint), by, places=places)
 
 
-def distance_by_year_area(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast") -> DataFrame:
+def distance_by_year_area(
+    incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast", places: int | None = 4
+) -> DataFrame:
     """Q4-1a: mean distance to the responsible station, per year."""
-    return _responsible_stats(incidents, stations, "year", hint).orderBy("year")
+    return _responsible_stats(incidents, stations, "year", hint, places).orderBy("year")
 
 
-def distance_by_division_area(incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast") -> DataFrame:
+def distance_by_division_area(
+    incidents: DataFrame, stations: DataFrame, hint: str | None = "broadcast", places: int | None = 4
+) -> DataFrame:
     """Q4-1b: mean distance to the responsible station, per division."""
-    return _responsible_stats(incidents, stations, "division", hint).orderBy(F.desc("crime_count"), "division")
+    stats = _responsible_stats(incidents, stations, "division", hint, places)
+    return stats.orderBy(F.desc("crime_count"), "division")
 
 
-def distance_by_year_nearest(incidents: DataFrame, stations: DataFrame) -> DataFrame:
+def distance_by_year_nearest(incidents: DataFrame, stations: DataFrame, places: int | None = 4) -> DataFrame:
     """Q4-2a: mean distance to the nearest station, per year. Points are solved
     where they are read; only the few groups are shuffled."""
     points = firearm_incidents(incidents).select("lat", "lon", F.year("occ_date").alias("year"))
     near = nearest_station(points, stations).withColumn("distance_km", F.col("near_km").cast("float"))
-    return distance_stats(near, "year").orderBy("year")
+    return distance_stats(near, "year", places=places).orderBy("year")
 
 
-def distance_by_division_nearest(incidents: DataFrame, stations: DataFrame, hint: str | None = None) -> DataFrame:
+def distance_by_division_nearest(
+    incidents: DataFrame, stations: DataFrame, hint: str | None = None, places: int | None = 4
+) -> DataFrame:
     """Q4-2b: mean distance to the nearest station, per that station's
     division; with ``hint`` the division comes from a join under that strategy."""
     points = firearm_incidents(incidents).select("lat", "lon")
     near = nearest_station(points, stations, hint=hint).withColumn("distance_km", F.col("near_km").cast("float"))
     near = near.withColumnRenamed("near_division", "division")
-    return distance_stats(near, "division").orderBy(F.desc("crime_count"), "division")
+    return distance_stats(near, "division", places=places).orderBy(F.desc("crime_count"), "division")
 
 
 def distance_formatted(stats: DataFrame, col: str = "avg_distance_km", out: str = "average_distance") -> DataFrame:
