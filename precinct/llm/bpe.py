@@ -21,6 +21,7 @@ import functools
 import json
 import re
 import struct
+import sys
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
@@ -37,6 +38,8 @@ MAX_MODEL_BYTES = 64 << 20
 #: Remembered chunks per Python worker, in two generations: when the younger is
 #: full it becomes the older one, and what is met again goes on. Remembered pieces.
 MAX_CHUNKS, MAX_PIECES = 130_000, 30_000
+#: Whether this machine's integers start with the highest byte.
+BIG = sys.byteorder == "big"
 #: Fragments of up to so many bytes are merged by scanning their pairs.
 SHORT = 48
 
@@ -116,9 +119,14 @@ class Bpe(dict):
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
         self.rank = {vocab[a] << 20 | vocab[b]: rank for rank, (a, b) in enumerate(merges)}
         self.result = [vocab[a + b] for a, b in merges]
+        never = len(self.result)
+        #: Ranks of the pairs of single bytes.
+        self.bytes_rank = [
+            never if a is None or b is None else self.rank.get(a << 20 | b, never) for a in self.first for b in self.first
+        ]
         inside = {pair for token in whole for pair in zip(token, token[1:], strict=False)}
         #: Byte pairs that no vocabulary token holds.
-        self.cut = {(a, b) for a in range(256) for b in range(256)} - inside
+        self.cut = bytes((a, b) not in inside for a in range(256) for b in range(256))
         self.text = texts(spec)
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = sorted(self.added, key=len, reverse=True)
@@ -153,15 +161,19 @@ class Bpe(dict):
         for piece in self.pieces(text):
             ids = known.get(piece)
             if ids is None:
-                merged = [i for fragment in self.fragments(piece.encode()) for i in self.merged(fragment)]
-                known[piece] = ids = struct.pack(f"<{len(merged)}I", *merged)
+                merged = array("I")
+                for fragment in self.fragments(piece.encode()):
+                    merged.extend(self.merged(fragment))
+                if BIG:
+                    merged.byteswap()
+                known[piece] = ids = merged.tobytes()
             out.append(ids)
-        return b"".join(out)
+        return b"".join(out) if len(out) > 1 else out[0] if out else b""
 
     def fragments(self, piece: bytes) -> list[bytes]:
         """``piece`` cut at the byte pairs that no token spans."""
         cut = self.cut
-        at = [i for i, pair in enumerate(zip(piece, piece[1:], strict=False), 1) if pair in cut]
+        at = [i for i, (a, b) in enumerate(zip(piece, piece[1:], strict=False), 1) if cut[a << 8 | b]]
         if not at:
             return [piece]
         return [piece[i:j] for i, j in zip([0, *at], [*at, len(piece)], strict=True)]
@@ -169,22 +181,24 @@ class Bpe(dict):
     def merged(self, fragment: bytes) -> list[int]:
         """Ids of a fragment: the lowest-ranked pair merges first, of equal
         ones the leftmost."""
-        ids = [self.first[b] for b in fragment]
+        first = self.first
+        ids = [first[b] for b in fragment]
         if len(ids) > SHORT:
             return self._merged_long(ids)
-        rank, result, never = self.rank.get, self.result, len(self.result)
-        ranks = [rank(a << 20 | b, never) for a, b in zip(ids, ids[1:], strict=False)]
+        rank, result, pairs = self.rank.get, self.result, self.bytes_rank
+        never = len(result)
+        ranks = [pairs[a << 8 | b] for a, b in zip(fragment, fragment[1:], strict=False)]
         while ranks:
             low = min(ranks)
             if low == never:
                 break
             at = ranks.index(low)
-            ids[at : at + 2] = [result[low]]
-            del ranks[at]
+            ids[at] = new = result[low]
+            del ids[at + 1], ranks[at]
             if at:
-                ranks[at - 1] = rank(ids[at - 1] << 20 | ids[at], never)
+                ranks[at - 1] = rank(ids[at - 1] << 20 | new, never)
             if at < len(ranks):
-                ranks[at] = rank(ids[at] << 20 | ids[at + 1], never)
+                ranks[at] = rank(new << 20 | ids[at + 1], never)
         return ids
 
     def _merged_long(self, ids: list[int | None]) -> list[int]:
