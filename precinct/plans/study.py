@@ -13,9 +13,11 @@ from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The node that a hint asks for.
+NODES = {"broadcast": "BroadcastHashJoin", "merge": "SortMergeJoin", "shuffle_hash": "ShuffledHashJoin"}
 JOINS = ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "CartesianProduct", "BroadcastNestedLoopJoin")
 SCHEMA = (
-    "report string, hint string, cores int, joins map<string,int>, exchanges int, broadcasts int, "
+    "report string, hint string, cores int, n_rows bigint, joins map<string,int>, exchanges int, broadcasts int, "
     "shuffle_bytes bigint, broadcast_bytes bigint, scans int, seconds double"
 )
 
@@ -45,7 +47,7 @@ def executed(df: DataFrame) -> dict:
     execution = df._jdf.queryExecution()
     began = time.perf_counter()
     # The plan itself is run, so that its metrics are those of this run.
-    execution.executedPlan().execute().count()
+    n_rows = execution.executedPlan().execute().count()
     seconds = time.perf_counter() - began
     kinds, shuffled, sent = Counter(), 0, 0
     for node in _nodes(execution.executedPlan()):
@@ -56,6 +58,7 @@ def executed(df: DataFrame) -> dict:
         elif name == "BroadcastExchange":
             sent += _metric(node, "dataSize")
     return {
+        "n_rows": n_rows,
         "joins": {j: kinds[j] for j in JOINS if kinds[j]},
         "exchanges": kinds["ShuffleExchange"],
         "broadcasts": kinds["BroadcastExchange"],
@@ -73,5 +76,5 @@ def study(spark: SparkSession, reports: Mapping[str, Callable[[str], DataFrame]]
     for name, build in reports.items():
         for hint in hints:
             found = executed(build(hint))
-            rows.append((name, hint, cores, found["joins"], *[found[c] for c in ("exchanges", "broadcasts", "shuffle_bytes", "broadcast_bytes", "scans", "seconds")]))
+            rows.append((name, hint, cores, *found.values()))
     return spark.createDataFrame(rows, SCHEMA)

@@ -11,7 +11,7 @@ from precinct.lifetimes import named_view, released, sent
 from precinct.operators.nearest import nearest_station
 from precinct.operators.preview import preview
 from precinct.plans import reports as rp
-from precinct.plans.study import study
+from precinct.plans.study import NODES, study
 from precinct.sources import formats
 from precinct.sources import testdata as td
 from tests.conftest import SF0001
@@ -73,12 +73,17 @@ def test_files_elect_their_format(spark):
 
 
 def test_study_tells_the_nodes_that_ran(spark):
-    rows = {(r.report, r.hint): r for r in entry.queries()["join_study"](spark, SF0001).collect()}
+    inc, geo, income, st = (getattr(td, n)(spark, SF0001) for n in ("incidents", "revgeo", "income", "stations"))
+    reports = {
+        "q3": lambda hint: rp.descent_by_income(inc, geo, income, 1997, hint=hint),
+        "q4": lambda hint: rp.distance_by_year_area(inc, st, hint=hint),
+    }
+    rows = {(r.report, r.hint): r for r in study(spark, reports, NODES).collect()}
     assert len(rows) == 6 and all(r.seconds > 0 and r.scans > 0 for r in rows.values())
-    for hint, node in (("broadcast", "BroadcastHashJoin"), ("merge", "SortMergeJoin"), ("shuffle_hash", "ShuffledHashJoin")):
-        assert rows["distance_by_year_area", hint].joins == {node: 1}
-        assert node in rows["descent_by_income", hint].joins
-    few, many = rows["descent_by_income", "broadcast"], rows["descent_by_income", "merge"]
+    for hint, node in NODES.items():
+        assert rows["q4", hint].joins == {node: 1} and rows["q4", hint].n_rows == 7
+        assert node in rows["q3", hint].joins
+    few, many = rows["q3", "broadcast"], rows["q3", "merge"]
     assert few.shuffle_bytes < many.shuffle_bytes and few.broadcasts and few.broadcast_bytes > 0
 
 
