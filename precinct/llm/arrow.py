@@ -92,6 +92,9 @@ def tidied(fn: Callable[[Iterator], Iterator], batches: Iterator, keeps: bool) -
     if not keeps and "object" in _memory():
         forget()
     yield from fn(batches)
+    rest = getattr(_memory().get("object"), "rest", None)
+    if rest is not None:  # an idle worker keeps the smaller part only
+        rest()
     trim()
 
 

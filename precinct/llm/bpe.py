@@ -37,7 +37,7 @@ from precinct.llm.tables import text_of
 MAX_MODEL_BYTES = 64 << 20
 #: Remembered chunks per Python worker, in two generations: when the younger is
 #: full it becomes the older one, and what is met again goes on. Remembered pieces.
-MAX_CHUNKS, MAX_PIECES = 130_000, 30_000
+MAX_CHUNKS, MAX_PIECES = 110_000, 30_000
 #: Whether this machine's integers start with the highest byte.
 BIG = sys.byteorder == "big"
 #: Fragments of up to so many bytes are merged by scanning their pairs.
@@ -153,6 +153,10 @@ class Bpe(dict):
         self[chunk] = out
         return out
 
+    def rest(self) -> None:
+        """Between tasks the older generation goes."""
+        self.older = {}
+
     def whole(self, text: str) -> bytes:
         known = self.known
         if len(known) >= MAX_PIECES:
