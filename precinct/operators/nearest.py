@@ -16,11 +16,11 @@ Two methods, with the same answers:
   any number of stations. ``method="blocks"`` sends any number of stations block
   by block instead, a pass over the points for each; a point keeps the best.
 * In a task, a block's stations are points of the unit sphere, halved along
-  their widest axis into leaves of a few stations with bounding boxes. The
-  points of a batch, made distinct and sorted, go through in tiles: a leaf that
-  is farther from the tile's box than the farthest distance to the nearest leaf
-  is skipped, the others are compared. Chord length and distance on the sphere
-  have the same order.
+  their widest axis into leaves of a few stations, a tree of bounding boxes. The
+  points of a batch, made distinct, go down the tree together: each first to the
+  leaf it falls into, whose nearest station bounds its answer, then to the boxes
+  within that bound. A point compares the stations of a few leaves, however many
+  stations there are. Chord length and distance on the sphere have the same order.
 * The chord only selects: all stations within rounding error of the smallest
   chord are handed on, and Spark's own expression of the distance decides
   between them, ties included.
@@ -32,6 +32,7 @@ batch.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,8 +53,8 @@ OUT_COLS = ("near_prec", "near_division", "near_y", "near_x", "near_km")
 
 #: Stations of a block, the bound of what is broadcast at once.
 BLOCK_ROWS = 200_000
-#: Stations of a leaf; points of a tile.
-LEAF, TILE = 32, 256
+#: Stations of a leaf at most; pairs of points and boxes that are held at once.
+LEAF, AT_ONCE = 32, 1 << 16
 #: Chords this close to the smallest are decided by the distance itself.
 SAFETY = 1e-9
 
@@ -67,37 +68,116 @@ def sphere(lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
 
 
 class Leaves:
-    """Places in groups of at most ``LEAF`` that lie close together."""
+    """Places in groups of at most ``LEAF`` that lie close together, below a
+    binary tree of boxes: node k of a level has the children 2k and 2k + 1."""
 
     def __init__(self, places: np.ndarray):
-        self.places, groups, todo = places, [], [np.arange(len(places))] if len(places) else []
-        while todo:
-            own = todo.pop()
-            if len(own) <= LEAF:
-                groups.append(own)
-                continue
-            axis = int(np.ptp(places[own], axis=0).argmax())
-            half = len(own) // 2
-            own = own[np.argpartition(places[own, axis], half)]
-            todo += [own[:half], own[half:]]
-        self.members = groups
-        self.low = np.array([places[g].min(0) for g in groups]).reshape(-1, 3)
-        self.high = np.array([places[g].max(0) for g in groups]).reshape(-1, 3)
+        groups: list[np.ndarray] = [np.arange(len(places))]
+        #: Axis and place of each node's cut, level by level.
+        self.cuts: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(groups[-1]) > LEAF:  # the last group of a level is its largest
+            axes, at, halves = [], [], []
+            for own in groups:
+                axis, half = int(np.ptp(places[own], axis=0).argmax()), len(own) // 2
+                own = own[np.argpartition(places[own, axis], half)]
+                axes.append(axis)
+                at.append(places[own[half], axis])
+                halves += [own[:half], own[half:]]
+            self.cuts.append((np.array(axes), np.array(at)))
+            groups = halves
+        width = max(map(len, groups))
+        #: Members of the leaves; short ones are filled up with places that are never near.
+        self.members = np.zeros((len(groups), width), np.int64)
+        self.places = np.full((len(groups), width, 3), np.inf)
+        for k, own in enumerate(groups):
+            self.members[k, : len(own)], self.places[k, : len(own)] = own, places[own]
+        low, high = np.array([places[g].min(0) for g in groups]), np.array([places[g].max(0) for g in groups])
+        #: Corners of the boxes, level by level from the root's children down.
+        self.boxes: list[tuple[np.ndarray, np.ndarray]] = []
+        for _ in self.cuts:
+            self.boxes.insert(0, (low, high))
+            low, high = np.minimum(low[::2], low[1::2]), np.maximum(high[::2], high[1::2])
+        self.low, self.high = low[0], high[0]  # the root's
+        self.compared = 0  # pairs of points and places so far
+
+    def _chords(self, points: np.ndarray, leaves: np.ndarray) -> np.ndarray:
+        """Chords of each point to the members of its leaf."""
+        out = np.empty((len(leaves), self.members.shape[1]))
+        step = max(1, AT_ONCE * 4 // out.shape[1])
+        for at in range(0, len(leaves), step):
+            gap = self.places[leaves[at : at + step]]
+            gap -= points[at : at + step, None]
+            out[at : at + step] = np.sqrt(np.einsum("ijk,ijk->ij", gap, gap))
+        self.compared += out.size
+        return out
+
+    def _inside(self, points: np.ndarray) -> np.ndarray:
+        """The leaf on whose side of every cut a point is."""
+        node = np.zeros(len(points), np.int64)
+        for axes, at in self.cuts:
+            node = 2 * node + (points[np.arange(len(points)), axes[node]] >= at[node])
+        return node
+
+    def _facing(self, points: np.ndarray) -> np.ndarray:
+        """The leaf found by going to the nearer box, for points outside of all."""
+        node = np.zeros(len(points), np.int64)
+        for level in range(len(self.cuts)):
+            first, second = (self._gaps(level, 2 * node + k, points) for k in (0, 1))
+            node = 2 * node + (second < first)
+        return node
+
+    def _gaps(self, level: int, node: np.ndarray, points: np.ndarray) -> np.ndarray:
+        """Distances of points and boxes below ``level``."""
+        low, high = self.boxes[level]
+        gap = np.maximum(0, np.maximum(low[node] - points, points - high[node]))
+        return np.sqrt(np.einsum("ij,ij->i", gap, gap))
 
     def nearest(self, points: np.ndarray) -> list[np.ndarray]:
         """For each point the members nearest to it, within ``SAFETY``."""
-        low, high = points.min(0), points.max(0)
-        least = (np.maximum(0, np.maximum(self.low - high, low - self.high)) ** 2).sum(1)
-        most = (np.maximum(np.abs(self.high - low), np.abs(high - self.low)) ** 2).sum(1)
-        close = np.flatnonzero(np.sqrt(least) <= np.sqrt(most.min()) + SAFETY)
-        own = np.concatenate([self.members[k] for k in close])
-        out = []
-        for at in range(0, len(points), max(1, (1 << 20) // len(own))):
-            part = points[at : at + max(1, (1 << 20) // len(own))]
-            chord = np.sqrt(((part[:, None] - self.places[own][None]) ** 2).sum(2))
-            near = chord <= chord.min(1, keepdims=True) * (1 + SAFETY) + SAFETY
-            out += [own[row] for row in near]
-        return out
+        offsets, members, _ = self.search(points)
+        return np.split(members, offsets[1:-1])
+
+    def search(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same as offsets, the members one point after the other, and the
+        least chords."""
+        least = np.full(len(points), np.inf)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        step = max(1, AT_ONCE // self.members.shape[1])
+        for at in range(0, len(points), step):
+            part = points[at : at + step]
+            chord = self._chords(part, self._inside(part)).min(1)
+            outside = np.flatnonzero(((part < self.low) | (part > self.high)).any(1))
+            chord[outside] = np.minimum(chord[outside], self._chords(part[outside], self._facing(part[outside])).min(1))
+            least[at : at + step] = chord
+        todo = [(0, np.arange(at, min(at + step, len(points))), np.zeros(min(step, len(points) - at), np.int64))
+                for at in range(0, len(points), step)]
+        while todo:
+            level, who, node = todo.pop()
+            if len(who) > AT_ONCE // (1 if level < len(self.cuts) else self.members.shape[1]):
+                half = len(who) // 2
+                todo += [(level, who[half:], node[half:]), (level, who[:half], node[:half])]
+                continue
+            if level == len(self.cuts):
+                chord = self._chords(points[who], node)
+                np.minimum.at(least, who, chord.min(1))
+                row, column = np.nonzero(chord <= (least[who] * (1 + SAFETY) + SAFETY)[:, None])
+                found.append((who[row], self.members[node[row], column], chord[row, column]))
+                continue
+            who, node = np.repeat(who, 2), np.repeat(2 * node, 2)
+            node[1::2] += 1
+            near = self._gaps(level, node, points[who]) <= least[who] * (1 + SAFETY) + SAFETY
+            if near.any():
+                todo.append((level + 1, who[near], node[near]))
+        who, member, chord = (np.concatenate(parts) for parts in zip(*found, strict=True))
+        near = chord <= least[who] * (1 + SAFETY) + SAFETY
+        who, member = who[near], member[near]
+        member = member[np.argsort(who, kind="stable")]
+        return np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(points)))]), member, least
+
+
+def lists(offsets: np.ndarray, values: pa.Array, kind: pa.ListType) -> pa.Array:
+    """``values`` as lists from each offset to the next."""
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values.cast(kind.value_type), type=kind)
 
 
 def distinct_stations(stations: DataFrame) -> DataFrame:
@@ -111,19 +191,17 @@ def distinct_stations(stations: DataFrame) -> DataFrame:
     )
 
 
-def _blocks(stations: DataFrame, block_rows: int) -> Iterator[list]:
+def _blocks(stations: DataFrame, block_rows: int) -> Iterator[pa.Array]:
     """The known stations, one block after the other."""
-    block: list = []
-    for row in distinct_stations(stations).toLocalIterator():
-        block.append(tuple(row))
-        if len(block) >= block_rows:
-            yield block
-            block = []
-    if block:
-        yield block
+    rows = distinct_stations(stations)
+    kind = pa.struct(to_arrow_schema(rows.schema))
+    iterator = rows.toLocalIterator()
+    while block := list(itertools.islice(iterator, block_rows)):
+        columns = [pa.array(values, field.type) for values, field in zip(zip(*block, strict=True), kind, strict=True)]
+        yield pa.StructArray.from_arrays(columns, fields=list(kind))
 
 
-def _candidates(points: DataFrame, block: list, lat: str, lon: str, near: str) -> DataFrame:
+def _candidates(points: DataFrame, block: pa.Array, lat: str, lon: str, near: str) -> DataFrame:
     """``points`` with ``near``: the block's stations nearest to each."""
     stations = sent(points.sparkSession, block)
     schema = T.StructType([*points.schema.fields, T.StructField(near, T._parse_datatype_string(_STATIONS))])
@@ -131,16 +209,14 @@ def _candidates(points: DataFrame, block: list, lat: str, lon: str, near: str) -
     i, j = points.columns.index(lat), points.columns.index(lon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = stations.value
-        leaves = Leaves(sphere(np.array([r[2] for r in rows]), np.array([r[3] for r in rows])))
-        cells = [dict(zip(("prec", "division", "y", "x"), r, strict=True)) for r in rows]
+        cells, leaves = stations.value, None
         for batch in batches:
+            if leaves is None:
+                leaves = Leaves(sphere(*(cells.field(c).to_numpy(zero_copy_only=False) for c in ("y", "x"))))
             where = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in (i, j)], 1)
             distinct, back = np.unique(where, axis=0, return_inverse=True)
-            places, found = sphere(distinct[:, 0], distinct[:, 1]), []
-            for at in range(0, len(places), TILE):
-                found += [[cells[k] for k in own] for own in leaves.nearest(places[at : at + TILE])]
-            column = pa.array([found[k] for k in back.ravel()], kind)
+            offsets, members, _ = leaves.search(sphere(distinct[:, 0], distinct[:, 1]))
+            column = lists(offsets, cells.take(pa.array(members)), kind).take(pa.array(back.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=schema.fieldNames())
 
     cloudpickle.register_pickle_by_value(precinct)  # for the time of pickling

@@ -8,7 +8,8 @@ space-filling curve.
 2. *Home.* A point goes to the region that its own number falls into; the tagged
    points are a table, so the fact is read once. A region with many points is
    cut into parts, each with a copy of the region's stations, so that no task has
-   more than its share of the points.
+   more than its share of the points; a part has at least as many points as
+   stations, so copies never outnumber what asks for them.
 3. *Solve.* A task takes the stations of its part, in leaves with boxes, then its
    points as a stream. A point is done when no other region's box is closer than
    the nearest station found: that bound proves the answer.
@@ -36,15 +37,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 import precinct
 from precinct.functions.geo import known
-from precinct.operators.nearest import SAFETY, TILE, Leaves, best_of, distinct_stations, sphere
+from precinct.operators.nearest import SAFETY, Leaves, best_of, distinct_stations, lists, sphere
 from precinct.session import scratch_path
 
 #: Stations of a region.
 REGION_ROWS = 65_536
 #: Bits of an axis of the curve: cells of about 100 m.
 BITS = 17
-#: Comparisons of points and boxes that are made at once.
-AT_ONCE = 1 << 20
+#: Points whose regions are looked for together; comparisons of points and boxes
+#: that are made at once.
+TILE, AT_ONCE = 256, 1 << 20
 
 _STATION = "struct<prec:int,division:string,y:double,x:double>"
 _TODO = "array<struct<d:double,region:int>>"
@@ -76,10 +78,11 @@ def _table(df: DataFrame, name: str) -> DataFrame:
 
 
 class Regions:
-    """First curve numbers and boxes of the regions, in order."""
+    """First curve numbers, station counts and boxes of the regions, in order."""
 
     def __init__(self, rows: list):
         self.numbers = np.array([r["region"] for r in rows], np.int64)
+        self.stations = {r["region"]: r["n"] for r in rows}
         self.first = np.array([r["first"] for r in rows], np.int64)
         self.low = np.array([[r[f"low{k}"] for k in range(3)] for r in rows]).reshape(-1, 3)
         self.high = np.array([[r[f"high{k}"] for k in range(3)] for r in rows]).reshape(-1, 3)
@@ -87,22 +90,24 @@ class Regions:
     def home(self, places: np.ndarray) -> np.ndarray:
         return self.numbers[np.maximum(np.searchsorted(self.first, curve(places), side="right") - 1, 0)]
 
-    def closer(self, places: np.ndarray, chord: np.ndarray) -> list[list[dict]]:
-        """For each point the regions whose boxes are no farther than ``chord``,
-        nearest first."""
+    def closer(self, places: np.ndarray, chord: np.ndarray, home: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each point the regions other than ``home`` whose boxes are no
+        farther than ``chord``, nearest first: how many, their distances and
+        numbers, one point after the other."""
         low, high, reach = places.min(0), places.max(0), chord.max() * (1 + SAFETY) + SAFETY
         gap = np.sqrt((np.maximum(0, np.maximum(self.low - high, low - self.high)) ** 2).sum(1))
-        some = np.flatnonzero(gap <= reach)
-        out: list[list[dict]] = []
+        some = np.flatnonzero((gap <= reach) & (self.numbers != home))
+        counts, distances, numbers = [], [], []
         step = max(1, AT_ONCE // max(1, len(some)))
         for at in range(0, len(places), step):
             p, c = places[at : at + step, None], chord[at : at + step, None]
             d = np.sqrt((np.maximum(0, np.maximum(self.low[some] - p, p - self.high[some])) ** 2).sum(2))
-            near = d <= c * (1 + SAFETY) + SAFETY
-            for row, own in zip(d, near, strict=True):
-                order = np.flatnonzero(own)[np.argsort(row[own], kind="stable")]
-                out.append([{"d": float(row[k]), "region": int(self.numbers[some[k]])} for k in order])
-        return out
+            who, which = np.nonzero(d <= c * (1 + SAFETY) + SAFETY)
+            order = np.lexsort((which, d[who, which], who))
+            counts.append(np.bincount(who, minlength=len(p)))
+            distances.append(d[who, which][order])
+            numbers.append(self.numbers[some[which]][order])
+        return np.concatenate(counts), np.concatenate(distances), np.concatenate(numbers)
 
 
 def _index(stations: DataFrame, region_rows: int, regions: int | None) -> tuple[DataFrame, Regions] | None:
@@ -122,7 +127,7 @@ def _index(stations: DataFrame, region_rows: int, regions: int | None) -> tuple[
         rows.repartitionByRange(count, "code").withColumn("region", F.spark_partition_id()), "stations-by-region"
     )
     axes = [f(f"p{k}").alias(f"{name}{k}") for k in range(3) for f, name in ((F.min, "low"), (F.max, "high"))]
-    boxes = dealt.groupBy("region").agg(F.min("code").alias("first"), *axes).orderBy("first").collect()
+    boxes = dealt.groupBy("region").agg(F.min("code").alias("first"), F.count(F.lit(1)).alias("n"), *axes).orderBy("first").collect()
     return dealt.select("region", F.struct("prec", "division", "y", "x").alias("station")), Regions(boxes)
 
 
@@ -132,7 +137,8 @@ def _solved(points: DataFrame, stations: DataFrame, regions: Regions, tasks: int
     nearer one. Equal coordinates of a batch are solved once."""
     counts = {r["region"]: r["n"] for r in points.groupBy("region").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = max(1, -(-sum(counts.values()) // tasks))
-    parts = [-(-counts.get(k, 0) // share) for k in range(int(regions.numbers.max()) + 1)]
+    last = int(regions.numbers.max())
+    parts = [-(-counts.get(k, 0) // max(share, regions.stations.get(k, 0))) for k in range(last + 1)]
     before = np.concatenate([[0], np.cumsum(parts)[:-1]]).tolist()
     of = lambda values: F.element_at(F.lit(values).cast("array<bigint>"), F.col("region") + 1)
     names = [c for c in points.columns if c != "region"]
@@ -153,32 +159,35 @@ def _solved(points: DataFrame, stations: DataFrame, regions: Regions, tasks: int
     fields = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, leaves = [], None
+        parts, leaves = [], None
         for batch in batches:
             station = batch.column("station")
-            cells += station.drop_null().to_pylist()
+            if station.null_count < len(station):
+                parts.append(station.drop_null())
             batch = batch.filter(station.is_null())
             if not batch.num_rows:
                 continue
             if leaves is None:  # a task has one part, and its stations come first
-                leaves = Leaves(sphere(np.array([c["y"] for c in cells]), np.array([c["x"] for c in cells])))
+                cells = pa.concat_arrays(parts)
+                leaves = Leaves(sphere(*(cells.field(c).to_numpy(zero_copy_only=False) for c in ("y", "x"))))
             where = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("lat", "lon")], 1)
             distinct, back = np.unique(where, axis=0, return_inverse=True)
             places, home = sphere(distinct[:, 0], distinct[:, 1]), batch.column("region")[0].as_py()
-            near, chords, todo = [], [], []
-            for at in range(0, len(places), TILE):
-                tile = places[at : at + TILE]
-                found = leaves.nearest(tile)
-                chord = np.array([((leaves.places[k] - p) ** 2).sum(1).min() for k, p in zip(found, tile, strict=True)]) ** 0.5
-                near += [[cells[k] for k in row] for row in found]
-                chords += chord.tolist()
-                todo += [[r for r in row if r["region"] != home] for row in regions.closer(tile, chord)]
-            back = back.ravel().tolist()
+            offsets, members, chord = leaves.search(places)
+            closer = [
+                regions.closer(places[at : at + TILE], chord[at : at + TILE], home) for at in range(0, len(places), TILE)
+            ]
+            counts, d, number = (np.concatenate(column) for column in zip(*closer, strict=True))
+            near, kind = fields.field("near").type, fields.field("todo").type
+            to = pa.StructArray.from_arrays([pa.array(d), pa.array(number, pa.int32())], fields=list(kind.value_type))
             made = [
-                pa.array([column[k] for k in back], fields.field(name).type)
-                for name, column in (("near", near), ("chord", chords), ("todo", todo))
+                lists(offsets, cells.take(pa.array(members)), near),
+                pa.array(chord),
+                lists(np.concatenate([[0], np.cumsum(counts)]), to, kind),
             ]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("region", *names)], *made], schema=fields)
+            back = pa.array(back.ravel())
+            columns = [*[batch.column(c) for c in ("region", *names)], *[column.take(back) for column in made]]
+            yield pa.RecordBatch.from_arrays(columns, schema=fields)
 
     found = _by_value(lambda: stream.mapInArrow(run, schema))
     return found.select(*names, best_of("near", "lat", "lon").alias("best"), "chord", "todo")

@@ -88,6 +88,23 @@ def test_far_points_and_a_dense_cluster_compare_few_pairs():
     assert max(map(len, near)) < 100  # handed on to the exact distance, of 20,000
 
 
+@pytest.mark.parametrize("n_stations", [1, 31, 33, 2_000, 50_000])
+def test_scattered_points_compare_a_few_stations_however_many_there_are(n_stations):
+    from precinct.operators.nearest import SAFETY, Leaves, sphere
+
+    rng = np.random.default_rng(n_stations)
+    city = sphere(33.7 + rng.integers(0, 601, n_stations) / 1000, -118.6 + rng.integers(0, 503, n_stations) / 1000)
+    lat = np.concatenate([33.7 + rng.integers(0, 6007, 300) / 10_000, rng.uniform(-90, 90, 100)])
+    lon = np.concatenate([-118.6 + rng.integers(0, 5003, 300) / 10_000, rng.uniform(-180, 180, 100)])
+    leaves, points = Leaves(city), sphere(lat, lon)
+    near = leaves.nearest(points)
+    chords = np.sqrt(((points[:, None] - city[None]) ** 2).sum(2))
+    for own, chord in zip(near, chords, strict=True):
+        assert chord.argmin() in own and chord[own].max() <= chord.min() * (1 + SAFETY) + 2 * SAFETY
+    assert leaves.compared / len(points) < 400
+    assert leaves.nearest(points[:0]) == [] or len(leaves.nearest(points[:0])[0]) == 0
+
+
 def test_dense_city(spark):
     rng = random.Random(3)
     sts = [(34.0 + rng.uniform(-0.2, 0.2), -118.3 + rng.uniform(-0.2, 0.2), i, f"S{i}") for i in range(300)]

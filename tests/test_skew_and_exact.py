@@ -193,6 +193,23 @@ def test_parts_spread_a_crowded_region(spark, monkeypatch):
     assert seen[0][-1] < 2 * (9000 / 8) and sum(seen[0]) == 9000
 
 
+def test_few_points_do_not_ask_for_many_copies_of_the_stations(spark, monkeypatch):
+    """A part has at least as many points as stations."""
+    seen = []
+    original = nearest_regions._solved
+
+    def spied(*args):
+        out = original(*args)
+        seen.append(out.select(F.spark_partition_id()).distinct().count())
+        return out
+
+    monkeypatch.setattr(nearest_regions, "_solved", spied)
+    st = spark.createDataFrame([(float(k % 40), float(k // 40), k, "D") for k in range(800)], "y double, x double, prec int, division string")
+    pt = spark.range(80).select(F.col("id"), (F.col("id") % 40).cast("double").alias("lat"), (F.col("id") % 20).cast("double").alias("lon"))
+    assert nearest_station(pt, st, method="regions", regions=2).count() == 80
+    assert max(seen) <= 2  # one part a region, of 8 tasks
+
+
 def test_curve_numbers_are_close_for_close_points():
     places = sphere(np.array([10.0, 10.0, -80.0]), np.array([20.0, 20.00001, 5.0]))
     a, b, c = nearest_regions.curve(places)
