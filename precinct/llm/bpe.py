@@ -42,6 +42,8 @@ MAX_CHUNKS, MAX_PIECES = 110_000, 30_000
 BIG = sys.byteorder == "big"
 #: Fragments of up to so many bytes are merged by scanning their pairs.
 SHORT = 48
+#: Stands for the rank of a byte pair that is a certain cut.
+CUT = -1
 
 # Fixed value: the pre-tokenizer's pattern; L, N and S stand for the classes of
 # letters, numbers and white space.
@@ -105,6 +107,11 @@ def byte_letters() -> dict[str, int]:
     return letters | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def is_word(text: str) -> bool:
+    """Letters below U+0100 only: one piece, also with a space before it."""
+    return text.isalpha() and (text.isascii() or max(text) < "\u0100")
+
+
 class Bpe(dict):
     """Chunk of text after a space -> the ids of both, as bytes; filled as
     chunks are met."""
@@ -120,13 +127,17 @@ class Bpe(dict):
         self.rank = {vocab[a] << 20 | vocab[b]: rank for rank, (a, b) in enumerate(merges)}
         self.result = [vocab[a + b] for a, b in merges]
         never = len(self.result)
-        #: Ranks of the pairs of single bytes.
-        self.bytes_rank = [
-            never if a is None or b is None else self.rank.get(a << 20 | b, never) for a in self.first for b in self.first
-        ]
         inside = {pair for token in whole for pair in zip(token, token[1:], strict=False)}
-        #: Byte pairs that no vocabulary token holds.
-        self.cut = bytes((a, b) not in inside for a in range(256) for b in range(256))
+
+        def start(a: int, b: int) -> int:
+            if (a, b) not in inside:
+                return CUT
+            x, y = self.first[a], self.first[b]
+            return never if x is None or y is None else self.rank.get(x << 20 | y, never)
+
+        #: Ranks of the pairs of single bytes by the first byte; ``CUT`` for those
+        #: that no vocabulary token holds.
+        self.bytes_rank = [[start(a, b) for b in range(256)] for a in range(256)]
         self.text = texts(spec)
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = sorted(self.added, key=len, reverse=True)
@@ -139,6 +150,8 @@ class Bpe(dict):
         self.exact = regex.compile(pattern(classes), regex.V1)
         self.odd = frozenset(odd)
         self.spaces = regex.compile(r"\p{White_Space} | \p{White_Space}| \Z")
+        #: White space but spaces and line ends.
+        self.rare = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
         self.older: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
@@ -149,7 +162,7 @@ class Bpe(dict):
             self.clear()
         out = self.older.pop(chunk, None)
         if out is None:
-            out = self.whole(f" {chunk}")
+            out = self.ids(f" {chunk}") if is_word(chunk) else self.whole(f" {chunk}")
         self[chunk] = out
         return out
 
@@ -163,46 +176,52 @@ class Bpe(dict):
             known.clear()
         out = []
         for piece in self.pieces(text):
+            if piece[0] == " " and is_word(word := piece[1:]):
+                out.append(self[word])  # remembered with the chunks
+                continue
             ids = known.get(piece)
             if ids is None:
-                merged = array("I")
-                for fragment in self.fragments(piece.encode()):
-                    merged.extend(self.merged(fragment))
-                if BIG:
-                    merged.byteswap()
-                known[piece] = ids = merged.tobytes()
+                known[piece] = ids = self.ids(piece)
             out.append(ids)
         return b"".join(out) if len(out) > 1 else out[0] if out else b""
 
-    def fragments(self, piece: bytes) -> list[bytes]:
-        """``piece`` cut at the byte pairs that no token spans."""
-        cut = self.cut
-        at = [i for i, (a, b) in enumerate(zip(piece, piece[1:], strict=False), 1) if cut[a << 8 | b]]
-        if not at:
-            return [piece]
-        return [piece[i:j] for i, j in zip([0, *at], [*at, len(piece)], strict=True)]
-
-    def merged(self, fragment: bytes) -> list[int]:
-        """Ids of a fragment: the lowest-ranked pair merges first, of equal
-        ones the leftmost."""
-        first = self.first
-        ids = [first[b] for b in fragment]
+    def ids(self, piece: str) -> bytes:
+        """``piece`` is cut at the byte pairs that no token spans, its fragments
+        are merged."""
+        own = piece.encode()
+        table, first = self.bytes_rank, self.first
+        ids = list(map(first.__getitem__, own))
+        ranks = [row[b] for row, b in zip(map(table.__getitem__, own), own[1:], strict=False)]
+        if CUT in ranks:
+            at = [i for i, rank in enumerate(ranks, 1) if rank == CUT]
+            merged = []
+            for i, j in zip([0, *at], [*at, len(own)], strict=True):
+                merged += self.merged(ids[i:j], ranks[i : j - 1])
+        else:
+            merged = self.merged(ids, ranks)
+        out = array("I", merged)
+        if BIG:
+            out.byteswap()
+        return out.tobytes()
+
+    def merged(self, ids: list[int | None], ranks: list[int]) -> list[int]:
+        """Ids of a fragment from those of its bytes and the ranks of their
+        pairs: the lowest-ranked pair merges first, of equal ones the leftmost."""
         if len(ids) > SHORT:
             return self._merged_long(ids)
-        rank, result, pairs = self.rank.get, self.result, self.bytes_rank
+        rank, result = self.rank.get, self.result
         never = len(result)
-        ranks = [pairs[a << 8 | b] for a, b in zip(fragment, fragment[1:], strict=False)]
-        while ranks:
-            low = min(ranks)
-            if low == never:
-                break
+        # The end is an id that pairs with nothing; it also stands before the first.
+        ids.append(-1)
+        ranks.append(never)
+        while (low := min(ranks)) != never:
             at = ranks.index(low)
-            ids[at] = new = result[low]
-            del ids[at + 1], ranks[at]
-            if at:
-                ranks[at - 1] = rank(ids[at - 1] << 20 | new, never)
-            if at < len(ranks):
-                ranks[at] = rank(new << 20 | ids[at + 1], never)
+            new = result[low]
+            del ids[at], ranks[at]
+            ids[at] = new
+            ranks[at - 1] = rank(ids[at - 1] << 20 | new, never)
+            ranks[at] = rank(new << 20 | ids[at + 1], never)
+        ids.pop()
         return ids
 
     def _merged_long(self, ids: list[int | None]) -> list[int]:
@@ -234,10 +253,12 @@ class Bpe(dict):
         """A space between characters that are not white space is a certain
         cut too: no piece reaches across its front, and it begins a piece. The
         chunks between such spaces repeat, so their ids are remembered."""
-        if self.spaces.search(text):
+        if "  " in text or "\n " in text or " \n" in text or text.endswith(" "):
+            return self.whole(text)
+        if self.rare.search(text) and self.spaces.search(text):
             return self.whole(text)
         first, *rest = text.split(" ")
-        return self.whole(first) + b"".join([self[chunk] for chunk in rest])
+        return self.whole(first) + b"".join(map(self.__getitem__, rest))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -262,7 +283,7 @@ def texts(spec: dict) -> dict[int, bytes]:
 
 
 def decoded(ids: bytes, text: dict[int, bytes]) -> str:
-    return b"".join([text[i] for i in array("I", ids)]).decode("utf-8", "replace")
+    return b"".join(map(text.__getitem__, array("I", ids))).decode("utf-8", "replace")
 
 
 def decoder(model: bytes) -> dict[int, bytes]:

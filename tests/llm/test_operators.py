@@ -231,6 +231,33 @@ def test_bpe_equals_the_library():
         assert own.decode(own.encode(text)) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_words_are_merged_once_whatever_follows_them(monkeypatch):
+    """Also when the memory of pieces is full."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "MAX_PIECES", 1)
+    path = tokenizer("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    with open(path, "rb") as f:
+        own = bpe.Bpe(f.read(), *bpe.character_classes())
+    done, merged = [], own.merged
+
+    def spied(*args):
+        done.append(1)
+        return merged(*args)
+
+    monkeypatch.setattr(own, "merged", spied)
+    for text in ("x Thwhing", "x Thwhing, Thwhing. Thwhing", "x Thwhing.\nThe Thwhing"):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    once = len(done)
+    own.encode("Thwhing,"), own.encode("x Thwhing%")
+    done.clear()
+    own.whole(" Thwhing")
+    assert not done and once < 16
+    for text in ("a ªº µß ÿ×÷ ĀāĂ naïve, naïve\x85 b", "a\u2003 b \u3000c", "a\n b", "a \nb", "a  b ", "a\x0b b"):
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_unigram_counts_equal_the_library():
     from tokenizers import Tokenizer, models, pre_tokenizers
 
