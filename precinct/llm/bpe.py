@@ -18,6 +18,7 @@ as they are, an empty table gives an empty result, other columns are not read.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 import struct
@@ -26,6 +27,7 @@ from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -42,6 +44,9 @@ MAX_CHUNKS, MAX_PIECES = 110_000, 30_000
 BIG = sys.byteorder == "big"
 #: Fragments of up to so many bytes are merged by scanning their pairs.
 SHORT = 48
+#: Characters of the texts whose new chunks are looked for together; chunks that
+#: are merged together.
+TOGETHER, MERGED = 1 << 19, 8192
 #: Stands for the rank of a byte pair that is a certain cut.
 CUT = -1
 
@@ -138,6 +143,11 @@ class Bpe(dict):
         #: Ranks of the pairs of single bytes by the first byte; ``CUT`` for those
         #: that no vocabulary token holds.
         self.bytes_rank = [[start(a, b) for b in range(256)] for a in range(256)]
+        #: The same as arrays; ranks of pairs are in the order of their keys.
+        self.first_ids = np.array([-1 if i is None else i for i in self.first])
+        self.first_ranks, self.results = np.array(self.bytes_rank), np.array(self.result, np.int64)
+        self.pairs = np.array(sorted(self.rank), np.int64)
+        self.pair_ranks = np.array([self.rank[p] for p in self.pairs.tolist()], np.int64)
         self.text = texts(spec)
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = sorted(self.added, key=len, reverse=True)
@@ -166,6 +176,82 @@ class Bpe(dict):
         self[chunk] = out
         return out
 
+    def learn(self, texts: list[str]) -> None:
+        """Remembers the chunks of the texts; those that are new are merged
+        together. What is left out here is found by :meth:`encode` itself."""
+        if None in self.first or not len(self.pairs):
+            return
+        met: set[str] = set()
+        for text in texts:
+            met.update(text.split(" "))
+            if len(met) > MAX_CHUNKS:
+                break
+        if len(self) + len(met) > MAX_CHUNKS:
+            self.older = dict(self)
+            self.clear()
+        plain, latin, other = [], [], []
+        for chunk in itertools.islice(met, MAX_CHUNKS):
+            if chunk in self:
+                continue
+            ids = self.older.pop(chunk, None)
+            if ids is not None:
+                self[chunk] = ids
+            elif 0 < len(chunk) <= SHORT and chunk == chunk.strip():
+                (plain if chunk.isascii() else latin if max(chunk) < "\u0100" else other).append(chunk)
+        for chunks in (plain, latin, other):
+            for at in range(0, len(chunks), MERGED):
+                part = chunks[at : at + MERGED]
+                self.update(zip(part, self._merged_together(part), strict=True))
+
+    def _merged_together(self, chunks: list[str]) -> Iterator[bytes]:
+        """The ids of a space and each chunk; none is empty or has white space at
+        its ends. As one text they are cut into pieces, and those at the byte pairs
+        that no token spans; of each fragment the lowest-ranked pair, of equal ones
+        the leftmost, is merged in each round, until none has a rank."""
+        text = " " + " ".join(chunks)
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data))  # of the characters
+        never = len(self.result)
+        pieces = self.pieces(text)
+        piece = starts[np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))]
+        ids, left = self.first_ids[data], np.ones(len(data), bool)
+        rank = np.full(len(data), never, np.int64)  # of each byte and the next
+        rank[:-1] = self.first_ranks[data[:-1], data[1:]]
+        rank[piece - 1] = CUT
+        # Of the fragments that still merge: their ids' places, and where each starts.
+        place, start = np.arange(len(data)), np.flatnonzero(np.append(True, rank[:-1] == CUT))
+        rank[rank == CUT] = never
+        while len(start):
+            low = np.minimum.reduceat(rank << 32 | np.arange(len(rank)), start)
+            merging = low >> 32 < never
+            size = np.diff(start, append=len(rank))
+            stays = np.repeat(merging, size)
+            now = np.cumsum(stays) - 1
+            place, rank, size, low = place[stays], rank[stays], size[merging], low[merging]
+            at, new = now[low & 0xFFFFFFFF], self.results[low >> 32]
+            ids[place[at]] = new
+            left[place[at + 1]] = False
+            rank[at] = rank[at + 1]  # never, if that was the last
+            stays = np.ones(len(place), bool)
+            stays[at + 1] = False
+            place, rank = place[stays], rank[stays]
+            at -= np.arange(len(at))  # each fragment before has one id less
+            size -= 1
+            start = np.cumsum(size) - size
+            inner = at > start
+            rank[at[inner] - 1] = self._pair_ranks(ids[place[at[inner] - 1]], new[inner])
+            inner = at < start + size - 1
+            rank[at[inner]] = self._pair_ranks(new[inner], ids[place[at[inner] + 1]])
+        out = ids[left].astype("<u4").tobytes()
+        first = starts[np.cumsum([0, *[len(chunk) + 1 for chunk in chunks]])]
+        ends = (4 * np.append(0, np.cumsum(left))[first]).tolist()
+        return (out[i:j] for i, j in itertools.pairwise(ends))
+
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left << 20 | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.pair_ranks[at], len(self.result))
+
     def rest(self) -> None:
         """Between tasks the older generation goes."""
         self.older = {}
@@ -300,6 +386,19 @@ def _model(docs: DataFrame, path: str):
     return docs.sparkSession.sparkContext.broadcast((model, *character_classes()))
 
 
+def together(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Rows (id, text) in groups of at least ``TOGETHER`` characters."""
+    group, size = [], 0
+    for row in rows:
+        group.append(row)
+        size += len(row[1])
+        if size >= TOGETHER:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", back: bool = False) -> DataFrame:
     """(doc_id, ids): ids as little-endian unsigned 32-bit integers. With
     ``back`` also ``decoded``, the text that is read back from the ids, as
@@ -311,9 +410,11 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, out = worker_wide(Bpe, *model.value), Batches(fields)
-        for doc_id, t in rows_of(batches):
-            ids = bpe.encode(t)
-            yield from out.add((doc_id, ids, bpe.decode(ids)) if back else (doc_id, ids), (1 + back) * len(ids))
+        for rows in together(rows_of(batches)):
+            bpe.learn([t for _, t in rows])
+            for doc_id, t in rows:
+                ids = bpe.encode(t)
+                yield from out.add((doc_id, ids, bpe.decode(ids)) if back else (doc_id, ids), (1 + back) * len(ids))
         yield from out.flush()
 
     return map_arrow(docs.select(F.col(key).alias("doc_id"), text_of(docs, text).alias("text")), run, schema, keeps=True)

@@ -258,6 +258,49 @@ def test_bpe_words_are_merged_once_whatever_follows_them(monkeypatch):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_bpe_merges_the_new_chunks_of_texts_together(monkeypatch):
+    """Encoding finds the learned chunks; whatever is learned, the ids are the library's."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    with open(path, "rb") as f:
+        own = bpe.Bpe(f.read(), *bpe.character_classes())
+    done, merged = [], own.merged
+
+    def spied(*args):
+        done.append(1)
+        return merged(*args)
+
+    monkeypatch.setattr(own, "merged", spied)
+    texts = ["x Thwhing, ndthreor.\nThe aaaaaaaaaaa 's 84.251.36.42 naïve, 日本१२ⅷ Ā 's't'll x\u2003y " + "z" * 60 + " end", *hostile_texts(5)]
+    own.learn(texts[:1])
+    assert not done and "z" * 60 not in own
+    for chunk in texts[0].split(" ")[1:]:
+        own.older.clear()
+        want = library.encode(f" {chunk}", add_special_tokens=False).ids
+        assert np.frombuffer(own[chunk], "<u4").tolist() == want
+    assert len(done) <= 2  # only the long one, in its fragments
+    for chunks, at_once in ((110_000, 8192), (50, 7), (1, 1)):
+        monkeypatch.setattr(bpe, "MAX_CHUNKS", chunks)
+        monkeypatch.setattr(bpe, "MERGED", at_once)
+        own.clear(), own.older.clear(), own.known.clear()
+        for rows in bpe.together(iter(enumerate(texts))):
+            own.learn([t for _, t in rows])
+            for _, text in rows:
+                ids = library.encode(text, add_special_tokens=False).ids
+                assert np.frombuffer(own.encode(text), "<u4").tolist() == ids
+    own.learn([]), own.learn(["", " ", "  "])
+
+
+def test_bpe_groups_hold_every_row(monkeypatch):
+    monkeypatch.setattr(bpe, "TOGETHER", 5)
+    rows = [(i, "ab" * (i % 4)) for i in range(20)]
+    groups = list(bpe.together(iter(rows)))
+    assert [r for g in groups for r in g] == rows and len(groups) > 5
+    assert list(bpe.together(iter([]))) == []
+
+
 def test_unigram_counts_equal_the_library():
     from tokenizers import Tokenizer, models, pre_tokenizers
 
