@@ -5,6 +5,7 @@ and columns of clashing names."""
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -541,6 +542,46 @@ def test_jaccard_of_texts_that_are_mostly_a_body_of_many(spark, size):
     assert {r.doc_id: r.component_id for r in got} == {i: 5 if i == 41 else i for i in range(size)}
 
 
+def test_pairs_of_near_copies_are_not_counted(spark, monkeypatch):
+    """Of 40 near copies (780 pairs) rows are handed on, and 20 more without doc_id
+    leave no gap between them."""
+    handed = []
+    original = jaccard.map_arrow
+
+    def spied(df, run, schema, **options):
+        handed.append((schema, original(df, run, schema, **options)))
+        return handed[-1][1]
+
+    monkeypatch.setattr(jaccard, "map_arrow", spied)
+    rows = []
+    for i in range(60):
+        own = [f"b{k}" for k in range(200)]
+        own[3 * i] = f"x{i}"
+        rows.append((None if i % 3 == 1 else i, " ".join(own)))
+    got = jaccard.groups(table(spark, rows)).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter((i, None if i is None else 0) for i, _ in rows)
+    edges = [df for schema, df in handed if schema == jaccard.EDGE]
+    assert len(edges) == 1 and edges[0].count() < 4 * len(rows)
+
+
+def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {name for name in blocks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+
+    before = files()
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    rows = [(i, " ".join([f"b{k}" for k in range(95)] + [f"x{i}"])) for i in range(40)]
+    found = jaccard.groups(table(spark, rows), words=1)
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    assert {r.component_id for r in found.collect()} == {0}
+
+
 def test_near_dedup_goes_by_rows(spark):
     """Near copies (of 30 words one differs) with null, repeated and mixed ids."""
     near = lambda kind, k: " ".join([f"{kind}{j}" for j in range(29)] + [f"{kind}_own{k}"])
