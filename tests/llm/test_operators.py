@@ -564,7 +564,8 @@ def test_pairs_of_near_copies_are_not_counted(spark, monkeypatch):
     assert len(edges) == 1 and edges[0].count() < 4 * len(rows)
 
 
-def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
+@pytest.mark.parametrize("name", ["groups", "dedup"])
+def test_shuffle_files_go_with_the_step_that_wrote_them(spark, name):
     blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
     def files():
@@ -573,13 +574,13 @@ def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
     before = files()
     setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
     rows = [(i, " ".join([f"b{k}" for k in range(95)] + [f"x{i}"])) for i in range(40)]
-    found = jaccard.groups(table(spark, rows), words=1)
+    found = getattr(jaccard, name)(table(spark, rows).coalesce(1), words=1)
     end = time.time() + 20
     while files() - before and time.time() < end:
         time.sleep(0.2)
     assert not files() - before
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
-    assert {r.component_id for r in found.collect()} == {0}
+    assert {r["doc_id"] if name == "dedup" else r["component_id"] for r in found.collect()} == {0}
 
 
 def test_near_dedup_goes_by_rows(spark):
